@@ -1,7 +1,12 @@
 """All oracle SQL by query name."""
 
-from oracle import marts
+from oracle import changes, checks, fraud, marts
 
 
 def oracle_sql() -> dict[str, str]:
-    return {**marts.oracles()}
+    return {
+        **marts.oracles(),
+        **fraud.oracles(),
+        **checks.oracles(),
+        **changes.oracles(),
+    }

@@ -3,17 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txnlake import fixed_values as fixed
 from txnlake.functions import money, risk
-from txnlake.operators import joins, ordering
+from txnlake.functions import temporal as temporal_
+from txnlake.operators import cdc, fraud, joins, monitor, ordering, quality, settlement
 from txnlake.plans import marts, serve, staging
-from txnlake.session import tune
-from txnlake.sources import stand_in
-from txnlake.sources.tables import Tables
+from txnlake.schemas import PRIMARY_KEYS
+from txnlake.session import scratch_path, tune
+from txnlake.sources import ingest, lake, serving, stand_in
+from txnlake.sources.tables import Tables, row_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -143,5 +146,238 @@ def _scalars() -> dict[str, Query]:
     }
 
 
+# Thresholds at which the given tables show each pattern.
+EVENT_THRESHOLDS = fraud.Thresholds(
+    velocity_txns=2, testing_txns=2, testing_seconds=fraud.DAY_SECONDS
+)
+TABLE_THRESHOLDS = fraud.Thresholds(
+    velocity_txns=2,
+    velocity_seconds=30 * fraud.DAY_SECONDS,
+    testing_amount="100.00",
+    testing_txns=2,
+    testing_seconds=180 * fraud.DAY_SECONDS,
+    night_txns=1,
+    spree_txns=2,
+    spree_seconds=180 * fraud.DAY_SECONDS,
+)
+MIN_ROWS = {"transactions": 10_000, "clients": 1_000, "fraud_alerts": 1_000}
+
+
+def _fraud() -> dict[str, Query]:
+    def on_events(detector) -> Query:
+        return _over_events(
+            lambda e: detector(stand_in.events_as_transactions(e), EVENT_THRESHOLDS)
+        )
+
+    def on_tables(detector) -> Query:
+        return _over_tables(lambda t: detector(t["transactions"], TABLE_THRESHOLDS))
+
+    return {
+        "fraud_velocity": on_events(fraud.velocity),
+        "fraud_card_testing": on_events(fraud.card_testing),
+        "fraud_high_value": on_tables(fraud.high_value),
+        "fraud_night_owl": on_events(fraud.night_owl),
+        "fraud_intl_spree": on_tables(fraud.international_spree),
+        "fraud_account_takeover": on_tables(fraud.account_takeover),
+        "fraud_alerts_build": on_tables(fraud.build_alerts),
+        "rule_candidates": _over_tables(lambda t: fraud.candidates(t["transactions"])),
+        "fraud_rule_summary": _over_tables(lambda t: fraud.rule_summary(t["fraud_alerts"])),
+        "pos_activity": _over_tables(
+            lambda t: fraud.pos_activity(t["pos_terminals"], t["transactions"])
+        ),
+        "default_card": _over_tables(lambda t: fraud.default_card(t["payment_cards"])),
+        "settlement_batches": _over_tables(lambda t: t["settlement_batches"]),
+        "refund_reconcile": _over_tables(
+            lambda t: settlement.reconcile_refunds(t["refunds"], t["transactions"])
+        ),
+    }
+
+
+def _quality() -> dict[str, Query]:
+    def with_marts(t: Tables) -> dict[str, DataFrame]:
+        return {**t, **marts.build_marts(t)}
+
+    return {
+        "dq_not_null": _over_tables(
+            lambda t: quality.row_checks(with_marts(t), quality.MART_NOT_NULL)
+        ),
+        "dq_unique": _over_tables(
+            lambda t: quality.unique_keys(with_marts(t), quality.MART_UNIQUE)
+        ),
+        "dq_unique_keys": _over_tables(lambda t: quality.unique_keys(t, quality.SOURCE_KEYS)),
+        "dq_referential": _over_tables(quality.referential),
+        "dq_accepted_values": _over_tables(
+            lambda t: quality.row_checks(with_marts(t), quality.ACCEPTED)
+        ),
+        "dq_range": _over_tables(lambda t: quality.row_checks(with_marts(t), quality.RANGES)),
+    }
+
+
+def _monitor() -> dict[str, Query]:
+    def lagging(events: DataFrame) -> DataFrame:
+        changes = cdc.decoded(stand_in.change_feed(events), stand_in.FEED_ROW)
+        seen = F.col("timestamp") <= monitor.newest(changes, "timestamp") - F.expr(
+            "INTERVAL 1 DAY"
+        )
+        return monitor.backlog(changes, changes.where(seen))
+
+    return {
+        "monitor_row_counts": _over_tables(lambda t: monitor.min_row_counts(t, MIN_ROWS)),
+        "monitor_ingestion_rate": _over_events(
+            lambda e: monitor.ingestion_rate(stand_in.events_as_transactions(e))
+        ),
+        "monitor_fraud_spike": _over_events(
+            lambda e: monitor.fraud_spike(stand_in.events_as_transactions(e))
+        ),
+        "monitor_unreviewed_high_risk": _over_tables(
+            lambda t: monitor.unreviewed_high_risk(t["fraud_alerts"])
+        ),
+        "monitor_freshness": _over_tables(monitor.freshness),
+        "monitor_summary": _over_tables(lambda t: monitor.summary(t, minimums=MIN_ROWS)),
+        "monitor_backlog": _over_events(lagging),
+    }
+
+
+def _changes() -> dict[str, Query]:
+    def over_feed(build: Callable[[DataFrame], DataFrame]) -> Query:
+        return _over_events(lambda e: build(stand_in.change_feed(e)))
+
+    def over_changes(build: Callable[[DataFrame], DataFrame]) -> Query:
+        return over_feed(lambda feed: build(cdc.decoded(feed, stand_in.FEED_ROW)))
+
+    def off(df: DataFrame) -> DataFrame:
+        return df.withColumnRenamed("offset", "off")
+
+    def live_rows(changes: DataFrame) -> DataFrame:
+        return changes.select(
+            "table_name", "row.*", "ts_ms", "offset", "op", "is_delete"
+        )
+
+    def unwrapped(events: DataFrame) -> DataFrame:
+        feed = cdc.unwrap(stand_in.change_envelopes(events), stand_in.FEED_ROW)
+        return off(live_rows(cdc.decoded(feed, stand_in.FEED_ROW))).drop("props")
+
+    def temporal(events: DataFrame) -> DataFrame:
+        encoded = events.selectExpr(
+            "event_id",
+            "unix_date(to_date(ts)) as days",
+            "unix_millis(cast(ts as timestamp)) as ms",
+            "unix_micros(cast(ts as timestamp)) as us",
+            "date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'\") as iso",
+        )
+        return encoded.select(
+            "event_id",
+            temporal_.decode_date(F.col("days")).alias("from_days"),
+            temporal_.decode_millis(F.col("ms")).cast("timestamp_ntz").alias("from_ms"),
+            temporal_.decode_micros(F.col("us")).cast("timestamp_ntz").alias("from_us"),
+            temporal_.decode_iso(F.col("iso")).cast("timestamp_ntz").alias("from_iso"),
+        )
+
+    def replayed(changes: DataFrame) -> DataFrame:
+        # A tenth of the changes is delivered again.
+        again = changes.where("offset % 10 = 0")
+        both = live_rows(changes).unionByName(live_rows(again))
+        return off(cdc.dedupe(both, ["table_name", "pk"])).select(
+            "table_name", "pk", "ts_ms", "off", "op"
+        )
+
+    return {
+        "cdc_topic_filter": over_feed(
+            lambda f: cdc.subscribe(f).select(F.col("offset").alias("off"), "topic")
+        ),
+        "cdc_route": over_feed(
+            lambda f: cdc.route(cdc.subscribe(f)).select(
+                F.col("offset").alias("off"), "topic", "table_name"
+            )
+        ),
+        "cdc_decode": over_changes(
+            lambda c: off(live_rows(c)).withColumn("k", F.col("props.k")).drop("props")
+        ),
+        "cdc_unwrap": _over_events(unwrapped),
+        "cdc_temporal_decode": _over_events(temporal),
+        "cdc_skip_stats": over_feed(cdc.skip_stats),
+        "cdc_skip_deletes": over_changes(
+            lambda c: off(cdc.handle_deletes(c, skip=True)).select("off", "table_name", "op")
+        ),
+        "cdc_keep_deletes": over_changes(
+            lambda c: off(cdc.handle_deletes(c, skip=False)).select(
+                "off", "table_name", "op", F.col("_deleted").cast("int").alias("_deleted")
+            )
+        ),
+        "cdc_metadata": over_changes(
+            lambda c: off(cdc.with_metadata(cdc.handle_deletes(c))).drop(
+                "props", "_cdc_ingest", "_ingested_at"
+            )
+        ),
+        "cdc_normalise": over_changes(
+            lambda c: cdc.normalise(c.select("row.*", F.col("offset").alias("off"))).select(
+                "off", "pk", "amount", "props"
+            )
+        ),
+        "cdc_op_counts": over_changes(cdc.op_counts),
+        "cdc_pending_by_table": over_changes(cdc.pending_by_table),
+        "cdc_current_state": over_changes(
+            lambda c: off(cdc.current_state(live_rows(c), ["table_name", "pk"])).select(
+                "table_name", "pk", "user_id", "event_type", "amount", "op", "ts_ms", "off"
+            )
+        ),
+        "cdc_dedupe": over_changes(replayed),
+    }
+
+
+# The mark of the incremental reads.
+HIGH_WATER = datetime(1998, 1, 1)
+
+
+def _ingest() -> dict[str, Query]:
+    def envelopes(t: Tables) -> DataFrame:
+        columns = ["txn_id", "amount", "channel", "merchant_id", "initiated_at", "settled_at"]
+        messages = cdc.envelope(t["transactions"].select(columns), "transactions", "r")
+        field = lambda path: F.get_json_object("value", path)
+        return messages.select(
+            field("$._meta.table").alias("table_name"),
+            field("$._meta.op").alias("op"),
+            field("$.payload.txn_id").cast("bigint").alias("txn_id"),
+            field("$.payload.amount").cast("decimal(14,2)").alias("amount"),
+            field("$.payload.channel").alias("channel"),
+            field("$.payload.merchant_id").cast("bigint").alias("merchant_id"),
+            field("$.payload.initiated_at").alias("initiated_at"),
+            field("$.payload.settled_at").alias("settled_at"),
+        )
+
+    def pending(t: Tables) -> DataFrame:
+        # The state log of a load: each merchant's id stands for one state message, dealt
+        # over the 13 tables in turn; every third one is a reset.
+        catalogue = ingest.table_list(t["merchants"].sparkSession)
+        names = F.array(*[F.lit(n) for n in PRIMARY_KEYS])
+        m = F.col("merchant_id")
+        state = t["merchants"].select(
+            names[(m % len(PRIMARY_KEYS)).cast("int")].alias("table_name"),
+            F.when(m % 3 == 2, "reset").otherwise("completed").alias("status"),
+            m.alias("offset"),
+        )
+        return ingest.pending_tables(catalogue, state)
+
+    return {
+        "scan_sources": _over_tables(row_counts),
+        "snapshot_load": _over_tables(ingest.snapshot_keys),
+        "incremental_poll": _over_tables(lambda t: ingest.poll_all(t, HIGH_WATER)),
+        "incremental_high_water": _over_tables(lambda t: ingest.new_high_water(t, HIGH_WATER)),
+        "snapshot_pending_tables": _over_tables(pending),
+        "envelope_encode": _over_tables(envelopes),
+    }
+
+
 def queries() -> dict[str, Query]:
-    return {**_marts(), **_staging(), **_joins(), **_serving(), **_scalars()}
+    return {
+        **_marts(),
+        **_staging(),
+        **_joins(),
+        **_serving(),
+        **_scalars(),
+        **_fraud(),
+        **_quality(),
+        **_monitor(),
+        **_changes(),
+        **_ingest(),
+    }
