@@ -1,6 +1,6 @@
 """All oracle SQL by query name."""
 
-from oracle import changes, checks, fraud, marts
+from oracle import changes, checks, fraud, marts, streams
 
 
 def oracle_sql() -> dict[str, str]:
@@ -9,4 +9,5 @@ def oracle_sql() -> dict[str, str]:
         **fraud.oracles(),
         **checks.oracles(),
         **changes.oracles(),
+        **streams.oracles(),
     }

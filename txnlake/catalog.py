@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,10 +14,12 @@ from txnlake.functions import money, risk
 from txnlake.functions import temporal as temporal_
 from txnlake.operators import cdc, fraud, joins, monitor, ordering, quality, settlement
 from txnlake.plans import marts, serve, staging
-from txnlake.schemas import PRIMARY_KEYS
+from txnlake.schemas import PRIMARY_KEYS, SERVING_TYPES
 from txnlake.session import scratch_path, tune
 from txnlake.sources import ingest, lake, serving, stand_in
 from txnlake.sources.tables import Tables, row_counts
+from txnlake.streaming import lake_sink as lake_sink_
+from txnlake.streaming import monitors, refresh, run, state
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -368,6 +371,187 @@ def _ingest() -> dict[str, Query]:
     }
 
 
+# Refresh rule at which the hourly clock of the given events fires by rows and by time.
+HOURLY_RULE = refresh.RefreshRule(rows=80, seconds=6 * 3600)
+
+
+def _lake() -> dict[str, Query]:
+    def lake_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+        root = scratch_path(tune(spark), "lake_sink")
+        feed = stand_in.change_feed(stand_in.events_stream(spark, sf_dir))
+        running = [
+            lake_sink_.start_lake_sink(
+                feed,
+                table,
+                stand_in.FEED_ROW,
+                f"{root}/raw",
+                f"{root}/checkpoints",
+                ingest=F.col("timestamp"),
+            )
+            for table in stand_in.FEED_TABLES
+        ]
+        for query in running:
+            query.awaitTermination()
+        archived = [
+            lake.read_lake(spark, f"{root}/raw/{table}").withColumn("table_name", F.lit(table))
+            for table in stand_in.FEED_TABLES
+        ]
+        return (
+            reduce(DataFrame.unionByName, archived)
+            .groupBy(
+                "table_name",
+                *[F.col(c).cast("int").alias(c) for c in lake.DAY],
+                "_cdc_op",
+            )
+            .agg(
+                F.count(F.lit(1)).alias("n_rows"),
+                F.sum(F.col("amount").cast("decimal(14,2)")).alias("amount"),
+            )
+        )
+
+    def archive(spark: SparkSession, sf_dir: str, root: str, compression: str) -> DataFrame:
+        events = tune(spark).read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
+        rows = cdc.lake_rows(
+            stand_in.change_feed(events), stand_in.FEED_ROW, ingest=F.col("timestamp")
+        )
+        lake.write_day_partitions(rows, root, compression)
+        return lake.read_lake(spark, root)
+
+    def codecs(spark: SparkSession, sf_dir: str) -> DataFrame:
+        root = scratch_path(tune(spark), "lake_codec")
+        counts = [
+            archive(spark, sf_dir, f"{root}/{codec}", codec)
+            .groupBy("table_name")
+            .agg(F.count(F.lit(1)).alias("n_rows"))
+            .select(F.lit(codec).alias("codec"), "table_name", "n_rows")
+            for codec in lake.CODECS
+        ]
+        return reduce(DataFrame.unionByName, counts)
+
+    def revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
+        rows = archive(spark, sf_dir, scratch_path(spark, "lake_revenue"), "snappy")
+        return lake.revenue_by(rows, "event_type")
+
+    return {
+        "lake_sink": lake_sink,
+        "lake_sink_codec": codecs,
+        "lake_channel_revenue": revenue,
+    }
+
+
+def _load() -> dict[str, Query]:
+    def loaded(spark: SparkSession, sf_dir: str) -> tuple[str, serving.ParquetTarget]:
+        root = scratch_path(tune(spark), "marts")
+        target = serving.ParquetTarget(f"{root}/serving")
+        built = marts.build_marts(stand_in.load_tables(spark, sf_dir))
+        for name, df in built.items():
+            serving.write_mart(df, f"{root}/marts", name)
+            serving.reload_mart(spark, f"{root}/marts", name, target)
+        return f"{root}/marts", target
+
+    def mart_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
+        _, target = loaded(spark, sf_dir)
+        return target.read(spark, "mart_client_360").drop("loaded_at")
+
+    def load_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
+        root, target = loaded(spark, sf_dir)
+        return serving.reconcile(spark, root, target, list(marts.MARTS))
+
+    def type_clean(t: Tables) -> DataFrame:
+        # Untyped input: text for numbers and times, NaN where a client has no spend.
+        mart = marts.client_360(t)
+        spent = F.col("max_txn_amount").cast("double")
+        dirty = mart.select(
+            "client_id",
+            F.col("risk_score").cast("string").alias("risk_score"),
+            F.col("last_txn_at").cast("string").alias("last_txn_at"),
+            F.when(F.col("total_txns") == 0, "n/a")
+            .otherwise(F.col("total_txns").cast("string"))
+            .alias("total_txns"),
+            F.when(spent > 0, spent).otherwise(F.lit(float("nan"))).alias("max_txn_amount"),
+        )
+        return serving.clean_types(dirty, SERVING_TYPES["mart_client_360"])
+
+    def insert_ignored(t: Tables) -> DataFrame:
+        # Batches of odd merchants are already there, with a count of zero; all batches
+        # arrive, each twice.
+        new = t["settlement_batches"].select("batch_id", "merchant_id", "batch_date", "txn_count")
+        existing = new.where("merchant_id % 2 = 1").withColumn("txn_count", F.lit(0))
+        added = serving.insert_ignore(
+            existing, new.unionByName(new), ["merchant_id", "batch_date"], "batch_id"
+        )
+        return existing.unionByName(added)
+
+    return {
+        "mart_reload": mart_reload,
+        "load_reconcile": load_reconcile,
+        "mart_type_clean": _over_tables(type_clean),
+        "insert_ignore": _over_tables(insert_ignored),
+    }
+
+
+def _streams() -> dict[str, Query]:
+    def to_end(name: str, build: Callable[[DataFrame], DataFrame]) -> Query:
+        def run_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+            root = scratch_path(tune(spark), name)
+            out = build(stand_in.events_stream(spark, sf_dir))
+            run.append_to(out, f"{root}/out", f"{root}/checkpoint").awaitTermination()
+            return spark.read.parquet(f"{root}/out")
+
+        return run_stream
+
+    def timed(events: DataFrame) -> DataFrame:
+        txns = stand_in.events_as_transactions(events)
+        return txns.withColumns(
+            {c: F.col(c).cast("timestamp") for c in ("initiated_at", "created_at")}
+        )
+
+    def state_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+        root = scratch_path(tune(spark), "state")
+        feed = stand_in.change_feed(stand_in.events_stream(spark, sf_dir))
+        changes = cdc.decoded(feed, stand_in.FEED_ROW).select(
+            "table_name", "row.*", "ts_ms", "offset", "op", "is_delete"
+        )
+        keys = ["table_name", "pk"]
+        state.start_state_sink(
+            changes, keys, f"{root}/state", f"{root}/checkpoint"
+        ).awaitTermination()
+        return (
+            state.read_state(spark, f"{root}/state", keys)
+            .withColumnRenamed("offset", "off")
+            .drop("props", "is_delete")
+        )
+
+    def replayed(events: DataFrame) -> DataFrame:
+        feed = stand_in.change_feed(events)
+        changes = cdc.decoded(feed, stand_in.FEED_ROW).select(
+            "table_name", "row.pk", "ts_ms", F.col("offset").alias("off"), "op", "timestamp"
+        )
+        both = changes.unionByName(changes.where("off % 10 = 0"))
+        return monitors.dedupe(both, ["table_name", "pk"]).drop("timestamp")
+
+    return {
+        "refresh_trigger": _over_events(
+            lambda e: refresh.refresh_decisions(
+                cdc.decoded(stand_in.change_feed(e), stand_in.FEED_ROW), HOURLY_RULE, 3600
+            )
+        ),
+        "cdc_current_state_stream": state_stream,
+        "cdc_dedupe_stream": to_end("dedupe", replayed),
+        "stream_ingestion_rate": to_end(
+            "ingestion_rate", lambda e: monitors.ingestion_rate(timed(e))
+        ),
+        "stream_fraud_rate": to_end("fraud_rate", lambda e: monitors.fraud_rate(timed(e))),
+        "stream_fraud_velocity": to_end(
+            "velocity", lambda e: monitors.velocity_windows(timed(e), minimum=2)
+        ),
+        "stream_fraud_sessions": to_end(
+            "sessions",
+            lambda e: monitors.velocity_sessions(timed(e), minimum=2, gap="600 seconds"),
+        ),
+    }
+
+
 def queries() -> dict[str, Query]:
     return {
         **_marts(),
@@ -380,4 +564,7 @@ def queries() -> dict[str, Query]:
         **_monitor(),
         **_changes(),
         **_ingest(),
+        **_lake(),
+        **_load(),
+        **_streams(),
     }
