@@ -34,6 +34,14 @@ def route(feed: DataFrame) -> DataFrame:
     return feed.withColumn("table_name", F.element_at(F.split("topic", r"\."), -1))
 
 
+def _once(value: Column) -> Column:
+    """``value`` computed once per row: filters on its fields are not pushed below it.
+
+    Otherwise the optimizer would parse a message for the filter and again for the rest.
+    """
+    return F.explode(F.array(value))
+
+
 def unwrap(envelopes: DataFrame, row_ddl: str) -> DataFrame:
     """Before/after envelopes to flat messages; a delete keeps its last row image."""
     image = f"struct<{_struct_body(row_ddl)}>"
@@ -41,7 +49,7 @@ def unwrap(envelopes: DataFrame, row_ddl: str) -> DataFrame:
         f"before {image}, after {image}, op string, "
         "source struct<ts_ms: bigint, `table`: string>"
     )
-    parsed = envelopes.withColumn("_e", F.from_json("value", ddl, {"mode": "FAILFAST"}))
+    parsed = envelopes.withColumn("_e", _once(F.from_json("value", ddl, {"mode": "FAILFAST"})))
     row = F.coalesce("_e.after", "_e.before")
     flat = F.struct(
         *[row[name].alias(name) for name in _field_names(row_ddl)],
@@ -51,7 +59,7 @@ def unwrap(envelopes: DataFrame, row_ddl: str) -> DataFrame:
         F.when(F.col("_e.op") == "d", "true").otherwise("false").alias("__deleted"),
     )
     return parsed.withColumn(
-        "value", F.when(F.col("value").isNotNull(), F.to_json(flat))
+        "value", _once(F.when(F.col("value").isNotNull(), F.to_json(flat)))
     ).drop("_e")
 
 
@@ -65,7 +73,7 @@ def decode(feed: DataFrame, row_ddl: str, mode: str = "FAILFAST") -> DataFrame:
     deleted = F.coalesce("_m.__deleted", F.lit("false"))
     return (
         feed.where(F.col("value").isNotNull())
-        .withColumn("_m", message)
+        .withColumn("_m", _once(message))
         .select(
             "table_name",
             "offset",

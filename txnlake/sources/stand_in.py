@@ -311,14 +311,15 @@ def change_feed(events: DataFrame) -> DataFrame:
         "topic",
         "event_id as offset",
         "cast(ts as timestamp) as timestamp",
-        """case when not tombstone then to_json(named_struct(
+        # The generator keeps filters on the text above it, so it is built once.
+        """explode(array(case when not tombstone then to_json(named_struct(
                'pk', row.pk, 'user_id', row.user_id, 'event_type', row.event_type,
                'amount', row.amount, 'props', row.props,
                '__op', case when op <> 'r' or event_id % 2 = 1 then op end,
                '__source_ts_ms', ts_ms,
                '__table', source_table,
                '__deleted', case when op = 'd' then 'true'
-                                 when event_id % 2 = 1 then 'false' end)) end as value""",
+                                 when event_id % 2 = 1 then 'false' end)) end)) as value""",
     )
 
 
@@ -328,11 +329,11 @@ def change_envelopes(events: DataFrame) -> DataFrame:
         "topic",
         "event_id as offset",
         "cast(ts as timestamp) as timestamp",
-        """case when not tombstone then to_json(named_struct(
+        """explode(array(case when not tombstone then to_json(named_struct(
                'before', case when op in ('u', 'd') then row end,
                'after', case when op <> 'd' then row end,
                'op', op,
-               'source', named_struct('ts_ms', ts_ms, 'table', source_table))) end as value""",
+               'source', named_struct('ts_ms', ts_ms, 'table', source_table))) end)) as value""",
     )
 
 
