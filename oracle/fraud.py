@@ -30,11 +30,10 @@ SPREE = f"""SELECT txn_id, client_id, initiated_at, amount, currency, n_in_windo
 
 TAKEOVER = """SELECT txn_id, client_id, device_id, initiated_at, amount, currency
     FROM (SELECT *,
-                 row_number() OVER (PARTITION BY client_id, device_id
-                                    ORDER BY initiated_at, txn_id) AS rn,
+                 min(initiated_at) OVER (PARTITION BY client_id, device_id) AS first_at,
                  min(initiated_at) OVER (PARTITION BY client_id) AS client_first_at
           FROM transactions)
-    WHERE rn = 1 AND initiated_at > client_first_at AND amount >= 500
+    WHERE initiated_at = first_at AND initiated_at > client_first_at AND amount >= 500
       AND channel = 'ONLINE' AND currency <> 'USD'"""
 
 

@@ -13,7 +13,7 @@ from txnlake import fixed_values as fixed
 from txnlake.functions import money, risk
 from txnlake.functions import temporal as temporal_
 from txnlake.operators import cdc, fraud, joins, monitor, ordering, quality, settlement
-from txnlake.plans import marts, serve, staging
+from txnlake.plans import marts, rebuild, serve, staging
 from txnlake.schemas import PRIMARY_KEYS, SERVING_TYPES
 from txnlake.session import scratch_path, tune
 from txnlake.sources import ingest, lake, serving, stand_in
@@ -443,10 +443,8 @@ def _load() -> dict[str, Query]:
     def loaded(spark: SparkSession, sf_dir: str) -> tuple[str, serving.ParquetTarget]:
         root = scratch_path(tune(spark), "marts")
         target = serving.ParquetTarget(f"{root}/serving")
-        built = marts.build_marts(stand_in.load_tables(spark, sf_dir))
-        for name, df in built.items():
-            serving.write_mart(df, f"{root}/marts", name)
-            serving.reload_mart(spark, f"{root}/marts", name, target)
+        rebuild.write_marts(stand_in.load_tables(spark, sf_dir), f"{root}/marts")
+        rebuild.load_marts(spark, f"{root}/marts", target)
         return f"{root}/marts", target
 
     def mart_reload(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -23,6 +23,8 @@ def state_conf(spark: SparkSession, partitions: int | None = None) -> dict[str,
         "spark.sql.shuffle.partitions": str(n),
         "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
         "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+        # Counting state rows would cost a read per write.
+        "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",
         "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
     }
 
