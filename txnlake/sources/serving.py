@@ -147,6 +147,5 @@ def insert_ignore(
         new.groupBy(*key)
         .agg(F.min_by(F.struct(*rest), first_by).alias("_first"))
         .select(*key, "_first.*")
-        .select(*new.columns)
     )
-    return first.join(existing.select(*key), key, "left_anti")
+    return first.join(existing.select(*key), key, "left_anti").select(*new.columns)
