@@ -113,12 +113,16 @@ def test_unwrap_keeps_the_last_image_of_a_delete(spark):
         message(1, {"before": image, "after": None, "op": "d", "source": source}),
         message(2, None),
     ]
-    flat = cdc.unwrap(spark.createDataFrame(rows, FEED_DDL), ROW)
+    envelopes = spark.createDataFrame(rows, FEED_DDL)
+    flat = cdc.unwrap_messages(envelopes, ROW)
     values = [r["value"] for r in flat.orderBy("offset").collect()]
     assert values[2] is None
     assert json.loads(values[0])["__deleted"] == "false"
     deleted = json.loads(values[1])
     assert deleted["id"] == 7 and deleted["__deleted"] == "true" and deleted["__op"] == "d"
+    direct = cdc.unwrap(cdc.route(envelopes), ROW).orderBy("offset").collect()
+    republished = cdc.decode(cdc.route(flat), ROW).orderBy("offset").collect()
+    assert direct == republished and [r["is_delete"] for r in direct] == [False, True]
 
 
 def test_envelope_text(spark):

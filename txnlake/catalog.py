@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +17,7 @@ from txnlake.plans import marts, rebuild, serve, staging
 from txnlake.schemas import PRIMARY_KEYS, SERVING_TYPES
 from txnlake.session import scratch_path, tune
 from txnlake.sources import ingest, lake, serving, stand_in
-from txnlake.sources.tables import Tables, row_counts
+from txnlake.sources.tables import LazyTables, Tables, row_counts
 from txnlake.streaming import lake_sink as lake_sink_
 from txnlake.streaming import monitors, refresh, run, state
 
@@ -197,8 +197,9 @@ def _fraud() -> dict[str, Query]:
 
 
 def _quality() -> dict[str, Query]:
-    def with_marts(t: Tables) -> dict[str, DataFrame]:
-        return {**t, **marts.build_marts(t)}
+    def with_marts(t: Tables) -> Tables:
+        built = {name: partial(build, t) for name, build in marts.MARTS.items()}
+        return LazyTables({**{name: partial(t.__getitem__, name) for name in t}, **built})
 
     return {
         "dq_not_null": _over_tables(
@@ -257,8 +258,8 @@ def _changes() -> dict[str, Query]:
         )
 
     def unwrapped(events: DataFrame) -> DataFrame:
-        feed = cdc.unwrap(stand_in.change_envelopes(events), stand_in.FEED_ROW)
-        return off(live_rows(cdc.decoded(feed, stand_in.FEED_ROW))).drop("props")
+        routed = cdc.route(cdc.subscribe(stand_in.change_envelopes(events)))
+        return off(live_rows(cdc.unwrap(routed, stand_in.FEED_ROW))).drop("props")
 
     def temporal(events: DataFrame) -> DataFrame:
         encoded = events.selectExpr(

@@ -42,14 +42,34 @@ def _once(value: Column) -> Column:
     return F.explode(F.array(value))
 
 
-def unwrap(envelopes: DataFrame, row_ddl: str) -> DataFrame:
-    """Before/after envelopes to flat messages; a delete keeps its last row image."""
+def _parse_envelope(envelopes: DataFrame, row_ddl: str) -> DataFrame:
     image = f"struct<{_struct_body(row_ddl)}>"
     ddl = (
         f"before {image}, after {image}, op string, "
         "source struct<ts_ms: bigint, `table`: string>"
     )
-    parsed = envelopes.withColumn("_e", _once(F.from_json("value", ddl, {"mode": "FAILFAST"})))
+    return envelopes.withColumn("_e", _once(F.from_json("value", ddl, {"mode": "FAILFAST"})))
+
+
+def unwrap(envelopes: DataFrame, row_ddl: str) -> DataFrame:
+    """Routed before/after envelopes to the columns of ``decode``, in one parse.
+
+    A delete keeps its last row image; tombstones drop out.
+    """
+    live = envelopes.where(F.col("value").isNotNull())
+    return _parse_envelope(live, row_ddl).select(
+        "table_name",
+        "offset",
+        "timestamp",
+        F.coalesce("_e.after", "_e.before").alias("row"),
+        F.col("_e.op").alias("op"),
+        F.col("_e.source.ts_ms").alias("ts_ms"),
+        (F.col("_e.op") == "d").alias("is_delete"),
+    )
+
+
+def unwrap_messages(envelopes: DataFrame, row_ddl: str) -> DataFrame:
+    """Envelopes to flat messages for publishing on; tombstones stay."""
     row = F.coalesce("_e.after", "_e.before")
     flat = F.struct(
         *[row[name].alias(name) for name in _field_names(row_ddl)],
@@ -58,9 +78,8 @@ def unwrap(envelopes: DataFrame, row_ddl: str) -> DataFrame:
         F.col("_e.source.table").alias("__table"),
         F.when(F.col("_e.op") == "d", "true").otherwise("false").alias("__deleted"),
     )
-    return parsed.withColumn(
-        "value", _once(F.when(F.col("value").isNotNull(), F.to_json(flat)))
-    ).drop("_e")
+    text = F.when(F.col("value").isNotNull(), F.to_json(flat))
+    return _parse_envelope(envelopes, row_ddl).withColumn("value", _once(text)).drop("_e")
 
 
 def decode(feed: DataFrame, row_ddl: str, mode: str = "FAILFAST") -> DataFrame:

@@ -6,12 +6,14 @@ Parquet files can compute the same tables. ``k`` is the order key, ``q`` is ``k`
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txnlake import fixed_values as fixed
 from txnlake.operators.settlement import settlement_batches
-from txnlake.sources.tables import lookup_tables, stream_parquet
+from txnlake.sources.tables import LazyTables, lookup_tables, stream_parquet
 
 EPOCH = "timestamp_ntz'1970-01-01 00:00:00'"
 
@@ -24,6 +26,11 @@ def _pick(values: list[str], index: str) -> str:
     return f"element_at({_sql_array(values)}, cast({index} as int) + 1)"
 
 
+def _pick_decimal(values: list[str], kind: str, index: str) -> str:
+    literals = ", ".join(f"cast({v} as {kind})" for v in values)
+    return f"element_at(array({literals}), cast({index} as int) + 1)"
+
+
 def _uuid(seed: str) -> str:
     digest = f"md5({seed})"
     parts = [(1, 8), (9, 4), (13, 4), (17, 4), (21, 12)]
@@ -162,8 +169,8 @@ def transactions(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
         )
         .selectExpr(
             "*",
-            f"cast(round(amount * cast({_pick(fixed.FEE_RATES, 'k % 4')} as decimal(4,3)) + "
-            f"cast({_pick(fixed.FEE_FLATS, 'k % 3')} as decimal(3,2)), 2) "
+            f"cast(round(amount * {_pick_decimal(fixed.FEE_RATES, 'decimal(4,3)', 'k % 4')} + "
+            f"{_pick_decimal(fixed.FEE_FLATS, 'decimal(3,2)', 'k % 3')}, 2) "
             "as decimal(10,2)) as fee",
         )
     )
@@ -247,27 +254,30 @@ def refunds(txns: DataFrame) -> DataFrame:
     )
 
 
-def load_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def load_tables(spark: SparkSession, sf_dir: str) -> LazyTables:
     """All 13 tables over ``<sf_dir>/*.parquet``."""
 
     def given(name: str) -> DataFrame:
         return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
-    txns = transactions(given("orders"), given("lineitem"))
-    customer, supplier = given("customer"), given("supplier")
     lookups = lookup_tables(spark)
-    return {
-        "countries": countries(given("nation")),
-        **lookups,
-        "merchants": merchants(supplier),
-        "pos_terminals": pos_terminals(supplier),
-        "clients": clients(customer),
-        "payment_cards": payment_cards(customer),
-        "transactions": txns,
-        "fraud_alerts": fraud_alerts(txns),
-        "refunds": refunds(txns),
-        "settlement_batches": settlement_batches(txns, lookups["transaction_statuses"]),
-    }
+    tables = LazyTables(
+        {
+            "countries": lambda: countries(given("nation")),
+            **{name: partial(lookups.__getitem__, name) for name in lookups},
+            "merchants": lambda: merchants(given("supplier")),
+            "pos_terminals": lambda: pos_terminals(given("supplier")),
+            "clients": lambda: clients(given("customer")),
+            "payment_cards": lambda: payment_cards(given("customer")),
+            "transactions": lambda: transactions(given("orders"), given("lineitem")),
+            "fraud_alerts": lambda: fraud_alerts(tables["transactions"]),
+            "refunds": lambda: refunds(tables["transactions"]),
+            "settlement_batches": lambda: settlement_batches(
+                tables["transactions"], tables["transaction_statuses"]
+            ),
+        }
+    )
+    return tables
 
 
 # --- The change feed, from events ------------------------------------------------

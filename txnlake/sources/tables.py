@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Iterator, Mapping
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,12 +15,31 @@ from txnlake.schemas import TABLE_SCHEMAS
 Tables = Mapping[str, DataFrame]
 
 
-def read_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+class LazyTables(Mapping):
+    """Tables by name, each defined when first asked for."""
+
+    def __init__(self, builders: Mapping[str, Callable[[], DataFrame]]):
+        self._builders, self._built = dict(builders), {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            self._built[name] = self._builders[name]()
+        return self._built[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._builders)
+
+    def __len__(self) -> int:
+        return len(self._builders)
+
+
+def read_tables(spark: SparkSession, root: str) -> LazyTables:
     """All 13 tables from ``<root>/<table>``, with their declared schemas."""
-    return {
-        name: spark.read.schema(schema).parquet(f"{root.rstrip('/')}/{name}")
-        for name, schema in TABLE_SCHEMAS.items()
-    }
+
+    def reader(name: str, schema: str) -> Callable[[], DataFrame]:
+        return lambda: spark.read.schema(schema).parquet(f"{root.rstrip('/')}/{name}")
+
+    return LazyTables({name: reader(name, schema) for name, schema in TABLE_SCHEMAS.items()})
 
 
 def read_jdbc_table(
@@ -62,26 +81,21 @@ def values_table(spark: SparkSession, rows: list[tuple], ddl: str) -> DataFrame:
     return spark.sql(f"SELECT {casts} FROM VALUES {body} AS t({', '.join(schema.names)})")
 
 
-def lookup_tables(spark: SparkSession) -> dict[str, DataFrame]:
-    """The literal lookups."""
-
-    def numbered(rows: list[tuple], ddl: str) -> DataFrame:
-        return values_table(spark, [(i, *r) for i, r in enumerate(rows, 1)], ddl)
-
-    return {
-        "transaction_types": numbered(
-            fixed.TRANSACTION_TYPES, "type_id int, code string, label string, is_debit int"
-        ),
-        "transaction_statuses": numbered(
-            fixed.TRANSACTION_STATUSES, "status_id int, code string, label string"
-        ),
-        "card_networks": numbered(
-            fixed.CARD_NETWORKS, "network_id int, name string, prefix_regex string"
-        ),
-        "merchant_categories": values_table(
-            spark, fixed.MERCHANT_CATEGORIES, "mcc int, description string"
-        ),
-    }
+def lookup_tables(spark: SparkSession) -> LazyTables:
+    """The literal lookups; surrogate ids count from 1."""
+
+    def table(rows: list[tuple], name: str, numbered: bool = True) -> Callable[[], DataFrame]:
+        keyed = [(i, *r) for i, r in enumerate(rows, 1)] if numbered else rows
+        return lambda: values_table(spark, keyed, TABLE_SCHEMAS[name])
+
+    return LazyTables(
+        {
+            "transaction_types": table(fixed.TRANSACTION_TYPES, "transaction_types"),
+            "transaction_statuses": table(fixed.TRANSACTION_STATUSES, "transaction_statuses"),
+            "card_networks": table(fixed.CARD_NETWORKS, "card_networks"),
+            "merchant_categories": table(fixed.MERCHANT_CATEGORIES, "merchant_categories", False),
+        }
+    )
 
 
 def row_counts(tables: Tables) -> DataFrame:

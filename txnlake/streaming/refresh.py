@@ -107,8 +107,8 @@ class RefreshTrigger:
     def _before(self, batch_id: int) -> dict | None:
         if batch_id == 0:
             return None
-        rows = self.decisions().where(F.col("batch_id") == batch_id - 1).take(1)
-        return rows[0].asDict() if rows else None
+        row = self.spark.read.schema(LOG_DDL).parquet(f"{self.log}/batch_id={batch_id - 1}")
+        return row.first().asDict()
 
     def _decide(self, batch_id: int, n_events: int, now: datetime) -> None:
         before = self._before(batch_id)
