@@ -46,28 +46,58 @@ def trailing_counts(
 ) -> DataFrame:
     """Per client and second, the transactions of the last ``seconds`` up to it.
 
-    Returns ``client_id, _sec, n_in_window`` (and, with ``distinct``, that column's number
-    of different values as ``n_distinct``). Transactions first collapse to counts per
-    second, so a window never holds more than one row per second and value. A client's
-    time is cut into slices of a few windows, and the rows that the next slice looks back
-    on are repeated there: a client with most of the data still spreads over many tasks.
+    Returns ``client_id, _sec, n_in_window`` (and, with ``distinct``, that column and how
+    many different values of it as ``n_distinct``).
+
+    Transactions first collapse to counts per second, so no window holds more than one row
+    per second and value. A client's time is cut into slices of a few windows, and rows the
+    next slice looks back on are repeated there: a client with most of the data spreads
+    over many tasks. Within a slice every count is added at its second and taken off when
+    its window has passed; the running total is the trailing count, in one pass. A value
+    likewise appears with its first row in a while and vanishes a window after its last.
     """
-    grain = [distinct] if distinct else []
+    value = [distinct] if distinct else []
     length = WINDOWS_PER_SLICE * seconds
     own = F.floor(F.col("_sec") / length)
     needed_later = F.col("_sec") >= (own + 1) * length - seconds
-    per_second = (
-        txns.groupBy("client_id", epoch_seconds(F.col("initiated_at")).alias("_sec"), *grain)
+    sliced = (
+        txns.groupBy("client_id", epoch_seconds(F.col("initiated_at")).alias("_sec"), *value)
         .agg(F.count(F.lit(1)).alias("_n"))
         .withColumn(
             "_slice", F.explode(F.when(needed_later, F.array(own, own + 1)).otherwise(F.array(own)))
         )
     )
-    window = Window.partitionBy("client_id", "_slice").orderBy("_sec").rangeBetween(-seconds, 0)
-    counted = per_second.withColumn("n_in_window", F.sum("_n").over(window))
+    appears = vanishes = F.lit(0)
     if distinct:
-        counted = counted.withColumn("n_distinct", F.size(F.collect_set(distinct).over(window)))
-    return counted.where(F.col("_slice") == own).drop("_n", "_slice")
+        by_value = Window.partitionBy("client_id", "_slice").orderBy(distinct, "_sec")
+        same = lambda side: F.when(
+            side(distinct).over(by_value) == F.col(distinct), side("_sec").over(by_value)
+        )
+        sliced = sliced.select("*", same(F.lag).alias("_before"), same(F.lead).alias("_after"))
+        far = lambda gap: F.coalesce((gap > seconds).cast("int"), F.lit(1))
+        appears = far(F.col("_sec") - F.col("_before"))
+        vanishes = far(F.col("_after") - F.col("_sec"))
+
+    def change(at, n, values, arrives):
+        return F.struct(
+            at.alias("_at"), n.alias("_dn"), values.alias("_dv"), F.lit(arrives).alias("_arrives")
+        )
+
+    changes = F.array(
+        change(F.col("_sec"), F.col("_n"), appears, True),
+        change(F.col("_sec") + seconds + 1, -F.col("_n"), -vanishes, False),
+    )
+    running = Window.partitionBy("client_id", "_slice").orderBy("_at")
+    counted = (
+        sliced.select("client_id", "_sec", *value, "_slice", F.inline(changes))
+        .where(F.col("_at") < (F.col("_slice") + 1) * length)
+        .withColumn("n_in_window", F.sum("_dn").over(running))
+    )
+    if distinct:
+        counted = counted.withColumn("n_distinct", F.sum("_dv").over(running).cast("int"))
+    return counted.where(F.col("_arrives") & (F.col("_slice") == own)).drop(
+        "_slice", "_at", "_dn", "_dv", "_arrives"
+    )
 
 
 def _burst(
