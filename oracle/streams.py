@@ -37,10 +37,10 @@ def oracles() -> dict[str, str]:
                    WHERE op <> 'd' GROUP BY 1, 2""",
         ),
         "lake_channel_revenue": using(
-            "changes",
-            sql="""SELECT event_type, count(*) AS txns,
+            "transactions",
+            sql="""SELECT channel, count(*) AS txns,
                           CAST(sum(amount) AS DECIMAL(24,2)) AS revenue
-                   FROM changes WHERE op <> 'd' GROUP BY 1""",
+                   FROM transactions GROUP BY 1""",
         ),
         "mart_reload": using(*M3_TABLES, sql=M3),
         "load_reconcile": using(

@@ -148,6 +148,8 @@ def test_topic_pattern_escapes_dots():
     assert options["subscribePattern"] == cdc.topic_pattern()
     assert (options["minOffsetsPerTrigger"], options["maxTriggerDelay"]) == ("100", "10s")
     assert options["startingOffsets"] == "earliest"
+    one = kafka_options("b:9092", table="clients")
+    assert one["subscribe"] == "cdc.payment_gateway.clients" and "subscribePattern" not in one
 
 
 def test_poll_is_strict_and_keeps_the_mark_when_nothing_is_new(spark):

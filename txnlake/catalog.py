@@ -429,14 +429,19 @@ def _lake() -> dict[str, Query]:
         ]
         return reduce(DataFrame.unionByName, counts)
 
-    def revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
-        rows = archive(spark, sf_dir, scratch_path(spark, "lake_revenue"), "snappy")
-        return lake.revenue_by(rows, "event_type")
+    def revenue(t: Tables) -> DataFrame:
+        # A snapshot of the transactions, archived on one ingest day.
+        txns, day = t["transactions"], datetime(2024, 1, 31)
+        root = scratch_path(txns.sparkSession, "lake_revenue")
+        rows = cdc.normalise(ingest.snapshot(txns)).withColumn("_ingested_at", F.lit(day))
+        lake.write_day_partitions(rows, root)
+        archived = lake.read_lake(txns.sparkSession, root, day.date(), day.date())
+        return lake.revenue_by(archived, "channel")
 
     return {
         "lake_sink": lake_sink,
         "lake_sink_codec": codecs,
-        "lake_channel_revenue": revenue,
+        "lake_channel_revenue": _over_tables(revenue),
     }
 
 

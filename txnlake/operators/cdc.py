@@ -24,6 +24,12 @@ def topic_pattern(prefix: str = fixed.TOPIC_PREFIX, database: str = fixed.DATABA
     return f"^{re.escape(f'{prefix}.{database}')}\\..+"
 
 
+def table_topic(
+    table: str, prefix: str = fixed.TOPIC_PREFIX, database: str = fixed.DATABASE
+) -> str:
+    return f"{prefix}.{database}.{table}"
+
+
 def subscribe(feed: DataFrame, pattern: str | None = None) -> DataFrame:
     """Messages whose topic matches; a Kafka source takes the same pattern as an option."""
     return feed.where(F.col("topic").rlike(pattern or topic_pattern()))

@@ -42,17 +42,18 @@ class Thresholds:
 
 
 def trailing_counts(
-    txns: DataFrame, seconds: int, distinct: str | None = None
+    txns: DataFrame, seconds: int, minimum: int = 1, distinct: str | None = None
 ) -> DataFrame:
     """Per client and second, the transactions of the last ``seconds`` up to it.
 
     Returns ``client_id, _sec, n_in_window`` (and, with ``distinct``, that column and how
-    many different values of it as ``n_distinct``).
+    many different values of it as ``n_distinct``) where there are at least ``minimum``.
 
     Transactions first collapse to counts per second, so no window holds more than one row
     per second and value. A client's time is cut into slices of a few windows, and rows the
     next slice looks back on are repeated there: a client with most of the data spreads
-    over many tasks. Within a slice every count is added at its second and taken off when
+    over many tasks. Slices with fewer than ``minimum`` transactions in all, mostly nearly
+    all of them, drop out right after the shuffle. Within a slice every count is added at its second and taken off when
     its window has passed; the running total is the trailing count, in one pass. A value
     likewise appears with its first row in a while and vanishes a window after its last.
     """
@@ -66,6 +67,9 @@ def trailing_counts(
         .withColumn(
             "_slice", F.explode(F.when(needed_later, F.array(own, own + 1)).otherwise(F.array(own)))
         )
+        .withColumn("_total", F.sum("_n").over(Window.partitionBy("client_id", "_slice")))
+        .where(F.col("_total") >= minimum)
+        .drop("_total")
     )
     appears = vanishes = F.lit(0)
     if distinct:
@@ -95,7 +99,8 @@ def trailing_counts(
     )
     if distinct:
         counted = counted.withColumn("n_distinct", F.sum("_dv").over(running).cast("int"))
-    return counted.where(F.col("_arrives") & (F.col("_slice") == own)).drop(
+    hits = F.col("_arrives") & (F.col("_slice") == own) & (F.col("n_in_window") >= minimum)
+    return counted.where(hits).drop(
         "_slice", "_at", "_dn", "_dv", "_arrives"
     )
 
@@ -104,7 +109,7 @@ def _burst(
     txns: DataFrame, seconds: int, minimum: int, distinct: str | None = None
 ) -> DataFrame:
     """Transactions with at least ``minimum`` of the client's in their trailing window."""
-    hits = trailing_counts(txns, seconds, distinct).where(F.col("n_in_window") >= minimum)
+    hits = trailing_counts(txns, seconds, minimum, distinct)
     on = ["client_id", "_sec", *([distinct] if distinct else [])]
     return txns.withColumn("_sec", epoch_seconds(F.col("initiated_at"))).join(hits, on).drop("_sec")
 

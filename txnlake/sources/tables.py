@@ -74,7 +74,9 @@ def values_table(spark: SparkSession, rows: list[tuple], ddl: str) -> DataFrame:
     def literal(value: object) -> str:
         if value is None:
             return "NULL"
-        return str(value) if isinstance(value, int) else "r'" + str(value) + "'"
+        if isinstance(value, int):
+            return str(value)
+        return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
 
     body = ", ".join("(" + ", ".join(map(literal, row)) + ")" for row in rows)
     casts = ", ".join(f"CAST({f.name} AS {f.dataType.simpleString()}) {f.name}" for f in schema)

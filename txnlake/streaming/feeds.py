@@ -9,26 +9,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnlake.operators.cdc import topic_pattern
+from txnlake.operators.cdc import table_topic, topic_pattern
 
 FEED_DDL = "topic string, offset bigint, timestamp timestamp, value string"
 
 
 def kafka_options(
     brokers: str,
-    pattern: str | None = None,
+    table: str | None = None,
     flush_rows: int | None = None,
     flush_seconds: int | None = None,
     max_rows: int | None = None,
 ) -> dict[str, str]:
-    """Options of a pattern subscription from the earliest offset.
+    """Options of a subscription from the earliest offset.
 
-    A micro-batch runs once ``flush_rows`` are waiting or ``flush_seconds`` have passed.
+    Without ``table`` it takes all topics of the database, also those that appear later; a
+    query that handles one table should read only its topic. A micro-batch runs once ``flush_rows`` are waiting or ``flush_seconds`` have passed.
     """
     options = {
         "kafka.bootstrap.servers": brokers,
-        "subscribePattern": pattern or topic_pattern(),
         "startingOffsets": "earliest",
+        **({"subscribe": table_topic(table)} if table else {"subscribePattern": topic_pattern()}),
     }
     if flush_rows is not None:
         options["minOffsetsPerTrigger"] = str(flush_rows)

@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from txnlake import fixed_values as fixed
 from txnlake.operators import cdc
 from txnlake.sources.lake import DAY, with_day
 from txnlake.streaming.run import start
@@ -28,8 +27,8 @@ def start_lake_sink(
     Each table has its own query, schema and checkpoint, so a slow or broken one holds up
     no other. The file sink's log makes a replayed batch visible once.
     """
-    topic = f"{fixed.TOPIC_PREFIX}.{fixed.DATABASE}.{table}"
-    rows = cdc.lake_rows(feed.where(F.col("topic") == topic), row_ddl, skip_deletes, ingest)
+    changes = feed.where(F.col("topic") == cdc.table_topic(table))
+    rows = cdc.lake_rows(changes, row_ddl, skip_deletes, ingest)
     writer = (
         with_day(rows.drop("table_name"))
         .writeStream.format("parquet")
