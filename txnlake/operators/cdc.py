@@ -217,19 +217,23 @@ def dedupe(changes: DataFrame, keys: list[str]) -> DataFrame:
     return changes.dropDuplicates([*keys, "ts_ms"])
 
 
-def envelope(rows: DataFrame, table: str, op: str, ts: Column | None = None) -> DataFrame:
-    """Polled-message text ``{"_meta": {table, op, ts_ms}, "payload": {...}}`` per row."""
+def envelope_text(columns: list[str], table: str, op: str, ts: Column | None = None) -> Column:
+    """Polled-message text ``{"_meta": {table, op, ts_ms}, "payload": {...}}``."""
     ts = F.current_timestamp() if ts is None else ts
     meta = F.struct(
         F.lit(table).alias("table"), F.lit(op).alias("op"), epoch_millis(ts).alias("ts_ms")
     )
-    message = F.struct(meta.alias("_meta"), F.struct(*rows.columns).alias("payload"))
+    message = F.struct(meta.alias("_meta"), F.struct(*columns).alias("payload"))
     options = {
         "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
         "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
         "ignoreNullFields": "false",
     }
-    return rows.select(F.to_json(message, options).alias("value"))
+    return F.to_json(message, options)
+
+
+def envelope(rows: DataFrame, table: str, op: str, ts: Column | None = None) -> DataFrame:
+    return rows.select(envelope_text(rows.columns, table, op, ts).alias("value"))
 
 
 def _field_names(row_ddl: str) -> list[str]:

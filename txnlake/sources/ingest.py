@@ -2,14 +2,29 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping
+from datetime import datetime
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from txnlake.operators.cdc import envelope_text
 from txnlake.schemas import PRIMARY_KEYS, WATERMARK_COLUMN, polled_tables
 from txnlake.sources.tables import Tables, values_table
 
+# Where polled messages go, and the state log: one row per finished or reset table.
+POLL_PREFIX = "pg"
+STATE_DDL = (
+    "table_name string, status string, n_rows bigint, completed_at timestamp, offset bigint"
+)
+Marks = Mapping[str, datetime] | datetime
+
+
+def _mark(marks: Marks, table: str) -> datetime:
+    return marks[table] if isinstance(marks, Mapping) else marks
+
 
 def snapshot(df: DataFrame) -> DataFrame:
     """Every row as a snapshot read.
@@ -35,10 +50,10 @@ def poll(df: DataFrame, high_water: object, column: str = WATERMARK_COLUMN) -> D
     return df.where(F.col(column) > F.lit(high_water)).withColumn("op", F.lit("c"))
 
 
-def poll_all(tables: Tables, high_water: object) -> DataFrame:
+def poll_all(tables: Tables, marks: Marks) -> DataFrame:
     """``table_name, pk, op, created_at`` of one poll of every table that can be followed."""
     return _union(
-        poll(tables[name], high_water).select(
+        poll(tables[name], _mark(marks, name)).select(
             F.lit(name).alias("table_name"),
             F.col(PRIMARY_KEYS[name]).cast("bigint").alias("pk"),
             "op",
@@ -49,17 +64,17 @@ def poll_all(tables: Tables, high_water: object) -> DataFrame:
     )
 
 
-def new_high_water(tables: Tables, high_water: object) -> DataFrame:
+def new_high_water(tables: Tables, marks: Marks) -> DataFrame:
     """Per table, rows found by a poll and the mark for the next; no rows keep the mark."""
 
     def one(name: str) -> DataFrame:
         return (
-            poll(tables[name], high_water)
+            poll(tables[name], _mark(marks, name))
             .agg(F.count(F.lit(1)).alias("n_rows"), F.max(WATERMARK_COLUMN).alias("newest"))
             .select(
                 F.lit(name).alias("table_name"),
                 "n_rows",
-                F.coalesce("newest", F.lit(high_water)).alias("high_water"),
+                F.coalesce("newest", F.lit(_mark(marks, name))).alias("high_water"),
             )
         )
 
@@ -84,5 +99,103 @@ def pending_tables(catalogue: DataFrame, state: DataFrame) -> DataFrame:
     return catalogue.join(done, "table_name", "left_anti")
 
 
+def _messages(rows: DataFrame, table: str, op: str, *keep: str) -> DataFrame:
+    return rows.select(
+        F.lit(table).alias("table_name"),
+        *keep,
+        F.lit(f"{POLL_PREFIX}.{table}").alias("topic"),
+        envelope_text(rows.columns, table, op).alias("value"),
+    )
+
+
+def kafka_publisher(brokers: str) -> Callable[[DataFrame], None]:
+    """Publishes ``topic, value`` rows; needs the Kafka connector on the class path."""
+
+    def publish(messages: DataFrame) -> None:
+        (
+            messages.select("topic", "value")
+            .write.format("kafka")
+            .option("kafka.bootstrap.servers", brokers)
+            .option("kafka.acks", "all")
+            .option("kafka.compression.type", "gzip")
+            .option("kafka.linger.ms", "20")
+            .save()
+        )
+
+    return publish
+
+
+def load_state(spark: SparkSession, root: str) -> DataFrame:
+    """The state log of full loads; empty before the first."""
+    try:
+        return spark.read.schema(STATE_DDL).parquet(f"{root}/state")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], STATE_DDL)
+
+
+def set_state(spark: SparkSession, root: str, table: str, status: str, n_rows: int = 0) -> None:
+    """Append a ``completed`` or ``reset`` mark for a table."""
+    last = load_state(spark, root).agg(F.max("offset")).first()[0]
+    row = (table, status, n_rows, datetime.now(), 0 if last is None else last + 1)
+    spark.createDataFrame([row], STATE_DDL).coalesce(1).write.mode("append").parquet(
+        f"{root}/state"
+    )
+
+
+def full_load(tables: Tables, root: str) -> list[str]:
+    """Write a snapshot of every table not yet completed below ``<root>/snapshot``.
+
+    A table is marked once it is written whole; a run that broke off writes it again.
+    Returns the tables loaded.
+    """
+    spark = next(iter(tables.values())).sparkSession
+    pending = pending_tables(table_list(spark), load_state(spark, root))
+    names = [r["table_name"] for r in pending.collect() if r["table_name"] in tables]
+    for name in names:
+        path = f"{root}/snapshot/{name}"
+        _messages(tables[name], name, "r").write.mode("overwrite").parquet(path)
+        set_state(spark, root, name, "completed", spark.read.parquet(path).count())
+    return names
+
+
+def poll_cycle(
+    tables: Tables,
+    root: str,
+    cycle: int,
+    start: Marks,
+    publish: Callable[[DataFrame], None] | None = None,
+) -> dict[str, datetime]:
+    """One poll of every table that can be followed; returns the marks for the next.
+
+    New rows are stored below ``<root>/polled`` under the cycle's number and the marks are
+    the newest times among just those rows, so rows that arrive meanwhile wait for the next
+    cycle. A repeated cycle overwrites itself. ``start`` serves the first cycle only.
+    """
+    spark = next(iter(tables.values())).sparkSession
+    followed = [name for name in polled_tables() if name in tables]
+    marks = {name: _mark(start, name) for name in followed}
+    if cycle > 0:
+        before = spark.read.parquet(f"{root}/marks/cycle={cycle - 1}")
+        marks.update({r["table_name"]: r["high_water"] for r in before.collect()})
+
+    def new_rows(name: str) -> DataFrame:
+        fresh = tables[name].where(F.col(WATERMARK_COLUMN) > F.lit(marks[name]))
+        return _messages(fresh, name, "c", WATERMARK_COLUMN)
+
+    path = f"{root}/polled/cycle={cycle}"
+    _union(new_rows(name) for name in followed).write.mode("overwrite").parquet(path)
+    stored = spark.read.parquet(path)
+    kind = stored.schema[WATERMARK_COLUMN].dataType.simpleString()
+    if publish is not None:
+        publish(stored)
+    newest = stored.groupBy("table_name").agg(F.max(WATERMARK_COLUMN).alias("high_water"))
+    marks.update({r["table_name"]: r["high_water"] for r in newest.collect()})
+    kept = spark.createDataFrame(list(marks.items()), f"table_name string, high_water {kind}")
+    kept.coalesce(1).write.mode("overwrite").parquet(f"{root}/marks/cycle={cycle}")
+    return marks
+
+
 def _union(parts) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
