@@ -30,16 +30,24 @@ def state_conf(spark: SparkSession, partitions: int | None = None) -> dict[str,
 
 
 def start(
-    writer: DataStreamWriter, spark: SparkSession, every: str | None = None
+    writer: DataStreamWriter,
+    spark: SparkSession,
+    every: str | None = None,
+    partitions: int | None = None,
 ) -> StreamingQuery:
     """Start a query; without ``every`` it takes what is there now and ends."""
     writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
-    with session_conf(spark, state_conf(spark)):
+    with session_conf(spark, state_conf(spark, partitions)):
         return writer.start()
 
 
 def append_to(
-    stream: DataFrame, path: str, checkpoint: str, every: str | None = None, **options
+    stream: DataFrame,
+    path: str,
+    checkpoint: str,
+    every: str | None = None,
+    partitions: int | None = None,
+    **options,
 ) -> StreamingQuery:
     """Append a stream to Parquet exactly once."""
     writer = (
@@ -49,7 +57,7 @@ def append_to(
         .option("path", path)
         .option("checkpointLocation", checkpoint)
     )
-    return start(writer, stream.sparkSession, every)
+    return start(writer, stream.sparkSession, every, partitions)
 
 
 def for_each_batch(
