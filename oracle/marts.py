@@ -5,7 +5,7 @@ from oracle.tables import avg_cents, pct, using
 M1 = f"""
     SELECT CAST(t.initiated_at AS DATE) AS txn_date, s.code AS status, t.channel, t.currency,
            count(*) AS txn_count, CAST(sum(t.amount) AS DECIMAL(18,2)) AS gross_amount,
-           CAST(sum(t.fee) AS DECIMAL(14,2)) AS total_fees,
+           CAST(sum(t.fee) AS DECIMAL(18,2)) AS total_fees,
            CAST(sum(t.net_amount) AS DECIMAL(18,2)) AS net_amount,
            CAST(sum(t.is_flagged) AS BIGINT) AS fraud_count,
            {pct("sum(t.is_flagged)", "count(*)")} AS fraud_rate_pct,
@@ -18,7 +18,7 @@ M2 = f"""
     SELECT m.merchant_id, m.trade_name, m.legal_name, mc.description AS category,
            c.name AS country, count(a.txn_id) AS total_txns,
            CAST(sum(a.amount) AS DECIMAL(18,2)) AS gross_revenue,
-           CAST(sum(a.fee) AS DECIMAL(14,2)) AS total_fees,
+           CAST(sum(a.fee) AS DECIMAL(18,2)) AS total_fees,
            CAST(sum(a.net_amount) AS DECIMAL(18,2)) AS net_revenue,
            CASE WHEN count(a.amount) > 0 THEN
                 {avg_cents("sum(a.amount)", "greatest(count(a.amount), 1)")} END AS avg_txn_value,

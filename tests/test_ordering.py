@@ -16,6 +16,12 @@ def test_rank_matches_competition_rank_across_ranges(spark):
     assert got == {i: 1 + sum(other > k for other in keys) for i, k in enumerate(keys)}
 
 
+def test_rank_puts_nulls_last(spark):
+    df = spark.createDataFrame([(1, None), (2, 0), (3, 9), (4, None)], "id long, key long")
+    ranked = ordering.rank_descending(df, F.col("key"), "rnk").collect()
+    assert {r["id"]: r["rnk"] for r in ranked} == {3: 1, 2: 2, 1: 3, 4: 3}
+
+
 def test_rank_by_risk_orders_by_score_then_amount(spark):
     rows = [(1, 60, "9999.99"), (2, 75, "0.01"), (3, 75, "10.00"), (4, 75, "10.00")]
     df = spark.createDataFrame(

@@ -480,7 +480,7 @@ def _load() -> dict[str, Query]:
         # Batches of odd merchants are already there, with a count of zero; all batches
         # arrive, each twice.
         new = t["settlement_batches"].select("batch_id", "merchant_id", "batch_date", "txn_count")
-        existing = new.where("merchant_id % 2 = 1").withColumn("txn_count", F.lit(0))
+        existing = new.where("merchant_id % 2 = 1").withColumn("txn_count", F.lit(0).cast("bigint"))
         added = serving.insert_ignore(
             existing, new.unionByName(new), ["merchant_id", "batch_date"], "batch_id"
         )

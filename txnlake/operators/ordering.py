@@ -9,13 +9,14 @@ RANGE = 1_000_000
 
 
 def rank_descending(df: DataFrame, key: Column, name: str) -> DataFrame:
-    """Competition rank of every row by a non-negative bigint ``key``, highest first.
+    """Competition rank of every row by a non-negative bigint ``key``, highest first, NULLs last.
 
     Equal keys share a rank, so rows first collapse to counts per distinct key. Counts are
     then summed over two levels of fixed key ranges; running totals within a range of at
     most a million distinct keys, within a million ranges, and over the top ranges add up
     to the number of rows ahead. No window holds more rows than that, whatever the skew.
     """
+    key = F.coalesce(key, F.lit(-1))
     low, top = F.floor(F.col("_key") / RANGE), F.floor(F.col("_low") / RANGE)
     per_key = (
         df.groupBy(key.alias("_key"))

@@ -25,10 +25,10 @@ def settlement_batches(
         statuses.where("code = 'APPROVED'").select("status_id"), "status_id"
     )
     daily = approved.groupBy("merchant_id", F.to_date("initiated_at").alias("batch_date")).agg(
-        F.count(F.lit(1)).cast("int").alias("txn_count"),
-        money(F.sum("amount"), 16).alias("gross_amount"),
-        money(F.sum("fee")).alias("total_fees"),
-        money(F.sum(F.col("amount") - F.col("fee")), 16).alias("net_payout"),
+        F.count(F.lit(1)).alias("txn_count"),
+        money(F.sum("amount"), 18).alias("gross_amount"),
+        money(F.sum("fee"), 18).alias("total_fees"),
+        money(F.sum(F.col("amount") - F.col("fee")), 18).alias("net_payout"),
     )
     if as_of is None:
         last_day = transactions.agg(F.max(F.to_date("initiated_at"))).scalar()

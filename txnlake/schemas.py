@@ -54,8 +54,8 @@ TABLE_SCHEMAS: dict[str, str] = {
         "is_confirmed int, reviewed_by string, reviewed_at timestamp, created_at timestamp"
     ),
     "settlement_batches": (
-        "batch_id bigint, merchant_id bigint, batch_date date, txn_count int, "
-        "gross_amount decimal(16,2), total_fees decimal(14,2), net_payout decimal(16,2), "
+        "batch_id bigint, merchant_id bigint, batch_date date, txn_count bigint, "
+        "gross_amount decimal(18,2), total_fees decimal(18,2), net_payout decimal(18,2), "
         "currency string, status string, settled_at timestamp, created_at timestamp"
     ),
 }
@@ -130,9 +130,10 @@ UNIQUE_KEYS: list[tuple[str, tuple[str, ...]]] = [
     ("settlement_batches", ("merchant_id", "batch_date")),
 ]
 
-# Column types of the served marts; marts are cast to these before any write. Entity
-# ids stay bigint: a 32-bit id would overflow on large tables. ``None`` keeps a timestamp
-# in whichever flavour (with or without zone) it was read.
+# Column types of the served marts; marts are cast to these before any write. Entity ids
+# and fee totals are wider than a small serving table needs: a 32-bit id or a twelve-digit
+# total would overflow on large tables with one very busy merchant. ``None`` keeps a
+# timestamp in whichever flavour (with or without zone) it was read.
 SERVING_TYPES: dict[str, dict[str, str | None]] = {
     "mart_daily_transaction_summary": {
         "txn_date": "date",
@@ -141,7 +142,7 @@ SERVING_TYPES: dict[str, dict[str, str | None]] = {
         "currency": "string",
         "txn_count": "bigint",
         "gross_amount": "decimal(18,2)",
-        "total_fees": "decimal(14,2)",
+        "total_fees": "decimal(18,2)",
         "net_amount": "decimal(18,2)",
         "fraud_count": "bigint",
         "fraud_rate_pct": "decimal(6,2)",
@@ -156,7 +157,7 @@ SERVING_TYPES: dict[str, dict[str, str | None]] = {
         "country": "string",
         "total_txns": "bigint",
         "gross_revenue": "decimal(18,2)",
-        "total_fees": "decimal(14,2)",
+        "total_fees": "decimal(18,2)",
         "net_revenue": "decimal(18,2)",
         "avg_txn_value": "decimal(14,2)",
         "fraud_txns": "bigint",
