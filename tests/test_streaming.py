@@ -1,9 +1,14 @@
 """Streams over several micro-batches, with restarts from their checkpoints."""
 
 import json
+import os
+import subprocess
+import sys
+import tempfile
 from datetime import datetime, timedelta
 
 import pytest
+from conftest import SF_DIR
 from pyspark.sql import functions as F
 
 from txnlake.operators import cdc
@@ -147,6 +152,31 @@ def test_refresh_decisions_count_empty_ticks(spark):
     ]
 
 
+def test_decisions_follow_the_rule_and_pickle_without_the_package(spark):
+    rule = refresh.RefreshRule(rows=3, seconds=60)
+    events = [0, 5, 12, 14, 15, 90, 91, 300, 301, 302, 303, 500]
+    changes = spark.createDataFrame(
+        [(START + timedelta(seconds=s),) for s in events], "timestamp timestamp"
+    )
+    for row in refresh.refresh_decisions(changes, rule, 10).collect():
+        assert row["reason"] == rule.reason(row["pending"], row["elapsed_seconds"])
+    script = (
+        "import sys; sys.path.insert(0, sys.argv[1])\n"
+        "import __spark_entry__ as e\n"
+        "from pyspark.sql import SparkSession\n"
+        "spark = SparkSession.builder.master('local[2]')"
+        ".config('spark.ui.enabled', 'false').getOrCreate()\n"
+        "print('rows', e.queries()['refresh_trigger'](spark, sys.argv[2]).count())\n"
+    )
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    done = subprocess.run(
+        [sys.executable, "-c", script, root, SF_DIR],
+        cwd=tempfile.gettempdir(), env=env, capture_output=True, text=True, timeout=180,
+    )
+    assert "rows " in done.stdout, done.stderr[-2000:]
+
+
 def test_dedupe_across_batches(spark, feed, folder):
     feed.add((1, "c", "a"))
     feed.offset = 0  # the same delivery again

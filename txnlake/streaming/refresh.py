@@ -46,6 +46,8 @@ def refresh_decisions(
     Changes are counted per tick in parallel. Each decision depends on the one before, so
     the tick counts, one small row per tick whatever the volume, are walked in order.
     """
+    # Plain values only, so that workers need nothing but pandas to run the walk.
+    rows, seconds = rule.rows, rule.seconds
     tick = F.floor(F.unix_seconds("timestamp") / tick_seconds).cast("bigint")
     counts = changes.groupBy(tick.alias("tick")).agg(F.count(F.lit(1)).alias("n_events"))
 
@@ -58,7 +60,8 @@ def refresh_decisions(
         for number in range(first, last + 1):
             pending += seen.get(number, 0)
             elapsed = (number + 1) * tick_seconds - since
-            reason = rule.reason(pending, elapsed)
+            late = elapsed >= seconds and pending > 0
+            reason = "rows" if pending >= rows else "time" if late else "none"
             start = pd.Timestamp(number * tick_seconds, unit="s")
             out.append((start, seen.get(number, 0), pending, elapsed, reason))
             if reason != "none":
