@@ -31,3 +31,8 @@ def whole_text(text: str = "text") -> Column:
 
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def arrow_rows(spark: SparkSession, rows: int) -> None:
+    """Rows of an Arrow batch from now on: texts may be long, so batches of them are short."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnlake.llm import chat, url_filter
-from txnlake.llm.common import read_table
+from txnlake.llm import chat, mixing, packing, token_file, url_filter
+from txnlake.llm.common import arrow_rows, read_table
 
 #: Rules of the URL query: (action, host, path).
 URL_RULES = (
@@ -30,14 +30,42 @@ def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.chat_digest(chat.read_chats(chat.format_chats(messages)))
 
 
+def tokenizer_file(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op3_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    arrow_rows(spark, 128)
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    read = token_file.token_file(docs, tokenizer_file("byte_bpe_50k.json"))
+    return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = read_table(spark, sf_dir, "pages", "page_id", "url")
     return url_filter.judge_urls(spark, pages, URL_RULES)
 
 
+def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    arrow_rows(spark, 128)
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    packed = packing.pack_documents(docs, tokenizer_file("word_bpe_49k.json"), 2048)
+    return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "source", "text")
+    return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_chat_formatting": op2_chat_formatting,
+    "op3_token_file": op3_token_file,
     "op6_url_filters": op6_url_filters,
+    "op8_best_fit_packing": op8_best_fit_packing,
+    "op9_source_mix": op9_source_mix,
 }
 
 ORACLE_SQL: dict[str, str] = {}
