@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnlake.llm import chat, mixing, packing, token_file, url_filter
+from txnlake.llm import ann, chat, mixing, packing, token_file, topk, url_filter
 from txnlake.llm.common import arrow_rows, read_table
 
 #: Rules of the URL query: (action, host, path).
@@ -43,6 +43,11 @@ def op3_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op4_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read_table(spark, sf_dir, "embeddings", "vec_id", "embedding")
+    return topk.top_k(vectors, vectors.where("vec_id % 50 = 0"), 5)
+
+
 def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = read_table(spark, sf_dir, "pages", "page_id", "url")
     return url_filter.judge_urls(spark, pages, URL_RULES)
@@ -60,12 +65,19 @@ def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read_table(spark, sf_dir, "embeddings", "vec_id", "embedding")
+    return ann.nearest(vectors, vectors.where("vec_id % 20 = 0"), 20)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_chat_formatting": op2_chat_formatting,
     "op3_token_file": op3_token_file,
+    "op4_exact_top_k": op4_exact_top_k,
     "op6_url_filters": op6_url_filters,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_source_mix": op9_source_mix,
+    "op10_nearest_neighbours": op10_nearest_neighbours,
 }
 
 ORACLE_SQL: dict[str, str] = {}
