@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnlake.llm import ann, chat, mixing, packing, token_file, topk, url_filter
+from txnlake.llm import ann, chat, mixing, packing, token_file, topk, toxicity, url_filter
 from txnlake.llm.common import arrow_rows, read_table
 
 #: Rules of the URL query: (action, host, path).
@@ -48,6 +48,13 @@ def op4_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(vectors, vectors.where("vec_id % 50 = 0"), 5)
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    arrow_rows(spark, 256)
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    labels = read_table(spark, sf_dir, "labels", "doc_id", "toxic")
+    return toxicity.score_toxicity(docs, labels)
+
+
 def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = read_table(spark, sf_dir, "pages", "page_id", "url")
     return url_filter.judge_urls(spark, pages, URL_RULES)
@@ -74,6 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_chat_formatting": op2_chat_formatting,
     "op3_token_file": op3_token_file,
     "op4_exact_top_k": op4_exact_top_k,
+    "op5_toxicity": op5_toxicity,
     "op6_url_filters": op6_url_filters,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_source_mix": op9_source_mix,
