@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 
 from txnlake.llm.common import whole_text
 
-#: Characters of pieces a worker remembers; beyond it the memory starts anew. Speed only.
-CACHE_CHARS = 6_000_000
+#: Characters of pieces a worker remembers in each of two generations. Speed only.
+CACHE_CHARS = 5_000_000
 _SINGLE_SPACE = re.compile(r"(?<=\S)(?=\s\S)")
 
 
@@ -39,6 +39,7 @@ class PieceEncoder:
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.cut = self._kind(spec)
         self.cache: dict[str, bytes | None] = {}
+        self.old: dict[str, bytes | None] = {}
         self.chars = 0
 
     @staticmethod
@@ -60,13 +61,30 @@ class PieceEncoder:
 
     def _learn(self, pieces: set[str]) -> None:
         if self.chars > CACHE_CHARS:
-            self.cache, self.chars = {}, 0
-        new = [p for p in pieces if p not in self.cache]
+            # Pieces still in use move over from the old generation; the others are forgotten.
+            self.old, self.cache, self.chars = self.cache, {}, 0
+        cache, old = self.cache, self.old
+        new = [p for p in pieces if p not in cache]
         self.chars += sum(map(len, new))
+        again = [p for p in new if p in old]
+        cache.update(zip(again, map(old.__getitem__, again), strict=True))
+        new = [p for p in new if p not in old]
         if self.cut is _before_spaces:
-            self.cache.update(dict.fromkeys(new))
+            cache.update(dict.fromkeys(new))
             new = list(filter(_clean, new))
-        self.cache.update(zip(new, self._bytes(new), strict=True))
+        cache.update(zip(new, self._apart(new), strict=True))
+
+    def _apart(self, pieces: list[str]) -> list[bytes]:
+        """Ids of many short pieces in one call: a special token between two of them keeps them
+        apart, since texts are split at special tokens before anything else."""
+        if not self.special or not pieces:
+            return self._bytes(pieces)
+        found = self.tokenizer.encode_batch_fast([self.special[-1].join(pieces)], add_special_tokens=False)
+        ids = np.asarray(found[0].ids, self.dtype)
+        ends = np.append(np.flatnonzero(ids == self.tokenizer.token_to_id(self.special[-1])), len(ids))
+        raw, size = ids.tobytes(), self.dtype.itemsize
+        starts = [0, *(ends[:-1] + 1).tolist()]
+        return [raw[size * a : size * b] for a, b in zip(starts, ends.tolist(), strict=True)]
 
     def encode_many(self, texts: list[str]) -> list[bytes]:
         """Ids of each text. A piece with white space at a cut is None among the known ones;
