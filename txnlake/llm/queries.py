@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnlake.llm import ann, chat, mixing, packing, token_file, topk, toxicity, url_filter
+from txnlake.llm import ann, chat, mixing, near_dup, packing, token_file, topk, toxicity, url_filter
 from txnlake.llm.common import arrow_rows, read_table
 
 #: Rules of the URL query: (action, host, path).
@@ -60,6 +60,11 @@ def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(spark, pages, URL_RULES)
 
 
+def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    arrow_rows(spark, 256)
+    return near_dup.near_duplicates(read_table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     arrow_rows(spark, 128)
     docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
@@ -83,6 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_exact_top_k": op4_exact_top_k,
     "op5_toxicity": op5_toxicity,
     "op6_url_filters": op6_url_filters,
+    "op7_minhash_near_dedup": op7_minhash_near_dedup,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_source_mix": op9_source_mix,
     "op10_nearest_neighbours": op10_nearest_neighbours,
