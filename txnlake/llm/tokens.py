@@ -22,6 +22,7 @@ from txnlake.llm.common import whole_text
 
 #: Characters of pieces a worker remembers in each of two generations. Speed only.
 CACHE_CHARS = 5_000_000
+_MARKS = ".,;:!?*#$%&)"
 _SINGLE_SPACE = re.compile(r"(?<=\S)(?=\s\S)")
 
 
@@ -72,7 +73,19 @@ class PieceEncoder:
         if self.cut is _before_spaces:
             cache.update(dict.fromkeys(new))
             new = list(filter(_clean, new))
-        cache.update(zip(new, self._apart(new), strict=True))
+        # A letter and a mark after it are never in one token, so "word," is "word" and ",".
+        # Only for letters that lower-casing and normalising leave single letters.
+        ends: dict[str, tuple[str, str]] = {}
+        for p in new:
+            core = p.rstrip(_MARKS)
+            if len(core) < len(p) and "A" <= core[-1:] < "\u0130" and core[-1].isalpha():
+                ends[p] = core, p[len(core) :]
+        wanted = {q for pair in ends.values() for q in pair}.union(p for p in new if p not in ends)
+        known = {q: cache[q] for q in wanted if cache.get(q) is not None}
+        whole = [q for q in wanted if q not in known]
+        known.update(zip(whole, self._apart(whole), strict=True))
+        cache.update((p, known[p]) for p in new if p not in ends)
+        cache.update((p, known[core] + known[marks]) for p, (core, marks) in ends.items())
 
     def _apart(self, pieces: list[str]) -> list[bytes]:
         """Ids of many short pieces in one call: a special token between two of them keeps them
