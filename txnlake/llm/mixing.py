@@ -232,7 +232,8 @@ def mix(docs: DataFrame, *more: str, seed: int = 17) -> DataFrame:
     first = F.greatest(F.col("block") * BLOCK_WORDS - F.col("begin"), F.lit(0))
     end = F.least((F.col("block") + 1) * BLOCK_WORDS - F.col("begin"), F.col("size"))
     taken = (
-        parts.join(takes, ["src", "block"])
+        # The planner takes the slots for as few as their shards and would broadcast them.
+        parts.join(takes.hint("merge"), ["src", "block"])
         .groupBy("part", "row")
         .agg(
             F.sum((end - first) * F.col("times")).alias("taken"),
@@ -243,7 +244,7 @@ def mix(docs: DataFrame, *more: str, seed: int = 17) -> DataFrame:
         [(src[s], s, int(sizes[s]), targets[s]) for s in order],
         "src int, source string, source_size long, target double",
     )
-    return placed.join(taken, ["part", "row"], "left").join(
+    return placed.join(taken.hint("merge"), ["part", "row"], "left").join(
         F.broadcast(facts) if len(order) < 10_000 else facts, "src"
     ).select(
         "part", "row", "doc_id", "source", "size", "source_size", "target",

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnlake.llm import ann, chat, mixing, near_dup, packing, token_file, topk, toxicity, url_filter
+from txnlake.llm import ann, chat, mixing, near_dup, packing, suffix_dedup, token_file, topk, toxicity, url_filter
 from txnlake.llm.common import arrow_rows, read_table
 
 #: Rules of the URL query: (action, host, path).
@@ -19,6 +19,12 @@ URL_RULES = (
 )
 
 
+def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    arrow_rows(spark, 128)
+    cut = suffix_dedup.remove_repeats(read_table(spark, sf_dir, "documents", "doc_id", "text"))
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = read_table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
     probe = "</s>[INST] ok [/INST]"
@@ -83,6 +89,7 @@ def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_suffix_array_dedup": op1_suffix_array_dedup,
     "op2_chat_formatting": op2_chat_formatting,
     "op3_token_file": op3_token_file,
     "op4_exact_top_k": op4_exact_top_k,
