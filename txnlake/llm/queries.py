@@ -58,7 +58,7 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     arrow_rows(spark, 256)
     docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
     labels = read_table(spark, sf_dir, "labels", "doc_id", "toxic")
-    return toxicity.score_toxicity(docs, labels)
+    return toxicity.score_toxicity(docs, labels).drop("th")
 
 
 def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:

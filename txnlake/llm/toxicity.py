@@ -118,23 +118,26 @@ def _matcher(terms: list[str]):
 
 
 def term_vectors(docs: DataFrame, terms: list[str]) -> DataFrame:
-    """Stored (doc_id, terms, counts) of every document; terms ascending."""
+    """Stored (doc_id, th, terms, counts) of every document; terms ascending, th a text hash."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = _matcher(terms) if terms else lambda text: {}
         for batch in batches:
-            found = [sorted(count(t).items()) for t in batch.column(1).to_pylist()]
+            found = [sorted(count(t).items()) for t in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
+                    batch.column(1),
                     pa.array([[i for i, _ in f] for f in found], pa.list_(pa.int32())),
                     pa.array([[n for _, n in f] for f in found], pa.list_(pa.int32())),
                 ],
-                ["doc_id", "terms", "counts"],
+                ["doc_id", "th", "terms", "counts"],
             )
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
-    return stored(texts.mapInArrow(run, "doc_id long, terms array<int>, counts array<int>"), "toxicity-vectors")
+    text = whole_text()
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("th"), text.alias("text"))
+    schema = "doc_id long, th long, terms array<int>, counts array<int>"
+    return stored(texts.mapInArrow(run, schema), "toxicity-vectors")
 
 
 class BlockMaxIndex:
@@ -252,11 +255,11 @@ class ToxicityModel:
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(doc_id, held_out, score, predicted, evidence) of every row of docs (doc_id, text).
+    """(doc_id, held_out, score, predicted, evidence, th) of every row of docs (doc_id, text).
 
     Only the text decides a score. NULL text is empty and scores as examples without any term
     do; equal texts score alike; without labels the score is 0. ``evidence`` lists doc_ids of
-    the nearest examples. Fitting holds at most MAX_EXAMPLES labelled rows.
+    the nearest examples, ``th`` is a hash of the text. Fitting holds at most MAX_EXAMPLES labelled rows.
     """
     examples = stored(choose_examples(labels), "toxicity-examples")
     terms = learn_terms(docs, examples)
@@ -285,7 +288,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
         known: dict[tuple, tuple[float, list[int]]] = {}
         for batch in batches:
             out = []
-            for t, c in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+            for t, c in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
                 key = (*t, -1, *c)
                 if key not in known:
                     if len(known) > 50_000:
@@ -295,27 +298,28 @@ def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
+                    batch.column(1),
                     pa.array([s for s, _ in out], pa.float64()),
                     pa.array([e for _, e in out], pa.list_(pa.int64())),
                 ],
-                ["doc_id", "score", "evidence"],
+                ["doc_id", "th", "score", "evidence"],
             )
 
-    scored = vectors.mapInArrow(run, "doc_id long, score double, evidence array<long>")
+    scored = vectors.mapInArrow(run, "doc_id long, th long, score double, evidence array<long>")
     return scored.select(
         "doc_id",
         F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out"),
         "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"),
         "evidence",
+        "th",
     )
 
 
 def clean_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Rows of docs that are not predicted toxic; rows without a doc_id are judged by text too.
-
-    A doc_id is rejected when any row of it is, so the decision needs only ids.
-    """
-    scores = score_toxicity(docs, labels)
-    rejected = scores.where("predicted = 1").select("doc_id").distinct()
-    return docs.join(rejected, "doc_id", "left_anti")
+    """Rows of docs that are not predicted toxic, rows without a doc_id included."""
+    rejected = score_toxicity(docs, labels).where("predicted = 1").select(
+        F.col("doc_id").alias("toxic_id"), F.col("th").alias("toxic_th")
+    )
+    same = docs["doc_id"].eqNullSafe(F.col("toxic_id")) & (F.xxhash64(whole_text()) == F.col("toxic_th"))
+    return docs.join(rejected, same, "left_anti")
