@@ -261,6 +261,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     do; equal texts score alike; without labels the score is 0. ``evidence`` lists doc_ids of
     the nearest examples, ``th`` is a hash of the text. Fitting holds at most MAX_EXAMPLES labelled rows.
     """
+    docs = docs.select("doc_id", "text")
     examples = stored(choose_examples(labels), "toxicity-examples")
     terms = learn_terms(docs, examples)
     vectors = term_vectors(docs, terms)
