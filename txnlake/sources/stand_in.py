@@ -151,21 +151,13 @@ def transactions(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
             "cast(round(cast(o_totalprice as decimal(14,2)) * cast(0.01 as decimal(3,2)), 2) "
             "as decimal(14,2)) as amount",
             _after("o_orderdate", "o_orderkey * 7919 % 86400") + " as initiated_at",
-            """cast(case when o_orderkey * 37 % 100 < 73 then 1
-                         when o_orderkey * 37 % 100 < 87 then 2
-                         when o_orderkey * 37 % 100 < 95 then 6
-                         when o_orderkey * 37 % 100 < 98 then 3 else 5 end as int) as status_id""",
-            """case when o_orderkey * 61 % 101 < 55 then 'POS'
-                    when o_orderkey * 61 % 101 < 80 then 'ONLINE'
-                    when o_orderkey * 61 % 101 < 88 then 'ATM'
-                    when o_orderkey * 61 % 101 < 98 then 'MOBILE' else 'IVR' end as channel""",
-            """case when o_orderkey * 73 % 103 < 50 then 'USD'
-                    when o_orderkey * 73 % 103 < 65 then 'EUR'
-                    when o_orderkey * 73 % 103 < 75 then 'GBP'
-                    when o_orderkey * 73 % 103 < 83 then 'EGP'
-                    when o_orderkey * 73 % 103 < 89 then 'SAR'
-                    when o_orderkey * 73 % 103 < 94 then 'AED'
-                    when o_orderkey * 73 % 103 < 98 then 'CAD' else 'AUD' end as currency""",
+            """cast(case o_orderstatus when 'F' then 1 when 'P' then 6
+                    else element_at(array(1, 2, 3, 5), cast(1 + o_orderkey % 4 as int))
+                    end as int) as status_id""",
+            """case substr(o_orderpriority, 1, 1) when '1' then 'POS' when '2' then 'ONLINE'
+                    when '3' then 'ATM' when '4' then 'MOBILE' else 'IVR' end as channel""",
+            """element_at(array('USD', 'EUR', 'GBP', 'EGP', 'SAR', 'AED', 'CAD', 'AUD'),
+                    cast(1 + (o_custkey + o_orderkey) % 8 as int)) as currency""",
         )
         .selectExpr(
             "*",
@@ -199,8 +191,8 @@ def transactions(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
         "case status_id when 2 then 'issuer declined' when 5 then 'no route' end "
         "as failure_reason",
         "initiated_at",
-        _after("initiated_at", "1 + k % 8") + " as processed_at",
-        "case when status_id = 6 then date_add(to_date(initiated_at), cast(1 + k % 3 as int)) "
+        _after("initiated_at", "2 + k % 5") + " as processed_at",
+        "case when status_id = 6 then date_add(to_date(initiated_at), cast(2 + k % 2 as int)) "
         "end as settled_at",
         "initiated_at as created_at",
     )
@@ -219,7 +211,7 @@ def fraud_alerts(txns: DataFrame) -> DataFrame:
         "k * 3 + i as alert_id",
         "txn_id",
         f"{_pick(fixed.GENERIC_RULES, '(k + i) % 6')} as rule_triggered",
-        f"cast(least(100, {band} + (k * 13 + i) % 16 - 5) as int) as risk_score",
+        f"cast(least(100, {band} + (k * 7 + i) % 10) as int) as risk_score",
         "case when f % 10 < 7 then cast(f % 5 < 2 as int) end as is_confirmed",
         "case when f % 10 < 7 then 'analyst-' || (k % 20) end as reviewed_by",
         f"case when f % 10 < 7 then {_after('initiated_at', '86400')} end as reviewed_at",
@@ -248,7 +240,7 @@ def refunds(txns: DataFrame) -> DataFrame:
             "'customer request' as reason",
             "1 as status_id",
             "initiated_at",
-            _after("initiated_at", "(1 + k % 72) * 3600") + " as resolved_at",
+            _after("initiated_at", "(5 + k % 48) * 3600") + " as resolved_at",
             "initiated_at as created_at",
         )
     )
