@@ -10,9 +10,23 @@ def money(value: Column, precision: int = 14) -> Column:
     return value.cast(f"decimal({precision},2)")
 
 
+def mean_scaled(value: Column, precision: int = 14) -> Column:
+    """Average rounded once, half away from zero, to two decimals; NULL over no rows.
+
+    ``value`` has two decimals at most. The division is one of whole hundredths: a rounded
+    quotient, rounded again, could be one hundredth off.
+    """
+    n = F.count(value).cast("decimal(19,0)")
+    hundredths = (F.sum(value.cast("decimal(20,2)")) * 100).cast("decimal(34,0)")
+    doubled = F.abs(hundredths) * 2 + n
+    whole = F.call_function("div", doubled, n * 2)
+    signed = F.when(hundredths < 0, -whole).otherwise(whole)
+    return (signed.cast("decimal(22,0)") / 100).cast(f"decimal({precision},2)")
+
+
 def mean_money(value: Column) -> Column:
     """Average rounded half up to cents; NULL over no rows."""
-    return money(F.round(F.avg(value), 2))
+    return mean_scaled(value)
 
 
 def rate_pct(part: Column, whole: Column) -> Column:

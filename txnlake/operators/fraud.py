@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from txnlake import fixed_values as fixed
-from txnlake.functions.money import rate_pct
+from txnlake.functions.money import mean_scaled, rate_pct
 from txnlake.functions.risk import capped_score, risk_band, rule_candidates
 from txnlake.functions.temporal import epoch_seconds
 from txnlake.sources.tables import values_table
@@ -259,9 +259,7 @@ def rule_summary(alerts: DataFrame) -> DataFrame:
         reviewed.alias("n_reviewed"),
         F.coalesce(confirmed, F.lit(0)).alias("n_confirmed"),
         rate_pct(confirmed, reviewed).alias("confirmed_pct"),
-        F.round(F.avg("risk_score").cast("decimal(18,6)"), 2)
-        .cast("decimal(6,2)")
-        .alias("avg_risk_score"),
+        mean_scaled(F.col("risk_score"), 6).alias("avg_risk_score"),
     )
 
 
