@@ -129,10 +129,18 @@ def oracles() -> dict[str, str]:
             sql="SELECT table_name, count(*) AS n_pending FROM changes GROUP BY 1",
         ),
         "cdc_current_state": using("changes", sql=CURRENT_STATE),
-        "cdc_dedupe": using("changes", sql="SELECT table_name, pk, ts_ms, off, op FROM changes"),
+        "cdc_dedupe": using("changes", sql=DEDUPED),
+        "cdc_dead_letters": using(
+            "changes", sql="SELECT off, table_name FROM changes WHERE off % 50 = 0"
+        ),
     }
 
 
+DEDUPED = """
+    SELECT table_name, pk, ts_ms, off, op FROM changes
+    UNION ALL
+    SELECT table_name, pk, ts_ms, off, 'd' FROM changes WHERE off % 10 = 5 AND op <> 'd'"""
+
 CURRENT_STATE = """
     SELECT table_name, pk, user_id, event_type, amount, op, ts_ms, off
     FROM changes

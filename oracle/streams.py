@@ -1,6 +1,6 @@
 """Oracles for the lake, mart loading and streaming queries."""
 
-from oracle.changes import CURRENT_STATE
+from oracle.changes import CURRENT_STATE, DEDUPED
 from oracle.marts import M1, M1_TABLES, M2, M2_TABLES, M3, M3_TABLES, M4, M4_TABLES
 from oracle.tables import pct, using
 
@@ -91,9 +91,7 @@ def oracles() -> dict[str, str]:
                 FROM walk WHERE tick >= (SELECT a FROM ends)""",
         ),
         "cdc_current_state_stream": using("changes", sql=CURRENT_STATE),
-        "cdc_dedupe_stream": using(
-            "changes", sql="SELECT table_name, pk, ts_ms, off, op FROM changes"
-        ),
+        "cdc_dedupe_stream": using("changes", sql=DEDUPED),
         "stream_ingestion_rate": f"""
             SELECT time_bucket(INTERVAL 15 MINUTE, ts, TIMESTAMP '2024-01-01') AS window_start,
                    time_bucket(INTERVAL 15 MINUTE, ts, TIMESTAMP '2024-01-01')

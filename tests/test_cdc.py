@@ -105,6 +105,27 @@ def test_dedupe_keeps_distinct_times(spark):
     assert cdc.dedupe(changes, ["pk"]).count() == 3
 
 
+def test_dedupe_keeps_all_changes_of_one_millisecond(spark):
+    rows = [(1, 10, 0, "c", "a"), (1, 10, 1, "u", "b"), (1, 10, 2, "d", "b"), (1, 10, 3, "u", "b")]
+    changes = spark.createDataFrame(
+        rows, "pk long, ts_ms long, offset long, op string, name string"
+    )
+    assert [r["op"] for r in cdc.dedupe(changes, ["pk"]).orderBy("offset").collect()] == ["c", "u", "d"]
+
+
+def test_broken_messages_are_told_apart(spark):
+    topic = cdc.table_topic("clients")
+    values = ['{"id": 1}', '{"id": ', "5", None, '{"id": 2, "__deleted": "true"}']
+    feed = spark.createDataFrame(
+        [(topic, i, v) for i, v in enumerate(values)], "topic string, offset long, value string"
+    ).withColumn("timestamp", F.current_timestamp())
+    stats = {r["reason"]: r["n_messages"] for r in cdc.skip_stats(feed).collect()}
+    assert stats == {"kept": 1, "broken": 2, "tombstone": 1, "delete": 1}
+    assert {r["offset"] for r in cdc.dead_letters(feed).collect()} == {1, 2}
+    good = cdc.decoded(cdc.without_dead_letters(feed), "id long").collect()
+    assert [r["row"]["id"] for r in good] == [1, 2]
+
+
 def test_unwrap_keeps_the_last_image_of_a_delete(spark):
     image = {"id": 7, "name": "n", "amount": 2.25, "extra": None}
     source = {"ts_ms": 5, "table": "clients"}

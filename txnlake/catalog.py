@@ -278,9 +278,11 @@ def _changes() -> dict[str, Query]:
         )
 
     def replayed(changes: DataFrame) -> DataFrame:
-        # A tenth of the changes is delivered again.
+        # A tenth of the changes is delivered again; another tenth is followed by a delete of
+        # the same key at the same time.
         again = changes.where("offset % 10 = 0")
-        both = live_rows(changes).unionByName(live_rows(again))
+        ended = changes.where("offset % 10 = 5 AND op <> 'd'").withColumn("op", F.lit("d"))
+        both = live_rows(changes).unionByName(live_rows(again)).unionByName(live_rows(ended))
         return off(cdc.dedupe(both, ["table_name", "pk"])).select(
             "table_name", "pk", "ts_ms", "off", "op"
         )
@@ -300,6 +302,15 @@ def _changes() -> dict[str, Query]:
         "cdc_unwrap": _over_events(unwrapped),
         "cdc_temporal_decode": _over_events(temporal),
         "cdc_skip_stats": over_feed(cdc.skip_stats),
+        "cdc_dead_letters": over_feed(
+            lambda f: cdc.dead_letters(
+                f.withColumn(
+                    "value",
+                    F.when(F.col("offset") % 50 == 0, F.expr("left(value, length(value) - 1)"))
+                    .otherwise(F.col("value")),
+                )
+            ).select(F.col("offset").alias("off"), "table_name")
+        ),
         "cdc_skip_deletes": over_changes(
             lambda c: off(cdc.handle_deletes(c, skip=True)).select("off", "table_name", "op")
         ),
@@ -531,7 +542,8 @@ def _streams() -> dict[str, Query]:
         changes = cdc.decoded(feed, stand_in.FEED_ROW).select(
             "table_name", "row.pk", "ts_ms", F.col("offset").alias("off"), "op", "timestamp"
         )
-        both = changes.unionByName(changes.where("off % 10 = 0"))
+        ended = changes.where("off % 10 = 5 AND op <> 'd'").withColumn("op", F.lit("d"))
+        both = changes.unionByName(changes.where("off % 10 = 0")).unionByName(ended)
         return monitors.dedupe(both, ["table_name", "pk"]).drop("timestamp")
 
     return {

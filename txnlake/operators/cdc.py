@@ -164,14 +164,40 @@ def lake_rows(
     return normalise(with_metadata(changes, ingest), _field_names(row_ddl))
 
 
+def is_broken(value: Column) -> Column:
+    """Whether a message is text that is no JSON object; tombstones are not."""
+    probe = F.from_json(
+        value, "_broken string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_broken"}
+    )
+    return value.isNotNull() & probe["_broken"].isNotNull()
+
+
+def dead_letters(feed: DataFrame) -> DataFrame:
+    """Routed messages that cannot be decoded, as they came."""
+    return route(subscribe(feed)).where(is_broken(F.col("value")))
+
+
+def without_dead_letters(feed: DataFrame) -> DataFrame:
+    """The feed that ``decode`` can take; what it leaves out is in ``dead_letters``."""
+    return feed.where(~is_broken(F.col("value")) | F.col("value").isNull())
+
+
 def skip_stats(feed: DataFrame, skip_deletes: bool = True) -> DataFrame:
-    """Messages per table by fate: tombstone, delete or kept."""
-    routed = route(subscribe(feed))
-    op = F.coalesce(F.get_json_object("value", "$.__op"), F.lit("r"))
-    deleted = F.coalesce(F.get_json_object("value", "$.__deleted"), F.lit("false"))
+    """Messages per table by fate: tombstone, broken, delete or kept, from one parse."""
+    message = F.from_json(
+        "value",
+        "__op string, __deleted string, _broken string",
+        {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_broken"},
+    )
+    routed = route(subscribe(feed)).withColumn("_m", _once(message))
+    op = F.coalesce("_m.__op", F.lit("r"))
+    deleted = F.coalesce("_m.__deleted", F.lit("false"))
     is_delete = F.lit(skip_deletes) & ((deleted == "true") | (op == "d"))
     fate = (
-        F.when(F.col("value").isNull(), "tombstone").when(is_delete, "delete").otherwise("kept")
+        F.when(F.col("value").isNull(), "tombstone")
+        .when(F.col("_m._broken").isNotNull(), "broken")
+        .when(is_delete, "delete")
+        .otherwise("kept")
     )
     return routed.groupBy("table_name", fate.alias("reason")).agg(
         F.count(F.lit(1)).alias("n_messages")
@@ -212,9 +238,24 @@ def current_state(changes: DataFrame, keys: list[str]) -> DataFrame:
     return latest_changes(changes, keys).where(~F.col("is_delete"))
 
 
+#: Columns that tell where and when a change was delivered, not what it says.
+DELIVERY = ("topic", "partition", "offset", "off", "timestamp")
+
+
+def delivery_identity(changes: DataFrame, keys: list[str]) -> Column:
+    """What a change says besides its key and source time: operation and row, hashed.
+
+    Source clocks are coarse, so a key may well change twice at one time; a repeated
+    delivery says the same in everything.
+    """
+    said = [c for c in changes.columns if c not in (*keys, "ts_ms", *DELIVERY)]
+    return F.xxhash64(F.to_json(F.struct(*said))) if said else F.lit(0).cast("bigint")
+
+
 def dedupe(changes: DataFrame, keys: list[str]) -> DataFrame:
-    """Drop repeated deliveries: the same key at the same source time."""
-    return changes.dropDuplicates([*keys, "ts_ms"])
+    """Drop repeated deliveries: same key, source time, operation and row."""
+    marked = changes.withColumn("_said", delivery_identity(changes, keys))
+    return marked.dropDuplicates([*keys, "ts_ms", "_said"]).drop("_said")
 
 
 def envelope_text(columns: list[str], table: str, op: str, ts: Column | None = None) -> Column:

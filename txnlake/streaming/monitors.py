@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from txnlake.functions.money import rate_pct
+from txnlake.operators.cdc import delivery_identity
 from txnlake.operators.monitor import MAX_FRAUD_PCT, MIN_INGESTED
 
 
@@ -98,7 +99,10 @@ def velocity_sessions(
 
 
 def dedupe(changes: DataFrame, keys: list[str], delay: str = "1 hour") -> DataFrame:
-    """Drop deliveries of a change that repeat within ``delay``."""
-    return changes.withWatermark("timestamp", delay).dropDuplicatesWithinWatermark(
-        [*keys, "ts_ms"]
+    """Drop deliveries of a change that repeat within ``delay``: same key, source time,
+    operation and row."""
+    marked = changes.withColumn("_said", delivery_identity(changes, keys))
+    once = marked.withWatermark("timestamp", delay).dropDuplicatesWithinWatermark(
+        [*keys, "ts_ms", "_said"]
     )
+    return once.drop("_said")
