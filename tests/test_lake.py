@@ -101,3 +101,13 @@ def test_lookups_have_their_rows(spark):
         "transaction_types": 7, "transaction_statuses": 7, "card_networks": 4,
         "merchant_categories": 15,
     }
+
+
+def test_three_hundred_networks(spark):
+    networks = spark.range(300).selectExpr(
+        "cast(id as int) as network_id", "concat('n', id) as name",
+        "concat('^', lpad(cast(id as string), 4, '0')) as prefix_regex",
+    )
+    cards = spark.range(400).selectExpr("id as card_id", "lpad(cast(id as string), 4, '0') as masked_pan")
+    out = {r["card_id"]: r["matched_network_id"] for r in joins.match_card_network(cards, networks).collect()}
+    assert out == {i: i if i < 300 else None for i in range(400)}

@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 NULL_SALTS = 4096
-MAX_NETWORKS = 255  # the network id is an unsigned byte
 
 
 def spread_nulls(key: Column, row_id: Column) -> Column:
@@ -63,26 +62,12 @@ def resolve_merchant(transactions: DataFrame, pos_terminals: DataFrame) -> DataF
 def match_card_network(cards: DataFrame, networks: DataFrame) -> DataFrame:
     """Cards left-joined to the networks whose prefix pattern their number matches.
 
-    There are at most 255 networks, so their patterns become literals of one projection:
-    each compiles once and no card is shuffled.
+    The networks reach the cards as one array, a scalar subquery of the plan, so that no card
+    is shuffled, whatever the number of networks.
     """
-    rows = networks.limit(MAX_NETWORKS + 1).collect()
-    if len(rows) > MAX_NETWORKS:
-        raise ValueError(f"more than {MAX_NETWORKS} card networks")
-    matches = F.array_compact(
-        F.array(
-            *[
-                F.when(
-                    F.col("masked_pan").rlike(n["prefix_regex"]),
-                    F.struct(
-                        F.lit(n["network_id"]).alias("network_id"), F.lit(n["name"]).alias("name")
-                    ),
-                )
-                for n in rows
-            ]
-        )
-    )
-    return cards.withColumn("_m", F.explode_outer(matches)).select(
+    listed = networks.agg(F.collect_list(F.struct("network_id", "name", "prefix_regex"))).scalar()
+    matches = F.filter("_n", lambda n: F.regexp_like(F.col("masked_pan"), n["prefix_regex"]))
+    return cards.withColumn("_n", listed).withColumn("_m", F.explode_outer(matches)).select(
         *cards.columns,
         F.col("_m.network_id").alias("matched_network_id"),
         F.col("_m.name").alias("matched_network"),
