@@ -5,6 +5,7 @@ import os
 import subprocess
 import sys
 import tempfile
+import time
 from datetime import datetime, timedelta
 
 import pytest
@@ -68,14 +69,45 @@ def test_state_over_batches_restart_and_compaction(spark, feed, folder):
     sync()
     assert names() == {1: "a2", 3: "c2"}
     # A replay of a batch overwrites what it wrote.
-    again = spark.read.parquet(f"{folder}/state").where("batch_id = 1").drop("batch_id")
+    root = f"{folder}/state"
+    again = spark.read.parquet(f"{root}/batches").where("batch_id = 1").drop("batch_id")
+    again = spark.createDataFrame(again.collect(), again.schema)
     for _ in range(2):
-        state._store(again, f"{folder}/copy", 1)
-    assert spark.read.parquet(f"{folder}/copy").count() == again.count()
-    state.compact(spark, f"{folder}/state", keys, f"{folder}/new", upto=2)
-    compacted = state.read_state(spark, f"{folder}/new", keys)
-    assert {r["pk"]: r["name"] for r in compacted.collect()} == {1: "a2", 3: "c2"}
-    assert state.stored_changes(spark, f"{folder}/new").count() == 3
+        state._store(again, root, 1)
+    assert spark.read.parquet(f"{root}/batches").where("batch_id = 1").count() == again.count()
+    state.fold(spark, root, keys, upto=2)
+    assert names() == {1: "a2", 3: "c2"}
+    assert state.stored_changes(spark, root).count() == 3
+
+
+def test_no_key_is_lost_when_a_folded_batch_is_stored_again(spark, folder):
+    def batch(*rows):
+        ddl = "pk long, name string, ts_ms long, offset long, op string, is_delete boolean"
+        return spark.createDataFrame([(k, n, t, t, "c", False) for k, n, t in rows], ddl)
+
+    root, last = f"{folder}/state", batch((3, "c", 3))
+    state._store(batch((1, "a", 1), (2, "b", 2)), root, 0)
+    state._store(last, root, 1)
+    state.fold(spark, root, ["pk"], 1)
+    state._store(last, root, 1)
+    # A base that was written but never announced does not count.
+    batch((9, "z", 9)).write.parquet(f"{root}/bases/upto=7")
+    assert {r["pk"] for r in state.read_state(spark, root, ["pk"]).collect()} == {1, 2, 3}
+    state._store(batch((2, "b2", 5)), root, 2)
+    found = {r["pk"]: r["name"] for r in state.read_state(spark, root, ["pk"]).collect()}
+    assert found == {1: "a", 2: "b2", 3: "c"}
+
+
+def test_the_stream_folds_its_own_batches(spark, feed, folder):
+    keys, root = ["table_name", "pk"], f"{folder}/state"
+    for i in range(5):
+        feed.add((i, "c", f"n{i}"), (0, "u", f"z{i}"))
+        state.start_state_sink(
+            flat(feed), keys, root, f"{folder}/cp", fold_every=2
+        ).awaitTermination()
+    assert state._newest_base(spark, root) == 3
+    found = {r["pk"]: r["name"] for r in state.read_state(spark, root, keys).collect()}
+    assert found == {0: "z4", 1: "n1", 2: "n2", 3: "n3", 4: "n4"}
 
 
 def test_stream_state_equals_batch_state(spark, feed, folder):
@@ -139,6 +171,22 @@ def test_refresh_by_rows_and_by_time_survives_restarts(spark, feed, folder):
     assert fired[-1] == "shutdown"
 
 
+def test_refresh_fires_by_time_while_nothing_arrives(spark, feed, folder):
+    fired = []
+    trigger = refresh.RefreshTrigger(
+        spark, f"{folder}/log", fired.append, refresh.RefreshRule(rows=100, seconds=2)
+    )
+    feed.add((1, "c", "a"), (2, "c", "a"))
+    query = trigger.start(flat(feed), f"{folder}/cp", every="1 second")
+    try:
+        until = time.time() + 60
+        while not fired and time.time() < until:
+            time.sleep(0.5)
+    finally:
+        query.stop()
+    assert fired[:1] == ["time"]
+
+
 def test_refresh_decisions_count_empty_ticks(spark):
     seconds = [0, 1, 2, 35, 95]
     changes = spark.createDataFrame(

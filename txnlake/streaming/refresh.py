@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -13,11 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from txnlake.streaming.run import for_each_batch
 
-MAX_TICKS = 5_000_000
-DECISION_DDL = (
-    "tick_start timestamp_ntz, n_events bigint, pending bigint, elapsed_seconds bigint, "
-    "reason string"
-)
+RUN_DDL = "first bigint, last bigint, n_events bigint, pending bigint, since bigint, reason string"
 LOG_DDL = (
     "decided_at timestamp, n_events bigint, pending bigint, elapsed_seconds bigint, "
     "reason string, last_refresh timestamp"
@@ -43,33 +39,61 @@ def refresh_decisions(
 ) -> DataFrame:
     """The decision at every tick of a clock over a change log.
 
-    Changes are counted per tick in parallel. Each decision depends on the one before, so
-    the tick counts, one small row per tick whatever the volume, are walked in order.
+    Changes are counted per tick in parallel. Each decision depends on the one before, so the
+    counts of ticks that have changes, one small row each whatever the volume, pass in order
+    through one task that holds nothing but the running values. It gives runs of equal
+    decisions, and Spark expands these to ticks: silent times cost the task nothing.
     """
     # Plain values only, so that workers need nothing but pandas to run the walk.
     rows, seconds = rule.rows, rule.seconds
     tick = F.floor(F.unix_seconds("timestamp") / tick_seconds).cast("bigint")
     counts = changes.groupBy(tick.alias("tick")).agg(F.count(F.lit(1)).alias("n_events"))
 
-    def walk(ticks: pd.DataFrame) -> pd.DataFrame:
-        seen = ticks.set_index("tick")["n_events"].to_dict()
-        first, last = min(seen), max(seen)
-        if last - first > MAX_TICKS:
-            raise ValueError("clock too fine for this time range; raise tick_seconds")
-        pending, since, out = 0, first * tick_seconds, []
-        for number in range(first, last + 1):
-            pending += seen.get(number, 0)
-            elapsed = (number + 1) * tick_seconds - since
-            late = elapsed >= seconds and pending > 0
-            reason = "rows" if pending >= rows else "time" if late else "none"
-            start = pd.Timestamp(number * tick_seconds, unit="s")
-            out.append((start, seen.get(number, 0), pending, elapsed, reason))
-            if reason != "none":
-                pending, since = 0, (number + 1) * tick_seconds
-        columns = ["tick_start", "n_events", "pending", "elapsed_seconds", "reason"]
-        return pd.DataFrame(out, columns=columns)
-
-    return counts.groupBy().applyInPandas(walk, DECISION_DDL)
+    def walk(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        pending, since, at = 0, None, None
+
+        def silence(until: int) -> list[tuple]:
+            """Runs of the ticks from ``at`` to ``until`` - 1, in which nothing arrives."""
+            nonlocal pending, since, at
+            out = []
+            if pending and at < until:
+                # The first tick whose end is ``seconds`` after the last refresh.
+                due = max(at, -(-(since + seconds) // tick_seconds) - 1)
+                if at < min(due, until):
+                    out.append((at, min(due, until) - 1, 0, pending, since, "none"))
+                if due < until:
+                    out.append((due, due, 0, pending, since, "time"))
+                    pending, since = 0, (due + 1) * tick_seconds
+                at = min(due + 1, until)
+            if at < until:
+                out.append((at, until - 1, 0, pending, since, "none"))
+            at = until
+            return out
+
+        for frame in frames:
+            out = []
+            for number, n in zip(frame["tick"].tolist(), frame["n_events"].tolist(), strict=True):
+                if at is None:
+                    at, since = number, number * tick_seconds
+                out += silence(number)
+                pending += n
+                late = (number + 1) * tick_seconds - since >= seconds
+                reason = "rows" if pending >= rows else "time" if late and pending else "none"
+                out.append((number, number, n, pending, since, reason))
+                if reason != "none":
+                    pending, since = 0, (number + 1) * tick_seconds
+                at = number + 1
+            yield pd.DataFrame(out, columns=["first", "last", "n_events", "pending", "since", "reason"])
+
+    runs = counts.repartition(1).sortWithinPartitions("tick").mapInPandas(walk, RUN_DDL)
+    ticks = runs.withColumn("tick", F.explode(F.sequence("first", "last")))
+    return ticks.select(
+        F.timestamp_seconds(F.col("tick") * tick_seconds).cast("timestamp_ntz").alias("tick_start"),
+        "n_events",
+        "pending",
+        ((F.col("tick") + 1) * tick_seconds - F.col("since")).alias("elapsed_seconds"),
+        "reason",
+    )
 
 
 class RefreshTrigger:
@@ -93,11 +117,22 @@ class RefreshTrigger:
     def start(
         self, changes: DataFrame, checkpoint: str, every: str | None = None
     ) -> StreamingQuery:
-        return for_each_batch(changes, self.on_batch, checkpoint, every)
+        """Decide at every micro-batch. With ``every``, a clock stream runs beside the changes,
+        so that the time rule is tested also while nothing arrives."""
+        marked = changes.withColumn("_change", F.lit(True))
+        if every:
+            ticks = self.spark.readStream.format("rate").option("rowsPerSecond", 1).load()
+            marked = marked.select("_change", "timestamp").unionByName(
+                ticks.select(F.lit(False).alias("_change"), "timestamp")
+            )
+        return for_each_batch(marked, self._on_marked, checkpoint, every)
 
     def on_batch(self, batch: DataFrame, batch_id: int) -> None:
         self._decide(batch_id, batch.count(), self.clock(batch))
 
+    def _on_marked(self, batch: DataFrame, batch_id: int) -> None:
+        self.on_batch(batch.where("_change").drop("_change"), batch_id)
+
     def final_pass(self, batch_id: int) -> None:
         """The last refresh at shutdown, when anything is pending."""
         before = self._before(batch_id)
