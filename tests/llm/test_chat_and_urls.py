@@ -6,7 +6,10 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from txnlake.llm import chat, url_filter
+from conftest import SF_DIR
+
+from check import compare
+from txnlake.llm import chat, queries, url_filter
 
 
 def test_chats_read_back_as_written(spark):
@@ -86,3 +89,9 @@ def test_literal_tokens_stand_in_every_fitting_url(pattern):
     sample = pattern.replace("*", "zz").replace("^", "/")
     tokens = set(re.split("[^a-z0-9]+", sample.lower()))
     assert set(url_filter.literal_tokens(pattern)) <= tokens
+
+
+@pytest.mark.parametrize("name", list(queries.ORACLE_SQL))
+def test_query_equals_its_sql(spark, name):
+    ok, note = compare(queries.QUERIES[name](spark, SF_DIR), SF_DIR, queries.ORACLE_SQL[name])
+    assert ok, note

@@ -101,4 +101,80 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_nearest_neighbours": op10_nearest_neighbours,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+def _controls(text: str) -> str:
+    """How many characters escaping adds: one a backslash, one a control string."""
+    marks = [("\\", 1), ("<|", 2), ("<s>", 3), ("</s>", 4), ("[INST]", 6), ("[/INST]", 7)]
+    return " + ".join(f"(length({text}) - length(replace({text}, '{m}', ''))) // {n}" for m, n in marks)
+
+
+_CHATS = f"""
+    WITH said AS (
+        SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS t FROM conversations
+        UNION ALL
+        SELECT -7, i, role, '</s>[INST] ok [/INST]'
+        FROM (VALUES (0, 'user'), (1, 'assistant')) AS p(i, role)),
+    chats AS (
+        SELECT conv_id, count(*) AS n_turns,
+               string_agg(r || chr(10) || t || chr(10), '' ORDER BY turn NULLS FIRST, r, t) AS turns,
+               coalesce(string_agg(t, '' ORDER BY turn NULLS FIRST, r, t)
+                        FILTER (WHERE r = 'assistant'), '') AS loss,
+               CAST(sum({len(chat.TURN + chat.BODY + chat.END)} + length(r) + length(t)
+                        + {_controls("r")} + {_controls("t")}) AS BIGINT) AS formatted_chars
+        FROM said GROUP BY conv_id)
+    SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(loss) AS loss_chars,
+           sha256(loss) AS loss_sha256, formatted_chars FROM chats"""
+
+_TOP_K = """
+    WITH v AS (
+        SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e
+        FROM embeddings
+        WHERE len(embedding) > 0
+            AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding))
+    SELECT q.vec_id AS query_id,
+           CAST(row_number() OVER (PARTITION BY q.vec_id ORDER BY list_inner_product(q.e, v.e) DESC,
+                v.vec_id) AS INTEGER) AS rank,
+           v.vec_id, CAST(list_inner_product(q.e, v.e) AS BIGINT) AS score
+    FROM v JOIN v AS q ON q.vec_id % 50 = 0 AND v.vec_id <> q.vec_id
+    QUALIFY rank <= 5"""
+
+
+def _values(rows: list[tuple]) -> str:
+    quote = lambda x: str(x) if isinstance(x, int) else "'" + x.replace("'", "''") + "'"
+    return "(VALUES " + ", ".join("(" + ", ".join(map(quote, r)) + ")" for r in rows) + ")"
+
+
+def _urls() -> str:
+    domains = _values([(a, h, p, h + p) for a, h, p in URL_RULES])
+    listed = enumerate(url_filter.PATTERN_RULES)
+    patterns = _values([(i, a, p, url_filter.pattern_regex(p)) for i, (a, p) in listed])
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    return f"""
+    WITH split AS (
+        SELECT page_id, url,
+               translate(regexp_extract(coalesce(url, ''), '(?s)://([^/?#]*)', 1),
+                         '{upper}', '{lower}') AS host,
+               regexp_extract(coalesce(url, ''), '(?s)://[^/?#]*([^?#]*)', 1) AS path,
+               row_number() OVER () AS i
+        FROM pages),
+    domain AS (
+        SELECT i, arg_max(r.rule, length(r.rule)) AS rule, arg_max(r.action, length(r.rule)) AS action
+        FROM split JOIN {domains} AS r(action, host, path, rule)
+            ON (split.host = r.host OR ends_with(split.host, '.' || r.host))
+            AND starts_with(split.path, r.path)
+        GROUP BY i),
+    pattern AS (
+        SELECT i, arg_max(p.rule, length(p.rule) * 1000 - p.n) AS rule,
+               arg_max(p.action, length(p.rule) * 1000 - p.n) AS action
+        FROM split JOIN {patterns} AS p(n, action, rule, regex) ON regexp_matches(url, p.regex)
+        GROUP BY i)
+    SELECT page_id, host, path, domain.rule, pattern.rule AS pattern_rule,
+           coalesce(domain.action, pattern.action, 'allow') AS verdict
+    FROM split LEFT JOIN domain USING (i) LEFT JOIN pattern USING (i)"""
+
+
+#: What SQL can express; the other queries are tested against brute force.
+ORACLE_SQL: dict[str, str] = {
+    "op2_chat_formatting": _CHATS,
+    "op4_exact_top_k": _TOP_K,
+    "op6_url_filters": _urls(),
+}
