@@ -175,6 +175,18 @@ def oracles() -> dict[str, str]:
             sql="""SELECT txn_id, client_id, amount, initiated_at FROM transactions
                    ORDER BY txn_id LIMIT 500 OFFSET 1000""",
         ),
+        "page_after_key": using(
+            "transactions",
+            sql="""SELECT txn_id, client_id, amount, initiated_at FROM transactions
+                   WHERE txn_id > 700 ORDER BY txn_id LIMIT 500""",
+        ),
+        "serve_alerts_by_outcome": using(
+            *M4_TABLES,
+            sql=f"""WITH m AS ({M4})
+                SELECT alert_id, txn_id, risk_score, amount, initiated_at FROM m
+                WHERE alert_outcome = 'Confirmed Fraud' AND risk_score >= 70
+                    AND initiated_at >= TIMESTAMP '1995-01-01'""",
+        ),
         "sample_approved": using(
             "transactions",
             sql="""SELECT txn_id, amount FROM (

@@ -103,6 +103,22 @@ def _serving() -> dict[str, Query]:
                 offset=1000,
             )
         ),
+        "page_after_key": _over_tables(
+            lambda t: ordering.page_after(
+                t["transactions"].select("txn_id", "client_id", "amount", "initiated_at"),
+                "txn_id",
+                size=500,
+                last=700,
+            )
+        ),
+        "serve_alerts_by_outcome": _over_tables(
+            lambda t: serve.fraud_alerts_for(
+                marts.fraud_analysis(t),
+                outcome="Confirmed Fraud",
+                min_risk=70,
+                since=datetime(1995, 1, 1),
+            ).select("alert_id", "txn_id", "risk_score", "amount", "initiated_at")
+        ),
         "sample_approved": _over_tables(
             lambda t: ordering.sample_approved(
                 t["transactions"].select("txn_id", "amount", "status_id"),
@@ -329,8 +345,10 @@ def _changes() -> dict[str, Query]:
                 "off", "pk", "amount", "props"
             )
         ),
-        "cdc_op_counts": over_changes(cdc.op_counts),
-        "cdc_pending_by_table": over_changes(cdc.pending_by_table),
+        "cdc_op_counts": over_feed(lambda f: cdc.op_counts(cdc.operations(f))),
+        "cdc_pending_by_table": over_feed(
+            lambda f: cdc.pending_by_table(cdc.without_tombstones(f))
+        ),
         "cdc_current_state": over_changes(
             lambda c: off(cdc.current_state(live_rows(c), ["table_name", "pk"])).select(
                 "table_name", "pk", "user_id", "event_type", "amount", "op", "ts_ms", "off"

@@ -211,6 +211,19 @@ def op_counts(changes: DataFrame) -> DataFrame:
     )
 
 
+def without_tombstones(feed: DataFrame) -> DataFrame:
+    """Routed messages that are changes; counting them needs no parse."""
+    return route(subscribe(feed)).where(F.col("value").isNotNull())
+
+
+def operations(feed: DataFrame) -> DataFrame:
+    """Routed changes with their operation, the one field that is parsed."""
+    message = F.from_json("value", "__op string", {"mode": "FAILFAST"})
+    return without_tombstones(feed).select(
+        "table_name", "offset", F.coalesce(message["__op"], F.lit("r")).alias("op")
+    )
+
+
 def pending_by_table(changes: DataFrame, since_offset: int | None = None) -> DataFrame:
     """Changes per table after the offset of the last refresh, deletes included."""
     if since_offset is not None:
