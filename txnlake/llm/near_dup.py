@@ -6,9 +6,11 @@ least 0.8. Each shingle is a Poisson process of its weight whose arrivals fall o
 registers; a register keeps its first arrival, and a shingle stops as soon as its next arrival
 comes later than all registers. Texts that agree in all registers of a band share a bucket.
 
-Exact copies are one node. In a bucket, a few hubs at a time are compared with the members of
-other classes, until no two members of different classes are left that were not compared. No
-bucket is ever gathered, and no pairs are made but those of hubs.
+Exact copies are one node. Each bucket's hub is compared with its other members first, which
+links most of what belongs together. In buckets that still hold several classes, the members
+outside the largest class then meet all others in blocks of bounded size; a pair is compared in
+the first bucket it shares, and only until its classes are linked. No bucket is ever gathered,
+and no pairs are written but those of hubs.
 """
 
 from __future__ import annotations
@@ -18,17 +20,17 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from txnlake.llm.common import stored, whole_text
+from txnlake.llm.common import partitions, stored, whole_text
 from txnlake.llm.rolling import Rolling, scramble
 
 WORDS = 5
 SIMILARITY = 0.8
 REGISTERS = 128
 BANDS = 32
-HUBS = 16
+#: Members of a side of a block, about.
+BLOCK = 512
 #: Agreeing registers below which a pair is not verified: five standard deviations under 0.8.
 LEAST_AGREEING = int(REGISTERS * SIMILARITY - 5 * (REGISTERS * SIMILARITY * (1 - SIMILARITY)) ** 0.5)
 
@@ -139,20 +141,21 @@ def _hashed(docs: DataFrame) -> DataFrame:
 
 
 def _buckets(nodes: DataFrame) -> DataFrame:
-    """Stored (key, node) of buckets with at least two nodes."""
+    """Stored (key, band, node, hub) of buckets with at least two nodes; the hub is the least node."""
     rows = REGISTERS // BANDS
     keys = F.transform(
         F.sequence(F.lit(0), F.lit(BANDS - 1)),
         lambda b: F.xxhash64(b, F.slice("sig", b * rows + 1, rows)),
     )
-    bands = nodes.where("sig IS NOT NULL").select("node", F.explode(keys).alias("key"))
-    shared = bands.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
-    return stored(bands.join(shared, "key"), "near-buckets")
+    bands = nodes.where("sig IS NOT NULL").select("node", F.posexplode(keys).alias("band", "key"))
+    shared = bands.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("hub")).where("n > 1")
+    return stored(bands.join(shared.hint("merge"), "key").select("key", "band", "node", "hub"), "near-buckets")
 
 
 def _shingle_table(docs: DataFrame, nodes: DataFrame, buckets: DataFrame) -> DataFrame:
-    """Stored (node, hashes, counts) of the nodes in buckets; counts are empty if all are one."""
-    needed = nodes.join(buckets.select("node").distinct(), "node", "left_semi").select("node", "hash", "doc_id")
+    """Stored (node, sig, hashes, counts) of the nodes in buckets; counts are empty if all are one."""
+    inside = nodes.join(buckets.select("node").distinct(), "node", "left_semi")
+    needed = inside.select("node", "hash", "doc_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -171,21 +174,22 @@ def _shingle_table(docs: DataFrame, nodes: DataFrame, buckets: DataFrame) -> Dat
     texts = _hashed(docs).join(needed, ["doc_id", "hash"]).select("node", "text")
     made = texts.mapInArrow(run, "node long, hashes binary, counts binary")
     once = made.groupBy("node").agg(F.first("hashes").alias("hashes"), F.first("counts").alias("counts"))
-    return stored(once, "near-shingles")
+    return stored(once.join(inside.select("node", "sig"), "node"), "near-shingles")
+
+
+def _weighted(hashes: bytes, counts: bytes) -> tuple[np.ndarray, np.ndarray]:
+    h = np.frombuffer(hashes, np.uint32)
+    return h, np.frombuffer(counts, np.uint32) if counts else np.ones(len(h), np.uint32)
 
 
 def _verified(pairs: DataFrame, table: DataFrame) -> DataFrame:
     """Stored links among pairs (a, b): those whose similarity is at least SIMILARITY."""
 
-    def weighted(hashes: bytes, counts: bytes) -> tuple[np.ndarray, np.ndarray]:
-        h = np.frombuffer(hashes, np.uint32)
-        return h, np.frombuffer(counts, np.uint32) if counts else np.ones(len(h), np.uint32)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = zip(*(batch.column(i).to_pylist() for i in range(2, 6)), strict=True)
             keep = pa.array(
-                [prob_jaccard(*weighted(ha, ca), *weighted(hb, cb)) >= SIMILARITY for ha, ca, hb, cb in rows],
+                [prob_jaccard(*_weighted(ha, ca), *_weighted(hb, cb)) >= SIMILARITY for ha, ca, hb, cb in rows],
                 pa.bool_(),
             )
             yield batch.select([0, 1]).filter(keep)
@@ -197,6 +201,85 @@ def _verified(pairs: DataFrame, table: DataFrame) -> DataFrame:
     return stored(full.mapInArrow(run, "a long, b long"), "near-links")
 
 
+def _block_links(rows: list[tuple]) -> list[tuple[int, int]]:
+    """Links between the outer rows and the others of one block, as few as connect the classes.
+
+    Rows are (key, band, comp, outer, node, sig, hashes, counts).
+    """
+    band, rows_a_band = rows[0][1], REGISTERS // BANDS
+    outer, inner = [r for r in rows if r[3]], [r for r in rows if not r[3]]
+    if not outer or not inner:
+        return []
+    root: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while (up := root.get(x, x)) != x:
+            root[x] = root.get(up, up)
+            x = up
+        return x
+
+    sigs = np.array([r[5] for r in inner], np.int32)
+    comps = np.array([r[2] for r in inner])
+    out = []
+    for o in outer:
+        agree = sigs == np.array(o[5], np.int32)
+        first = agree.reshape(len(inner), BANDS, rows_a_band).all(axis=2).argmax(axis=1)
+        likely = (agree.sum(axis=1) >= LEAST_AGREEING) & (first == band) & (comps != o[2])
+        for i in np.flatnonzero(likely):
+            x = inner[i]
+            if find(o[2]) != find(x[2]) and prob_jaccard(*_weighted(*o[6:8]), *_weighted(*x[6:8])) >= SIMILARITY:
+                root[find(o[2])] = find(x[2])
+                out.append((max(o[4], x[4]), min(o[4], x[4])))
+    return out
+
+
+def _blocks(members: DataFrame, table: DataFrame) -> DataFrame:
+    """Stored links of members (key, band, node, comp) of buckets that hold several classes."""
+    by_class = members.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n"))
+    by_key = by_class.groupBy("key").agg(
+        F.max_by("comp", F.struct("n", "comp")).alias("main"),
+        F.sum("n").alias("all"),
+        (F.sum("n") - F.max("n")).alias("few"),
+    ).where("few > 0")
+    ceil = lambda c: F.ceil(F.col(c) / BLOCK).cast("int")
+    sized = members.join(by_key.hint("merge"), "key").select(
+        "key", "band", "node", "comp", (F.col("comp") != F.col("main")).alias("outside"),
+        ceil("all").alias("columns"), ceil("few").alias("rows"),
+    )
+    at = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    columns = ["key", "band", "comp", "node", "outer", "x", "y"]
+    inner = sized.withColumn("x", at("columns")).withColumn("y", every("rows")).withColumn("outer", F.lit(False))
+    outer = sized.where("outside").withColumn("y", at("rows")).withColumn("x", every("columns"))
+    placed = inner.select(*columns).unionByName(outer.withColumn("outer", F.lit(True)).select(*columns))
+    full = placed.join(table.hint("merge"), "node").select(
+        "key", "x", "y", "band", "comp", "outer", "node", "sig", "hashes", "counts"
+    )
+    n = partitions(members.sparkSession)
+    dealt = full.repartition(n, "key", "x", "y").sortWithinPartitions("key", "x", "y")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, block = [], None
+
+        def links() -> pa.RecordBatch:
+            found = _block_links(held)
+            return pa.RecordBatch.from_arrays(
+                [pa.array([f[i] for f in found], pa.int64()) for i in range(2)], ["a", "b"]
+            )
+
+        for batch in batches:
+            for row in zip(*(batch.column(i).to_pylist() for i in range(10)), strict=True):
+                if row[:3] != block:
+                    if held:
+                        yield links()
+                    held, block = [], row[:3]
+                held.append((row[0], *row[3:]))
+        if held:
+            yield links()
+
+    return stored(dealt.mapInArrow(run, "a long, b long"), "near-links")
+
+
 def components(links: DataFrame) -> DataFrame:
     """Stored (a, b): each linked node except the smallest of its class, and that smallest node.
 
@@ -243,69 +326,25 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """
     nodes = _nodes(docs)
     buckets = _buckets(nodes)
-    members = buckets.withColumn("done", F.lit(False))
-    table = links = stars = None
-    while True:
-        if stars is not None:
-            label = stars.select(F.col("a").alias("node"), F.col("b").alias("comp"))
-            members = members.drop("comp").join(label, "node", "left")
-            members = members.withColumn("comp", F.coalesce("comp", "node"))
-        else:
-            members = members.withColumn("comp", F.col("node"))
-        # Buckets whose members not yet compared lie in more than one class go on.
-        todo = F.when(~F.col("done"), F.col("comp"))
-        open_keys = members.groupBy("key").agg(F.min(todo).alias("lo"), F.max(todo).alias("hi")).where("lo != hi")
-        members = stored(members.join(open_keys.select("key"), "key", "left_semi"), "near-members")
-        if members.isEmpty():
-            break
-        sizes = members.where("NOT done").groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n"))
-        largest = sizes.groupBy("key").agg(F.max_by("comp", F.struct("n", "comp")).alias("main"))
-        hubs = _hubs(members, sizes, largest)
-        hubs = stored(hubs, "near-hubs")
-        pairs = (
-            members.join(hubs.select("key", F.col("node").alias("hub"), F.col("comp").alias("hub_comp")), "key")
-            .where("comp != hub_comp")
-            .select(F.greatest("node", "hub").alias("a"), F.least("node", "hub").alias("b"))
-            .distinct()
-        )
-        likely = stored(_agreeing(pairs, nodes), "near-pairs")
-        if not likely.isEmpty():
-            if table is None:
-                table = _shingle_table(docs, nodes, buckets)
-            found = _verified(likely.select("a", "b"), table)
-            links = found if links is None else links.unionByName(found)
-            stars = components(links)
-        members = members.join(hubs.select("key", "node", F.lit(True).alias("hub")), ["key", "node"], "left")
-        members = members.withColumn("done", F.col("done") | F.coalesce("hub", F.lit(False))).drop("hub")
-    named = nodes.select("hash", "node", "doc_id")
-    if stars is not None:
-        label = stars.select(F.col("a").alias("node"), F.col("b").alias("comp"))
-        named = named.join(label, "node", "left")
-    else:
-        named = named.withColumn("comp", F.lit(None).cast("long"))
-    named = named.select("hash", F.coalesce("comp", "node").alias("comp"), "doc_id")
+    pairs = buckets.where("node != hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
+    likely = stored(_agreeing(pairs, nodes), "near-pairs")
+    table = _shingle_table(docs, nodes, buckets)
+    links = _verified(likely.select("a", "b"), table)
+    stars = components(links)
+    members = _labelled(buckets.select("key", "band", "node"), stars)
+    more = _blocks(members, table)
+    if not more.isEmpty():
+        stars = components(links.unionByName(more))
+    named = _labelled(nodes.select("hash", "node", "doc_id"), stars).select("hash", "comp", "doc_id")
     least = named.groupBy("comp").agg(F.min("doc_id").alias("class_id"))
     classes = named.join(least, "comp").select("hash", "class_id")
     return _hashed(docs).select("doc_id", "hash").join(classes, "hash").select("doc_id", "class_id")
 
 
-def _hubs(members: DataFrame, sizes: DataFrame, largest: DataFrame) -> DataFrame:
-    """At most HUBS members of each bucket outside its largest class, smallest classes first."""
-    waiting = (
-        members.where("NOT done")
-        .join(largest, "key")
-        .where("comp != main")
-        .join(sizes, ["key", "comp"])
-        .select("key", "node", "comp", "n")
-    )
-    # Ranks within a hashed share first, so that a hot bucket is cut down before it is ranked.
-    share = F.pmod(F.xxhash64("node"), F.lit(64))
-    order = [F.col("n"), F.col("node")]
-    few = waiting.withColumn("share", share).withColumn(
-        "r", F.row_number().over(W.partitionBy("key", "share").orderBy(*order))
-    ).where(F.col("r") <= HUBS)
-    rank = F.row_number().over(W.partitionBy("key").orderBy(*order))
-    return few.withColumn("r", rank).where(F.col("r") <= HUBS).select("key", "node", "comp")
+def _labelled(rows: DataFrame, stars: DataFrame) -> DataFrame:
+    """Rows with the class (comp) of their node: the node itself where nothing is linked."""
+    label = stars.select(F.col("a").alias("node"), F.col("b").alias("comp"))
+    return rows.join(label, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
