@@ -8,7 +8,7 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime SQL settings every job relies on. Shuffle partition counts are left to
 # the cluster: AQE coalesces small partitions and splits skewed ones.
@@ -67,6 +67,25 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
 
 
+def is_file(spark: SparkSession, path: str) -> bool:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(at).isFile()
+
+
+def replace_folder(df: DataFrame, path: str) -> None:
+    """Write ``df`` as Parquet beside ``path`` and put it there when it is complete, so that a
+    write that fails leaves what was there."""
+    spark = df.sparkSession
+    fresh = f"{path}.{uuid.uuid4().hex}"
+    df.write.parquet(fresh)
+    new, old = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (fresh, path))
+    store = old.getFileSystem(spark._jsc.hadoopConfiguration())
+    if store.exists(old):
+        store.delete(old, True)
+    if not store.rename(new, old):
+        raise OSError(f"cannot move {fresh} to {path}")
+
+
 @contextmanager
 def session_conf(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
     """Apply settings for the block; streaming queries capture them at start."""

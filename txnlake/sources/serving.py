@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from txnlake.schemas import SERVING_TYPES
+from txnlake.session import replace_folder
 
 BATCH_ROWS = 5_000
 
@@ -26,7 +27,7 @@ CLUSTER_BY = {
 
 def write_mart(df: DataFrame, root: str, name: str) -> None:
     """Full rebuild of a mart as Parquet."""
-    df.sortWithinPartitions(CLUSTER_BY[name]).write.mode("overwrite").parquet(f"{root}/{name}")
+    replace_folder(df.sortWithinPartitions(CLUSTER_BY[name]), f"{root}/{name}")
 
 
 def read_mart(spark: SparkSession, root: str, name: str) -> DataFrame:
@@ -38,7 +39,7 @@ class ParquetTarget:
     root: str
 
     def replace(self, df: DataFrame, name: str) -> None:
-        df.write.mode("overwrite").parquet(f"{self.root}/{name}")
+        replace_folder(df, f"{self.root}/{name}")
 
     def read(self, spark: SparkSession, name: str) -> DataFrame:
         return spark.read.parquet(f"{self.root}/{name}")

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from txnlake import fixed_values as fixed
 from txnlake.schemas import TABLE_SCHEMAS
+from txnlake.session import is_file
 
 Tables = Mapping[str, DataFrame]
 
@@ -112,5 +113,11 @@ def row_counts(tables: Tables) -> DataFrame:
 
 
 def stream_parquet(spark: SparkSession, path: str, schema: T.StructType, **options) -> DataFrame:
-    """A file stream over a Parquet table; the glob accepts a folder or a single file."""
-    return spark.readStream.schema(schema).options(**options).parquet(f"{path}*")
+    """A file stream over a Parquet table, a folder or a single file.
+
+    File streams take folders and patterns only, so a file goes in as a pattern that fits
+    nothing but itself.
+    """
+    path = path.rstrip("/")
+    pattern = f"{path[:-1]}[{path[-1]}]" if is_file(spark, path) else path
+    return spark.readStream.schema(schema).options(**options).parquet(pattern)
