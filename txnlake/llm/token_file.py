@@ -21,7 +21,7 @@ from txnlake.llm.tokens import encode_documents
 from txnlake.session import scratch_path
 
 MAX_BITS = 16
-LANE = 256
+LANE = 128
 BLOCK_IDS = 1 << 16
 
 
@@ -61,51 +61,50 @@ class Codebook:
         order = sorted(lengths, key=lambda i: (lengths[i], i))
         size = max(order, default=0) + 1
         self.bits = np.zeros(size, np.uint8)
-        self.code = np.zeros(size, np.uint32)
-        self.symbol = np.zeros(1 << MAX_BITS, np.uint32)
-        self.width = np.ones(1 << MAX_BITS, np.uint8)
+        # Each code as single bits from the left, and which of them count.
+        self.spread = np.zeros((size, MAX_BITS), np.uint8)
+        self.counts = np.zeros((size, MAX_BITS), bool)
+        #: By the next ``MAX_BITS`` bits: the id in the upper bits, the code's length in the lower 8.
+        self.table = np.ones(1 << MAX_BITS, np.uint32)
         code = last = 0
         for i in order:
             b = lengths[i]
             code <<= b - last
             last = b
-            self.bits[i], self.code[i] = b, code
-            low = code << (MAX_BITS - b)
-            high = (code + 1) << (MAX_BITS - b)
-            self.symbol[low:high], self.width[low:high] = i, b
+            self.bits[i] = b
+            self.spread[i, :b] = [code >> k & 1 for k in range(b - 1, -1, -1)]
+            self.counts[i, :b] = True
+            self.table[code << (MAX_BITS - b) : (code + 1) << (MAX_BITS - b)] = i << 8 | b
             code += 1
 
     def encode(self, ids: np.ndarray) -> tuple[bytes, np.ndarray]:
         """Bit string and the bit offset of every ``LANE``-th id; runs of 64 Ki ids start bytes."""
         out, marks, at = [], [], 0
-        places = np.arange(MAX_BITS - 1, -1, -1, dtype=np.uint32)
         for k in range(0, len(ids), BLOCK_IDS):
             part = ids[k : k + BLOCK_IDS]
             bits = self.bits[part]
-            ends = np.cumsum(bits, dtype=np.int64)
-            starts = ends - bits
+            starts = np.cumsum(bits, dtype=np.int64) - bits
             marks.append(starts[::LANE] + at)
-            grid = (self.code[part][:, None] >> places) & 1
-            packed = np.packbits(grid.astype(np.uint8)[places < bits[:, None]])
+            packed = np.packbits(self.spread[part][self.counts[part]])
             out.append(packed.tobytes())
             at += 8 * len(packed)
         return b"".join(out), np.concatenate(marks) if marks else np.empty(0, np.int64)
 
     def decode(self, payload: bytes, marks: np.ndarray, n: int) -> np.ndarray:
         """All lanes at once, one id of each a step."""
-        raw = np.frombuffer(payload + b"\0\0\0\0", np.uint8).astype(np.uint32)
+        # The last lane may end early; what it reads beyond the payload is cut off.
+        raw = np.frombuffer(payload + bytes(LANE * MAX_BITS // 8 + 4), np.uint8).astype(np.uint32)
+        words = (raw[:-2] << np.uint32(16)) | (raw[1:-1] << np.uint32(8)) | raw[2:]
         out = np.empty(len(marks) * LANE, np.uint32)
         for k in range(0, len(marks), 4096):
             at = marks[k : k + 4096].astype(np.int64)
-            lanes = np.empty((len(at), LANE), np.uint32)
+            lanes = np.empty((LANE, len(at)), np.uint32)
             for step in range(LANE):
-                byte = at >> 3
-                word = (raw[byte] << 16) | (raw[byte + 1] << 8) | raw[byte + 2]
-                peek = (word >> (8 - (at & 7)).astype(np.uint32)) & 0xFFFF
-                lanes[:, step] = self.symbol[peek]
-                # Past the last id of the last lane the place no longer matters.
-                at = np.minimum(at + self.width[peek], 8 * len(payload))
-            out[k * LANE : (k + len(at)) * LANE] = lanes.ravel()
+                peek = (words[at >> 3] >> (8 - (at & 7)).astype(np.uint32)) & np.uint32(0xFFFF)
+                hit = self.table[peek]
+                lanes[step] = hit
+                at += hit & np.uint32(0xFF)
+            out[k * LANE : (k + len(at)) * LANE] = (lanes.T >> np.uint32(8)).ravel()
         return out[:n]
 
 
@@ -152,8 +151,8 @@ def count_ids(ids: DataFrame) -> dict[int, int]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << 16, np.int64)
         for batch in batches:
-            for x in batch.column("ids").to_pylist():
-                total += np.bincount(np.frombuffer(x, "<u2"), minlength=1 << 16)
+            joined = b"".join(batch.column("ids").to_pylist())
+            total += np.bincount(np.frombuffer(joined, "<u2"), minlength=1 << 16)
         (seen,) = np.nonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], ["id", "n"])
 
