@@ -64,12 +64,14 @@ def test_repeated_strings_equal_brute_force(odd_docs):
     assert Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in got) == want
 
 
-def test_hot_anchors_are_counted_by_window(spark, monkeypatch):
-    monkeypatch.setattr(suffix_dedup, "HOT", 2)
+@pytest.mark.parametrize("hot", [2, 5])
+def test_hot_anchors_are_divided(spark, monkeypatch, hot):
+    monkeypatch.setattr(suffix_dedup, "HOT", hot)
     shared = words(7, 80)
-    docs = spark.createDataFrame(
-        [(i, words(i, 30) + f" {i} " + shared[i % 7 :] + words(i + 500, 9)) for i in range(12)], "doc_id long, text string"
-    )
+    rows = [(i, words(i, 30) + f" {i} " + shared[i % 7 :] + words(i + 500, 9)) for i in range(12)]
+    rows += [(20 + i, f"{i:05d} " + shared[:230] + f" {i:05d}") for i in range(12)]
+    rows += [(40 + i, shared[i * 3 : 250 + i]) for i in range(9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
     want = brute_cut([r.text.encode() for r in docs.orderBy("doc_id").collect()], 200)
     got = suffix_dedup.remove_repeats(docs).orderBy("doc_id").collect()
     assert [(r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in got] == want

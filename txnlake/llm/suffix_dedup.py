@@ -10,7 +10,9 @@ A string of ``length`` bytes that starts at two places of the corpus is found in
 3. Of anchors with several different segments, one copy of each goes to a shard by anchor. Shards
    are sorted by external induced sorting (``induced_sort``), and windows whose neighbours in
    suffix order share ``length`` bytes are repeated. Anchors with more than HOT different
-   segments are dealt on by their single windows, which are counted by a 128-bit fingerprint.
+   segments are divided first: pieces of STEP window offsets are dealt by the bytes that all
+   their windows share, and go through the same steps. Where even these bytes have more than
+   HOT different pieces, single windows are counted by a 128-bit fingerprint.
 4. Repeated windows go back to their documents as byte ranges, which are cut out together.
 """
 
@@ -26,11 +28,12 @@ from pyspark.sql import functions as F
 
 from txnlake.llm.common import partitions, stored, whole_text
 from txnlake.llm.induced_sort import repeated
-from txnlake.llm.rolling import Rolling
+from txnlake.llm.rolling import Rolling, scramble
 
 LENGTH = 200
 ANCHOR = 64
 HOT = 256
+STEP = 16
 _PLACE = np.uint64((1 << 36) - 1)
 
 
@@ -46,13 +49,14 @@ def _least(hashes: np.ndarray, width: int) -> np.ndarray:
 
 
 def segments(data: np.ndarray, length: int, anchor: int) -> tuple[np.ndarray, ...]:
-    """(anchor hash, segment hash, first window, number of windows) of each anchor place.
+    """(anchor hash, segment hash, first window, number of windows, place of the anchor after
+    the first window's start) of each anchor place.
 
     Places compare by the upper bits of their hash, then by position: the leftmost of equals.
     """
     if len(data) < length:
         none = np.empty(0, np.int64)
-        return none, none, none, none
+        return none, none, none, none, none
     rolling = Rolling(data)
     hashes = rolling.windows(anchor)
     ranked = (hashes & ~_PLACE) | np.arange(len(hashes), dtype=np.uint64)
@@ -60,7 +64,8 @@ def segments(data: np.ndarray, length: int, anchor: int) -> tuple[np.ndarray, ..
     first = np.flatnonzero(np.append(True, least[1:] != least[:-1]))
     count = np.diff(np.append(first, len(least)))
     whole = rolling.of(first, first + count - 1 + length)
-    return hashes[least[first]].view(np.int64), whole.view(np.int64), first, count
+    at = least[first].astype(np.int64)
+    return hashes[at].view(np.int64), whole.view(np.int64), first, count, at - first
 
 
 def _texts(docs: DataFrame) -> DataFrame:
@@ -71,8 +76,8 @@ def _texts(docs: DataFrame) -> DataFrame:
 
 
 def _places(docs: DataFrame, length: int, anchor: int) -> DataFrame:
-    """(anchor, seg, doc_id, th, first, windows): a row for each anchor place."""
-    names = ["anchor", "seg", "doc_id", "th", "first", "windows"]
+    """(anchor, seg, doc_id, th, first, windows, at): a row for each anchor place."""
+    names = ["anchor", "seg", "doc_id", "th", "first", "windows", "at"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -84,21 +89,23 @@ def _places(docs: DataFrame, length: int, anchor: int) -> DataFrame:
             row = np.repeat(np.arange(len(found)), [len(f[0]) for f in found])
             if not len(row):
                 continue
-            a, s, f, n = (np.concatenate([x[i] for x in found]) for i in range(4))
+            a, s, f, n, at = (np.concatenate([x[i] for x in found]) for i in range(5))
             take = pa.array(row)
             columns = [pa.array(a), pa.array(s), ids.take(take), hashes.take(take)]
-            columns += [pa.array(f.astype(np.int32)), pa.array(n.astype(np.int32))]
+            columns += [pa.array(x.astype(np.int32)) for x in (f, n, at)]
             yield pa.RecordBatch.from_arrays(columns, names)
 
     return _texts(docs).mapInArrow(
-        run, "anchor long, seg long, doc_id long, th long, first int, windows int"
+        run, "anchor long, seg long, doc_id long, th long, first int, windows int, at int"
     )
 
 
 def _cut_segments(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
-    """Stored (anchor, seg, hot, bytes) of wanted (anchor, seg, hot, place)."""
+    """Stored (anchor, seg, hot, at, bytes) of wanted (anchor, seg, hot, place)."""
     lists = wanted.groupBy("place.doc_id", "place.th").agg(
-        F.collect_list(F.struct("anchor", "seg", "hot", "place.first", "place.windows")).alias("cuts")
+        F.collect_list(
+            F.struct("anchor", "seg", "hot", "place.at", "place.first", "place.windows")
+        ).alias("cuts")
     )
     texts = _texts(docs)
     # Rows equal in id and hash repeat the same cuts; one of them is enough.
@@ -113,11 +120,11 @@ def _cut_segments(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
                 own = [data[c["first"] : c["first"] + c["windows"] - 1 + length] for c in cuts]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([c[k] for c in cuts]) for k in ("anchor", "seg", "hot")]
-                    + [pa.array(own, pa.binary())],
-                    ["anchor", "seg", "hot", "bytes"],
+                    + [pa.array([c["at"] for c in cuts], pa.int32()), pa.array(own, pa.binary())],
+                    ["anchor", "seg", "hot", "at", "bytes"],
                 )
 
-    made = joined.mapInArrow(run, "anchor long, seg long, hot boolean, bytes binary")
+    made = joined.mapInArrow(run, "anchor long, seg long, hot boolean, at int, bytes binary")
     return stored(made, "suffix-segments")
 
 
@@ -199,6 +206,90 @@ def _counted_windows(cut: DataFrame, length: int) -> DataFrame:
     )
 
 
+def _pieces(cut: DataFrame, length: int) -> DataFrame:
+    """Stored (key, whole, anchor, seg, first, windows, bytes) of segments of hot anchors.
+
+    Equal windows have the anchor at one offset, so pieces of STEP offsets, counted from the
+    anchor, meet by their key: a hash of the anchor, the piece's number and the bytes that any
+    window of these offsets holds. ``whole`` is a hash of all bytes and offsets of the piece.
+    """
+    once = cut.select("anchor", "seg", "at", "bytes").dropDuplicates(["anchor", "seg"])
+    names = ["key", "whole", "anchor", "seg", "first", "windows", "bytes"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for anchor, seg, at, data in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
+                # Offsets at, at - 1, ... belong to windows 0, 1, ...
+                n = len(data) - length + 1
+                block = np.arange((at - n + 1) // STEP, at // STEP + 1)
+                first = np.maximum(at - (block * STEP + STEP - 1), 0)
+                last = np.minimum(at - block * STEP, n - 1)
+                rolling = Rolling(np.frombuffer(data, np.uint8))
+                shared = rolling.of(at - block * STEP, at - block * STEP - STEP + 1 + length)
+                whole = rolling.of(first, last + length)
+                number = block.astype(np.uint64)
+                key = scramble(shared + scramble(number + np.uint64(anchor % (1 << 64))))
+                whole = scramble(whole + scramble((at - first).astype(np.uint64)))
+                k = len(block)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(key.view(np.int64)),
+                        pa.array(whole.view(np.int64)),
+                        pa.array(np.full(k, anchor, np.int64)),
+                        pa.array(np.full(k, seg, np.int64)),
+                        pa.array(first.astype(np.int32)),
+                        pa.array((last - first + 1).astype(np.int32)),
+                        pa.array([data[f : e + length] for f, e in zip(first, last, strict=True)], pa.binary()),
+                    ],
+                    names,
+                )
+
+    return stored(
+        once.mapInArrow(
+            run, "key long, whole long, anchor long, seg long, first int, windows int, bytes binary"
+        ),
+        "suffix-pieces",
+    )
+
+
+def _divided(cut: DataFrame, length: int) -> DataFrame:
+    """Repeated windows (anchor, seg, start, end) of hot anchors, piece by piece."""
+    pieces = _pieces(cut, length)
+    of = F.struct("anchor", "seg", "first", "windows", "bytes")
+    by_piece = stored(
+        pieces.groupBy("key", "whole").agg(F.count(F.lit(1)).alias("n"), F.min(of).alias("one")),
+        "suffix-different",
+    )
+    mixed = _mixed(by_piece.select(F.col("key").alias("anchor"), "n"))
+    wanted = by_piece.join(mixed.withColumnRenamed("anchor", "key").hint("merge"), "key").select(
+        F.col("key").alias("anchor"), F.col("whole").alias("seg"), "hot", F.col("one.bytes").alias("bytes")
+    )
+    runs = _sorted_shards(wanted.where("NOT hot"), length).unionByName(
+        _counted_windows(wanted.where("hot"), length)
+    )
+    runs = runs.select(F.col("anchor").alias("key"), F.col("seg").alias("whole"), "start", "end")
+    single = by_piece.where("n = 1").select("key", "whole", "one.anchor", "one.seg", "one.first")
+    some = runs.join(single.hint("merge"), ["key", "whole"]).select(
+        "anchor", "seg", (F.col("first") + F.col("start")).alias("start"), (F.col("first") + F.col("end")).alias("end")
+    )
+    several = by_piece.where("n > 1").select("key", "whole")
+    full = pieces.drop("bytes").join(several.hint("merge"), ["key", "whole"]).select(
+        "anchor", "seg", F.col("first").alias("start"), (F.col("first") + F.col("windows")).alias("end")
+    )
+    return some.unionByName(full)
+
+
+def _mixed(different: DataFrame) -> DataFrame:
+    """(anchor, hot) of anchors that have several different segments, one of them only once;
+    ``different`` has a row (anchor, n) for each segment."""
+    return (
+        different.groupBy("anchor")
+        .agg(F.count(F.lit(1)).alias("different"), F.min("n").alias("fewest"))
+        .where("different > 1 AND fewest = 1")
+        .select("anchor", (F.col("different") > HOT).alias("hot"))
+    )
+
+
 def repeated_ranges(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR) -> DataFrame:
     """(doc_id, th, ranges): byte ranges (start, end) that repeated strings cover, unmerged."""
     places = _places(docs, length, anchor)
@@ -206,20 +297,16 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR)
     places = stored(places.join(often.hint("merge"), "anchor"), "suffix-places")
     by_seg = stored(
         places.groupBy("anchor", "seg").agg(
-            F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "th", "first", "windows")).alias("place")
+            F.count(F.lit(1)).alias("n"),
+            F.min(F.struct("doc_id", "th", "first", "windows", "at")).alias("place"),
         ),
         "suffix-distinct",
     )
-    mixed = (
-        by_seg.groupBy("anchor")
-        .agg(F.count(F.lit(1)).alias("different"), F.min("n").alias("fewest"))
-        .where("different > 1 AND fewest = 1")
-        .select("anchor", (F.col("different") > HOT).alias("hot"))
-    )
+    mixed = _mixed(by_seg.select("anchor", "n"))
     wanted = by_seg.join(mixed.hint("merge"), "anchor").select("anchor", "seg", "hot", "place")
     cut = _cut_segments(docs, wanted, length)
     runs = _sorted_shards(cut.where("NOT hot"), length).unionByName(
-        _counted_windows(cut.where("hot"), length)
+        _divided(cut.where("hot"), length)
     )
     # A segment of one place takes its runs there; one of several is repeated as a whole.
     single = by_seg.where("n = 1").select("anchor", "seg", "place")
