@@ -293,7 +293,11 @@ def _mixed(different: DataFrame) -> DataFrame:
 def repeated_ranges(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR) -> DataFrame:
     """(doc_id, th, ranges): byte ranges (start, end) that repeated strings cover, unmerged."""
     places = _places(docs, length, anchor)
-    often = places.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor")
+    # Stored by itself, so that the join below may split the places of a hot anchor.
+    often = stored(
+        places.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor"),
+        "suffix-often",
+    )
     places = stored(places.join(often.hint("merge"), "anchor"), "suffix-places")
     by_seg = stored(
         places.groupBy("anchor", "seg").agg(
