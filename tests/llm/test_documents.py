@@ -300,6 +300,39 @@ def test_toxicity_on_held_out_rows(spark, toxic_docs):
     assert toxicity.score_toxicity(docs.limit(0), labels).count() == 0
 
 
+def test_toxicity_sees_whole_texts(spark):
+    rng = random.Random(12)
+    known = ["".join(rng.choices("abcdefghij", k=rng.randrange(2, 8))) for _ in range(300)]
+    rows = [(i, " ".join(rng.choices(known, k=rng.randrange(1, 40)))) for i in range(300)]
+    train = [i for i in range(1000, 1010) if zlib.crc32(str(i).encode()) % 5]
+    rows += [(i, f"zounds vile knave {'zounds ' * k}") for k, i in enumerate(train[:3])]
+    rows += [(2000, rows[301][1]), (2001, "zounds unheardof"), (2002, "unheardof"), (2003, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i >= 1000)) for i, _ in rows if i < 2000], "doc_id long, toxic int")
+    got = {r.doc_id: r for r in toxicity.score_toxicity(docs, labels).collect()}
+    assert {i for i, r in got.items() if r.predicted} == {*train[:3], 2000, 2001}
+    assert got[2002].evidence == got[2003].evidence == [] and got[2002].score < 0.1
+
+    counts = {}
+    for i, text in rows:
+        counts[i] = Counter(text.split())
+        for word, n in list(counts[i].items()):
+            for k in (4, 5):
+                if len(word) >= k:
+                    counts[i][word[:k] + "*"] += n
+    df = Counter(t for c in counts.values() for t in c)
+    weights = {
+        i: {t: (1 + np.log(n)) * (np.log((1 + len(rows)) / (1 + df[t])) + 1) for t, n in c.items()}
+        for i, c in counts.items()
+    }
+    norm = {i: np.sqrt(sum(w * w for w in v.values())) for i, v in weights.items()}
+    examples = [i for i, _ in rows if i < 2000 and zlib.crc32(str(i).encode()) % 5]
+    for i, v in weights.items():
+        cosine = {e: sum(w * weights[e].get(t, 0) for t, w in v.items()) / norm[e] for e in examples}
+        best = sorted((c for c in cosine.values() if c > 0), reverse=True)[:5]
+        assert np.allclose([cosine[e] for e in got[i].evidence], best)
+
+
 def test_block_max_search_is_exact():
     rng = np.random.default_rng(2)
     examples = []

@@ -1,33 +1,37 @@
 """Toxicity from the nearest labelled examples by exact TF-IDF cosine.
 
-Terms are lower-cased words and word beginnings of four and five letters. The vocabulary is those
-terms that labelled examples show to go with toxic texts; document frequencies come from all
-documents. Examples lie in blocks of an inverted index that knows the largest weight of each term
-in each block, so blocks that cannot reach the nearest few are skipped. Votes are weighted by
-similarity, and a monotone curve fitted on the examples, each without its own vote, turns them
-into calibrated scores.
+Terms are lower-cased words and word beginnings of four and five letters. All terms of the chosen
+examples count; document frequencies come from all documents. A term that no example has scales
+all cosines of its text alike, so it changes neither neighbours nor votes and is not kept.
+Examples lie in blocks that know the largest weight of each term, so blocks that cannot reach the
+nearest few are skipped. In a block the commonest terms are multiplied as a matrix in single
+precision and the others added from postings; what may be among the nearest is scored again in
+double precision. Votes are weighted by similarity, and a monotone curve fitted on the examples,
+each without its own vote, turns them into calibrated scores.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnlake.llm.common import stored, whole_text
+from txnlake.llm.common import partitions, stored, whole_text
 
 #: Documented bound of the fit: labelled rows that serve as examples, by hash of doc_id.
 MAX_EXAMPLES = 20_000
-MAX_TERMS = 2048
-#: A term counts when at least half of its texts are toxic, at this many standard deviations.
-MIN_SHARE, DEVIATIONS = 0.5, 2.58
 NEIGHBOURS = 32
-BLOCK = 64
+#: Examples of a block, and how many of its terms lie in its matrix.
+BLOCK, COMMON = 2048, 1024
+#: More than single precision can take from or add to a cosine of unit vectors.
+SLACK = 1e-4
 PREFIXES = (4, 5)
 
 _WORD = re.compile(r"[^\W\d_]+")
@@ -56,155 +60,269 @@ def choose_examples(labels: DataFrame, limit: int = MAX_EXAMPLES) -> DataFrame:
     return known.where(~held_out(F.col("doc_id"))).orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
 
 
-def learn_terms(docs: DataFrame, examples: DataFrame) -> list[str]:
-    """Terms whose texts are mostly toxic, by the lower Wilson bound of the share; highest first."""
+def example_terms(docs: DataFrame, examples: DataFrame) -> list[str]:
+    """All terms of the examples' texts, those of most texts first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = (Counter(), Counter())
+        counts: Counter = Counter()
         for batch in batches:
-            for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                counts[toxic].update(text_terms(text))
-        terms = list(counts[0].keys() | counts[1].keys())
+            for text in batch.column(0).to_pylist():
+                counts.update(text_terms(text))
+        terms = list(counts)
         for k in range(0, len(terms), 50_000):
             own = terms[k : k + 50_000]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(own, pa.string()), *(pa.array([counts[c][t] for t in own], pa.int64()) for c in (0, 1))],
-                ["term", "clean", "toxic"],
+                [pa.array(own, pa.string()), pa.array([counts[t] for t in own], pa.int64())], ["term", "n"]
             )
 
-    texts = docs.join(F.broadcast(examples), "doc_id").select(whole_text().alias("text"), "toxic")
-    counted = (
-        texts.mapInArrow(run, "term string, clean long, toxic long")
-        .groupBy("term")
-        .agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-    )
-    n, z = F.col("toxic") + F.col("clean"), DEVIATIONS
-    share = F.col("toxic") / n
-    spread = z * F.sqrt(share * (1 - share) / n + z * z / (4 * n * n))
-    bound = (share + z * z / (2 * n) - spread) / (1 + z * z / n)
-    ranked = counted.withColumn("bound", bound).where(F.col("bound") >= MIN_SHARE)
-    rows = ranked.orderBy(F.desc("bound"), "term").limit(MAX_TERMS).select("term").collect()
-    return [r["term"] for r in rows]
-
-
-def _matcher(terms: list[str]):
-    """A function from a text to its vocabulary counts, reading the text once."""
-    import ahocorasick
-
-    found: dict[str, list[tuple[int, bool]]] = {}
-    for i, term in enumerate(terms):
-        found.setdefault(term.rstrip("*"), []).append((i, term.endswith("*")))
-    automaton = ahocorasick.Automaton()
-    for word, uses in found.items():
-        automaton.add_word(word, (len(word), uses))
-    automaton.make_automaton()
-
-    def inside(ch: str) -> bool:
-        return _WORD.match(ch) is not None
-
-    def count(text: str) -> dict[int, int]:
-        text = text.lower()
-        out: dict[int, int] = {}
-        for end, (n, uses) in automaton.iter(text):
-            if end >= n and inside(text[end - n]):
-                continue
-            more = end + 1 < len(text) and inside(text[end + 1])
-            for i, prefix in uses:
-                if prefix or not more:
-                    out[i] = out.get(i, 0) + 1
-        return out
+    texts = docs.join(F.broadcast(examples), "doc_id").select(whole_text().alias("text"))
+    counted = texts.mapInArrow(run, "term string, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+    return counted.sort_by([("n", "descending"), ("term", "ascending")]).column("term").to_pylist()
+
+
+def _counter(terms: list[str]):
+    """A function from a text to its known terms (ascending), their counts, and whether it has no word."""
+    number = {t: i for i, t in enumerate(terms)}
+    of_word: dict[str, tuple[int, ...]] = {}
+
+    def look_up(word: str) -> tuple[int, ...]:
+        if len(of_word) > 200_000:
+            of_word.clear()
+        names = [word, *(word[:n] + "*" for n in PREFIXES if len(word) >= n)]
+        found = of_word[word] = tuple(number[t] for t in names if t in number)
+        return found
+
+    def count(text: str) -> tuple[np.ndarray, np.ndarray, bool]:
+        ids, times = [], []
+        words = Counter(_WORD.findall(text.lower()))
+        for word, n in words.items():
+            own = of_word.get(word)
+            for i in look_up(word) if own is None else own:
+                ids.append(i)
+                times.append(n)
+        found, at = np.unique(np.array(ids, np.int64), return_inverse=True)
+        return found, np.bincount(at, times, len(found)).astype(np.int64), not words
 
     return count
 
 
+def _packed(values: np.ndarray) -> bytes:
+    """Numbers as planes of their bytes, which files compress well."""
+    return values.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, np.uint8).reshape(4, -1).T.copy().view("<u4").ravel().astype(np.int64)
+
+
+def _terms_of(data: bytes) -> np.ndarray:
+    return np.cumsum(_unpacked(data))
+
+
 def term_vectors(docs: DataFrame, terms: list[str]) -> DataFrame:
-    """Stored (doc_id, th, terms, counts) of every document; terms ascending, th a text hash."""
+    """Stored (doc_id, th, terms, counts, bare) of every document.
+
+    ``terms`` are steps between ascending numbers, both are packed; th is a text hash; a bare
+    text has no word.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(terms)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count = _matcher(terms) if terms else lambda text: {}
+        count = _counter(shared.value)
         for batch in batches:
-            found = [sorted(count(t).items()) for t in batch.column(2).to_pylist()]
+            found = [count(t) for t in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
                     batch.column(1),
-                    pa.array([[i for i, _ in f] for f in found], pa.list_(pa.int32())),
-                    pa.array([[n for _, n in f] for f in found], pa.list_(pa.int32())),
+                    pa.array([_packed(np.diff(t, prepend=0)) for t, _, _ in found], pa.binary()),
+                    pa.array([_packed(n) for _, n, _ in found], pa.binary()),
+                    pa.array([bare for _, _, bare in found], pa.bool_()),
                 ],
-                ["doc_id", "th", "terms", "counts"],
+                ["doc_id", "th", "terms", "counts", "bare"],
             )
 
     text = whole_text()
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("th"), text.alias("text"))
-    schema = "doc_id long, th long, terms array<int>, counts array<int>"
-    return stored(texts.mapInArrow(run, schema), "toxicity-vectors")
+    schema = "doc_id long, th long, terms binary, counts binary, bare boolean"
+    vectors = stored(texts.mapInArrow(run, schema), "toxicity-vectors")
+    shared.destroy()
+    return vectors
+
+
+def document_frequency(vectors: DataFrame, n_terms: int) -> np.ndarray:
+    """How many documents have each term."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(n_terms, np.int64)
+        for batch in batches:
+            own = [_terms_of(t) for t in batch.column(0).to_pylist()]
+            if own:
+                counts += np.bincount(np.concatenate(own), minlength=n_terms)
+        (terms,) = np.nonzero(counts)
+        for k in range(0, len(terms), 50_000):
+            own = terms[k : k + 50_000]
+            yield pa.RecordBatch.from_arrays([pa.array(own, pa.int64()), pa.array(counts[own], pa.int64())], ["t", "n"])
+
+    found = vectors.select("terms").mapInArrow(run, "t long, n long").groupBy("t").agg(F.sum("n").alias("n")).toArrow()
+    frequency = np.zeros(n_terms)
+    frequency[found.column("t").to_numpy()] = found.column("n").to_numpy()
+    return frequency
+
+
+class _Tile:
+    """One block: a matrix of its commonest terms, postings of the others, largest weights of all."""
+
+    def __init__(self, rows: np.ndarray, terms: np.ndarray, weights: np.ndarray, n_rows: int, n_terms: int):
+        self.n_rows = n_rows
+        weights = weights.astype(np.float32)
+        self.top = np.zeros(n_terms, np.float32)
+        np.maximum.at(self.top, terms, weights)
+        often = np.bincount(terms, minlength=n_terms)
+        common = np.argsort(-often, kind="stable")[:COMMON]
+        self.column = np.full(n_terms, -1, np.int32)
+        self.column[common] = np.arange(len(common))
+        column = self.column[terms]
+        inside = column >= 0
+        self.matrix = np.zeros((len(common), n_rows), np.float32)
+        self.matrix[column[inside], rows[inside]] = weights[inside]
+        rows, terms, weights = rows[~inside], terms[~inside], weights[~inside]
+        order = np.argsort(terms, kind="stable")
+        self.rows, self.weights = rows[order], weights[order]
+        self.at = np.concatenate([[0], np.cumsum(np.bincount(terms, minlength=n_terms))]).astype(np.int32)
+
+    def scores(self, queries: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+        """Cosines of all rows to each query (terms, unit weights), to within SLACK."""
+        dense = np.zeros((len(queries), len(self.matrix)), np.float32)
+        columns = [self.column[terms] for terms, _ in queries]
+        for i, (column, (_, q)) in enumerate(zip(columns, queries, strict=True)):
+            inside = column >= 0
+            dense[i, column[inside]] = q[inside]
+        out = dense @ self.matrix
+        for i, (column, (terms, q)) in enumerate(zip(columns, queries, strict=True)):
+            rare = terms[column < 0]
+            first, n = self.at[rare], self.at[rare + 1] - self.at[rare]
+            where = np.repeat(first - np.cumsum(n) + n, n) + np.arange(n.sum())
+            add = np.repeat(q[column < 0], n) * self.weights[where]
+            out[i] += np.bincount(self.rows[where], add, self.n_rows)
+        return out
 
 
 class BlockMaxIndex:
     """Unit vectors of distinct examples in blocks, with each term's largest weight in each block."""
 
-    def __init__(self, examples: list[tuple[tuple, tuple, int, int, int]], idf: np.ndarray):
+    def __init__(self, examples: list[tuple], idf: np.ndarray):
         examples = sorted(examples)  # neighbours in term order share blocks
-        self.idf = idf
+        self.idf = np.asarray(idf, np.float64)
         self.weight = np.array([[e[2], e[3]] for e in examples], np.float64).reshape(-1, 2)
         self.doc_id = [e[4] for e in examples]
-        n_blocks = -(-len(examples) // BLOCK)
-        self.top = np.zeros((len(idf), n_blocks))
-        postings: dict[tuple[int, int], list[tuple[int, float]]] = {}
-        for row, e in enumerate(examples):
-            for term, w in zip(e[0], self.unit(e[0], e[1]), strict=True):
-                block = row // BLOCK
-                self.top[term, block] = max(self.top[term, block], w)
-                postings.setdefault((term, block), []).append((row % BLOCK, w))
-        self.postings = {
-            key: (np.array([r for r, _ in p]), np.array([w for _, w in p])) for key, p in postings.items()
-        }
+        self.start = np.cumsum([0, *(len(e[0]) for e in examples)])
+        self.terms = np.concatenate([np.empty(0, np.int32), *(np.asarray(e[0], np.int32) for e in examples)])
+        # The few different counts are kept once.
+        self.count = np.array(sorted(set().union(*(np.unique(e[1]).tolist() for e in examples))), np.int64)
+        small = np.min_scalar_type(len(self.count))
+        codes = (np.searchsorted(self.count, np.asarray(e[1], np.int64)).astype(small) for e in examples)
+        self.code = np.concatenate([np.empty(0, small), *codes])
+        self.tf = 1.0 + np.log(self.count.astype(np.float64))
+        self.norm = np.ones(len(examples))
+        for row in range(len(examples)):
+            self.norm[row] = np.linalg.norm(self._raw(self.start[row], self.start[row + 1]))
+        self._tiles: list[_Tile] | None = None
+
+    def __getstate__(self):
+        return self.__dict__ | {"_tiles": None}
+
+    def _raw(self, lo: int, hi: int) -> np.ndarray:
+        return self.tf[self.code[lo:hi]] * self.idf[self.terms[lo:hi]]
+
+    def tiles(self) -> list[_Tile]:
+        if self._tiles is None:
+            self._tiles = []
+            for a in range(0, len(self.norm), BLOCK):
+                z = min(a + BLOCK, len(self.norm))
+                lo, hi = self.start[a], self.start[z]
+                rows = np.repeat(np.arange(z - a), np.diff(self.start[a : z + 1]))
+                weights = self._raw(lo, hi) / self.norm[a:z][rows]
+                self._tiles.append(_Tile(rows, self.terms[lo:hi], weights, z - a, len(self.idf)))
+        return self._tiles
+
+    def example(self, row: int) -> tuple[np.ndarray, np.ndarray]:
+        lo, hi = self.start[row], self.start[row + 1]
+        return self.terms[lo:hi], self.count[self.code[lo:hi]]
 
     def unit(self, terms, counts) -> np.ndarray:
-        w = (1.0 + np.log(np.asarray(counts, np.float64))) * self.idf[list(terms)]
+        w = (1.0 + np.log(np.asarray(counts, np.float64))) * self.idf[np.asarray(terms, np.int64)]
         return w / np.linalg.norm(w) if len(w) else w
 
-    def nearest(self, terms, counts, k: int, less: tuple[int, int] | None = None):
-        """Rows and cosines of the examples at least as near as the k-th; blocks whose bound is
-        lower are skipped. ``less`` takes one vote of (row, label) away."""
-        q = self.unit(terms, counts)
-        bound = q @ self.top[list(terms)]
-        weight = self.weight.sum(axis=1)
-        if less:
-            weight[less[0]] -= 1
-        rows, sims, bar = np.empty(0, np.int64), np.empty(0), 0.0
-        for block in np.argsort(-bound, kind="stable"):
-            if bound[block] <= 0 or bound[block] < bar - 1e-12:
-                break
-            score = np.zeros(BLOCK)
-            for term, w in zip(terms, q, strict=True):
-                hit = self.postings.get((term, block))
-                if hit:
-                    score[hit[0]] += w * hit[1]
-            (own,) = np.nonzero(score > max(bar - 1e-12, 0.0))
-            rows = np.concatenate([rows, own + block * BLOCK])
-            sims = np.concatenate([sims, score[own]])
-            if len(rows) > 0:
+    def _exact(self, rows: np.ndarray, q: np.ndarray) -> np.ndarray:
+        """Cosines in double precision; q has the weight times idf at the place of every term."""
+        n = self.start[rows + 1] - self.start[rows]
+        ends = np.cumsum(n)
+        where = np.repeat(self.start[rows] - ends + n, n) + np.arange(ends[-1])
+        parts = q[self.terms[where]] * self.tf[self.code[where]]
+        return np.add.reduceat(parts, ends - n) / self.norm[rows]
+
+    def search(self, queries: list[tuple], k: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each query (terms, counts, less) the rows and cosines of the examples at least as
+        near as the k-th; blocks whose bound is lower are skipped. ``less``, if not None, takes
+        one vote of (row, label) away."""
+        tiles = self.tiles()
+        every = self.weight.sum(axis=1)
+        units = [(np.asarray(t, np.int64), self.unit(t, c)) for t, c, _ in queries]
+        bound = np.array([[q @ tile.top[t] for tile in tiles] for t, q in units]).reshape(len(queries), len(tiles))
+        near = [(np.empty(0, np.int64), np.empty(0, np.float32))] * len(queries)
+        bar = np.zeros(len(queries))
+        best = bound.argmax(axis=1) if tiles else None
+        for others in (False, True):
+            for block, tile in enumerate(tiles):
+                own = (best != block) if others else (best == block)
+                (who,) = np.nonzero(own & (bound[:, block] > 0) & (bound[:, block] >= bar - 2 * SLACK))
+                if not len(who):
+                    continue
+                for i, score in zip(who, tile.scores([units[i] for i in who]), strict=True):
+                    (rows,) = np.nonzero(score > max(bar[i] - 2 * SLACK, 0.0))
+                    score = np.concatenate([near[i][1], score[rows]])
+                    rows = np.concatenate([near[i][0], rows + block * BLOCK])
+                    # Every row but one that lost its only vote has a vote or more, so k + 1 rows hold k.
+                    if len(score) > k:
+                        bar[i] = np.partition(score, -k - 1)[-k - 1]
+                    keep = score >= bar[i] - 2 * SLACK
+                    near[i] = (rows[keep], score[keep])
+        out, spread = [], np.zeros(len(self.idf))
+        for (rows, _), (terms, q), (_, _, less) in zip(near, units, queries, strict=True):
+            if len(rows):
+                spread[terms] = q * self.idf[terms]
+                sims = self._exact(rows, spread)
+                spread[terms] = 0.0
                 order = np.lexsort((rows, -sims))
-                have = np.cumsum(weight[rows[order]])
-                at = int(np.searchsorted(have, k))
-                if at < len(order):
-                    bar = sims[order[at]]
-                    keep = sims >= bar - 1e-12
-                    rows, sims = rows[keep], sims[keep]
-        return rows, sims
-
-    def vote(self, terms, counts, less: tuple[int, int] | None = None) -> tuple[float, list[int]]:
-        """Similarity-weighted toxic share of the nearest examples, and some of their doc_ids."""
-        rows, sims = self.nearest(terms, counts, NEIGHBOURS, less)
-        w = self.weight[rows].copy()
-        if less:
-            w[rows == less[0], less[1]] -= 1
-        mass = sims @ w
-        total = mass.sum()
-        order = np.lexsort((rows, -sims))[:5]
-        share = float(mass[1] / total) if total > 0 else float("nan")
-        return share, [self.doc_id[r] for r in rows[order]]
+                weight = every[rows[order]]
+                if less:
+                    weight[rows[order] == less[0]] -= 1
+                at = int(np.searchsorted(np.cumsum(weight), k))
+                least = sims[order[at]] if at < len(order) else 0.0
+                keep = (sims >= least - 1e-12) & (sims > 0)
+                out.append((rows[keep], sims[keep]))
+            else:
+                out.append((rows, np.empty(0)))
+        return out
+
+    def nearest(self, terms, counts, k: int, less: tuple[int, int] | None = None):
+        return self.search([(terms, counts, less)], k)[0]
+
+    def votes(self, queries: list[tuple]) -> list[tuple[float, list[int]]]:
+        """Similarity-weighted toxic share of the nearest examples of each query, and some of
+        their doc_ids; the share is NaN where no example has a term of the query."""
+        out = []
+        for (_, _, less), (rows, sims) in zip(queries, self.search(queries, NEIGHBOURS), strict=True):
+            w = self.weight[rows].copy()
+            if less:
+                w[rows == less[0], less[1]] -= 1
+            mass = sims @ w
+            total = mass.sum()
+            order = np.lexsort((rows, -sims))[:5]
+            share = float(mass[1] / total) if total > 0 else float("nan")
+            out.append((share, [self.doc_id[r] for r in rows[order]]))
+        return out
 
 
 def monotone(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -221,55 +339,64 @@ def monotone(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, n
 
 
 class ToxicityModel:
-    """Example index, calibration curve, and the scores of texts without any term."""
-
-    def __init__(self, examples: list[tuple[tuple, tuple, int, int, int]], idf: np.ndarray):
-        empty = [e for e in examples if not e[0]]
-        some = [e for e in examples if e[0]]
-        clean, toxic = sum(e[2] for e in examples), sum(e[3] for e in examples)
-        self.prior = (toxic + 0.5) / (clean + toxic + 1.0) if examples else 0.0
-        n0, n1 = sum(e[2] for e in empty), sum(e[3] for e in empty)
-        self.without = (n1 + self.prior) / (n0 + n1 + 1.0)
-        self.index = BlockMaxIndex(some, idf)
-        votes, labels, weights = [], [], []
-        for row, e in enumerate(sorted(some)):
-            for label in (0, 1):
-                if e[2 + label]:
-                    share, _ = self.index.vote(e[0], e[1], (row, label))
-                    if share == share:
-                        votes.append(share)
-                        labels.append(label)
-                        weights.append(e[2 + label])
+    """Calibration curve, and the scores of texts without any word or any term of an example.
+
+    ``bare`` has the clean and toxic rows of examples without words; ``cast`` the share, label
+    and rows of each example's vote without itself.
+    """
+
+    def __init__(self, rows: tuple[int, int], bare: tuple[int, int], cast: list[tuple[float, int, float]]):
+        clean, toxic = rows
+        self.prior = (toxic + 0.5) / (clean + toxic + 1.0) if clean + toxic else 0.0
+        self.without = (bare[1] + self.prior) / (sum(bare) + 1.0)
+        votes, labels, weights = zip(*cast, strict=True) if cast else ((), (), ())
         # Two weak points keep the curve inside (0, 1) and defined on little data.
         x = np.array([*votes, 0.0, 1.0])
         y, w = np.array([*labels, self.prior, 0.5 + self.prior / 2]), np.array([*weights, 1.0, 1.0])
         self.knots, self.values = monotone(x, y, w)
 
-    def score(self, terms, counts) -> tuple[float, list[int]]:
-        if not len(terms):
-            return self.without, []
-        share, evidence = self.index.vote(terms, counts)
+    def score(self, share: float, bare: bool) -> float:
+        if bare:
+            return self.without
         if share != share:
-            return self.prior, evidence
-        return float(np.clip(np.interp(share, self.knots, self.values), 0.0, 1.0)), evidence
+            return self.prior
+        return float(np.clip(np.interp(share, self.knots, self.values), 0.0, 1.0))
+
+
+def _votes_without_self(spark: SparkSession, index: BlockMaxIndex, shared) -> list[tuple[float, int, float]]:
+    """(share, label, rows) of each label of each example, its own vote taken away."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = shared.value
+        for batch in batches:
+            asked = [(r, label) for r in batch.column(0).to_pylist() for label in (0, 1) if own.weight[r, label]]
+            shares = [s for s, _ in own.votes([(*own.example(r), (r, label)) for r, label in asked])]
+            yield pa.RecordBatch.from_arrays(
+                [*(pa.array([a[i] for a in asked], pa.int64()) for i in (0, 1)), pa.array(shares, pa.float64())],
+                ["row", "label", "share"],
+            )
+
+    rows = spark.range(0, len(index.norm), 1, partitions(spark))
+    cast = rows.mapInArrow(run, "row long, label long, share double").toArrow()
+    cast = cast.sort_by([("row", "ascending"), ("label", "ascending")])
+    found = zip(*(cast.column(c).to_pylist() for c in ("row", "label", "share")), strict=True)
+    return [(s, label, float(index.weight[r, label])) for r, label, s in found if s == s]
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(doc_id, held_out, score, predicted, evidence, th) of every row of docs (doc_id, text).
 
-    Only the text decides a score. NULL text is empty and scores as examples without any term
-    do; equal texts score alike; without labels the score is 0. ``evidence`` lists doc_ids of
-    the nearest examples, ``th`` is a hash of the text. Fitting holds at most MAX_EXAMPLES labelled rows.
+    Only the text decides a score. NULL text is empty and scores as examples without any word
+    do; a text no example shares a term with has the share of toxic examples; equal texts score
+    alike; without labels the score is 0. ``evidence`` lists doc_ids of the nearest examples,
+    ``th`` is a hash of the text. Fitting holds at most MAX_EXAMPLES labelled rows.
     """
+    spark = docs.sparkSession
     docs = docs.select("doc_id", "text")
     examples = stored(choose_examples(labels), "toxicity-examples")
-    terms = learn_terms(docs, examples)
+    terms = example_terms(docs, examples)
     vectors = term_vectors(docs, terms)
-    n_docs = vectors.count()
-    frequency = np.zeros(len(terms))
-    for r in vectors.select(F.explode("terms").alias("t")).groupBy("t").count().collect():
-        frequency[r["t"]] = r["count"]
-    idf = np.log((1 + n_docs) / (1 + frequency)) + 1.0
+    idf = np.log((1 + vectors.count()) / (1 + document_frequency(vectors, len(terms)))) + 1.0
     # Equal example vectors are one entry with the number of clean and toxic rows.
     chosen = (
         vectors.join(F.broadcast(examples), "doc_id")
@@ -279,23 +406,35 @@ def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
             F.sum("toxic").alias("toxic"),
             F.min("doc_id").alias("doc_id"),
         )
+        .toArrow()
     )
-    model = ToxicityModel(
-        [(tuple(r[0]), tuple(r[1]), int(r[2]), int(r[3]), int(r[4])) for r in chosen.collect()], idf
-    )
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    rows, bare, some = np.zeros(2, np.int64), np.zeros(2, np.int64), []
+    for example in zip(*chosen.columns, strict=True):
+        t, c, *n, doc_id = (value.as_py() for value in example)
+        rows += n
+        if t:
+            # Arrays compare like tuples, in a fraction of the memory.
+            some.append((array("i", _terms_of(t).tolist()), array("i", _unpacked(c).tolist()), *n, doc_id))
+        else:
+            bare += n
+    del chosen
+    index = BlockMaxIndex(some, idf)
+    del some
+    shared = spark.sparkContext.broadcast(index)
+    model = ToxicityModel(tuple(rows.tolist()), tuple(bare.tolist()), _votes_without_self(spark, index, shared))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[tuple, tuple[float, list[int]]] = {}
+        known: dict[bytes, tuple[float, list[int]]] = {}
         for batch in batches:
-            out = []
-            for t, c in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                key = (*t, -1, *c)
-                if key not in known:
-                    if len(known) > 50_000:
-                        known.clear()
-                    known[key] = shared.value.score(t, c)
-                out.append(known[key])
+            vectors = list(zip(*(batch.column(i).to_pylist() for i in (2, 3, 4)), strict=True))
+            keys = [hashlib.md5(b"%d %b%b" % (len(t), t, c)).digest() + bytes([bare]) for t, c, bare in vectors]
+            if len(known) > 50_000:
+                known.clear()
+            fresh = {key: v for key, v in zip(keys, vectors, strict=True) if key not in known}
+            votes = shared.value.votes([(_terms_of(t), _unpacked(c), None) for t, c, _ in fresh.values()])
+            for (key, (_, _, bare)), (share, evidence) in zip(fresh.items(), votes, strict=True):
+                known[key] = (model.score(share, bare), evidence)
+            out = [known[key] for key in keys]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
