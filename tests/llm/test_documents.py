@@ -126,6 +126,29 @@ def test_near_duplicates_equal_brute_force(spark, odd_docs, no_docs):
     assert near_dup.near_duplicates(no_docs).count() == 0 and near_dup.one_of_each(no_docs).count() == 0
 
 
+def test_near_duplicates_without_or_with_repeated_ids(spark):
+    def near(seed, k):
+        return " ".join([*words(seed, 200).split(" ")[: 200 - k], *(f"y{i}" for i in range(k))])
+
+    rows = [
+        (None, near(70, 0)), (None, near(70, 0)), (7, near(70, 2)),  # NULL ids near to a named text
+        (None, near(71, 0)), (None, near(71, 2)), (None, near(71, 2)),  # NULL ids only
+        (5, near(72, 0)), (5, near(73, 0)), (6, near(72, 2)), (4, near(73, 2)),  # one id, two texts
+        (8, near(74, 0)), (8, near(75, 0)), (8, near(75, 0)),  # one id names two classes
+        (None, near(75, 0)), (9, None), (9, ""),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("node", F.lit("x"))
+    got = near_dup.near_duplicates(docs).collect()
+    assert Counter((r.doc_id, r.class_id) for r in got) == brute_classes(rows)
+    assert sorted(Counter(r.class_text for r in got).values()) == [1, 2, 2, 2, 3, 3, 3]
+    kept = near_dup.one_of_each(docs)
+    assert kept.columns == docs.columns
+    kept = Counter((r.doc_id, r.text or "") for r in kept.collect())
+    nameless = min((near(71, 0), near(71, 2)), key=lambda t: hashlib.md5(t.encode()).hexdigest())
+    want = [(7, near(70, 2)), (None, nameless), (5, near(72, 0)), (4, near(73, 2))]
+    assert kept == Counter([*want, (8, near(74, 0)), (8, near(75, 0)), (9, "")])
+
+
 def test_probability_jaccard_and_its_estimate():
     rng = np.random.default_rng(5)
     a = np.sort(rng.choice(1 << 30, 300, replace=False)).astype(np.uint64)

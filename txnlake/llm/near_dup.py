@@ -171,7 +171,10 @@ def _shingle_table(docs: DataFrame, nodes: DataFrame, buckets: DataFrame) -> Dat
                 ["node", "hashes", "counts"],
             )
 
-    texts = _hashed(docs).join(needed, ["doc_id", "hash"]).select("node", "text")
+    rows, needed = _hashed(docs), needed.withColumnsRenamed({"hash": "node_hash", "doc_id": "node_id"})
+    # A text that only rows without a doc_id have is found by them.
+    same = rows["doc_id"].eqNullSafe(needed["node_id"]) & (rows["hash"] == needed["node_hash"])
+    texts = rows.join(needed, same).select("node", "text")
     made = texts.mapInArrow(run, "node long, hashes binary, counts binary")
     once = made.groupBy("node").agg(F.first("hashes").alias("hashes"), F.first("counts").alias("counts"))
     return stored(once.join(inside.select("node", "sig"), "node"), "near-shingles")
@@ -317,13 +320,8 @@ def _agreeing(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     )
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """(doc_id, class_id): the class of each row of docs (doc_id, text), named by its least doc_id.
-
-    Classes are the connected components of the links. NULL text is empty; texts without words
-    are near only to their exact copies; repeated rows are copies; rows with a NULL doc_id have
-    a class as well, and a class of such rows alone is NULL. An empty table gives no rows.
-    """
+def _classes(docs: DataFrame) -> DataFrame:
+    """(hash, comp, doc_id) of each distinct text: its class, and the least doc_id of its rows."""
     nodes = _nodes(docs)
     buckets = _buckets(nodes)
     pairs = buckets.where("node != hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
@@ -335,10 +333,22 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     more = _blocks(members, table)
     if not more.isEmpty():
         stars = components(links.unionByName(more))
-    named = _labelled(nodes.select("hash", "node", "doc_id"), stars).select("hash", "comp", "doc_id")
-    least = named.groupBy("comp").agg(F.min("doc_id").alias("class_id"))
-    classes = named.join(least, "comp").select("hash", "class_id")
-    return _hashed(docs).select("doc_id", "hash").join(classes, "hash").select("doc_id", "class_id")
+    return _labelled(nodes.select("hash", "node", "doc_id"), stars).select("hash", "comp", "doc_id")
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """(doc_id, class_id, class_text): the class of each row of docs (doc_id, text).
+
+    Classes are the connected components of the links. ``class_id`` is the least doc_id of the
+    class, NULL if none of its rows has one; ``class_text`` is the least MD5 of its texts and
+    tells classes apart that share a doc_id or have none. NULL text is empty; texts without words
+    are near only to their exact copies; repeated rows are copies. An empty table gives no rows.
+    """
+    named = _classes(docs)
+    least = named.groupBy("comp").agg(F.min("doc_id").alias("class_id"), F.min("hash").alias("class_text"))
+    classes = named.join(least, "comp").select("hash", "class_id", "class_text")
+    rows = _hashed(docs).select("doc_id", "hash").join(classes, "hash")
+    return rows.select("doc_id", "class_id", "class_text")
 
 
 def _labelled(rows: DataFrame, stars: DataFrame) -> DataFrame:
@@ -348,10 +358,15 @@ def _labelled(rows: DataFrame, stars: DataFrame) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The rows of docs that name their class; one of each class stays, repeated rows once."""
-    classes = near_duplicates(docs)
-    kept = classes.where("doc_id = class_id").select("doc_id").distinct()
-    rows = docs.join(kept, "doc_id", "left_semi")
-    ids = docs.agg(F.count("doc_id").alias("n"), F.countDistinct("doc_id").alias("d")).first()
-    nameless = docs.where("doc_id IS NULL")
-    return (rows if ids["n"] == ids["d"] else rows.dropDuplicates(["doc_id"])).unionByName(nameless)
+    """One row of each class: that of the least doc_id, those without one last, then by hash."""
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "hash")).alias("first")
+    kept = _classes(docs).groupBy("comp").agg(first).select(
+        F.col("first.doc_id").alias("kept_id"), F.col("first.hash").alias("kept_hash")
+    )
+    row_id, row_hash = docs["doc_id"].cast("long"), F.md5(whole_text())
+    rows = docs.join(kept, row_id.eqNullSafe(F.col("kept_id")) & (row_hash == F.col("kept_hash")), "left_semi")
+    ids = docs.agg(F.count(F.lit(1)).alias("n"), F.countDistinct("doc_id").alias("d")).first()
+    if ids["n"] == ids["d"]:
+        return rows
+    # Rows that say the same (doc_id, text) again.
+    return rows.withColumn("_kept_hash", row_hash).dropDuplicates(["doc_id", "_kept_hash"]).drop("_kept_hash")
