@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnlake.llm import ann, chat, mixing, near_dup, packing, suffix_dedup, token_file, topk, toxicity, url_filter
+from txnlake.llm import (
+    ann, chat, mixing, near_dup, packing, pieces, suffix_dedup, token_file, topk, toxicity, url_filter,
+)
 from txnlake.llm.common import arrow_rows, read_table
 
 #: Rules of the URL query: (action, host, path).
@@ -88,6 +90,19 @@ def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(vectors, vectors.where("vec_id % 20 = 0"), 20)
 
 
+def op12_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    arrow_rows(spark, 128)
+    docs, model = read_table(spark, sf_dir, "documents", "doc_id", "text"), tokenizer_file("piece_bpe_32k.model")
+    read = pieces.decode_documents(pieces.encode_documents(docs, model), model)
+    return read.select(
+        "doc_id",
+        F.col("n_pieces").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"),
+        "span_bytes",
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_array_dedup": op1_suffix_array_dedup,
     "op2_chat_formatting": op2_chat_formatting,
@@ -99,6 +114,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_source_mix": op9_source_mix,
     "op10_nearest_neighbours": op10_nearest_neighbours,
+    "op12_sentence_pieces": op12_sentence_pieces,
 }
 
 def _controls(text: str) -> str:
