@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txnlake.llm import (
-    ann, chat, mixing, near_dup, packing, pieces, suffix_dedup, token_file, topk, toxicity, url_filter,
+    ann, chat, mixing, near_dup, packing, pieces, repair, suffix_dedup, token_file, topk, toxicity, url_filter,
 )
 from txnlake.llm.common import arrow_rows, read_table
 
@@ -90,6 +90,31 @@ def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(vectors, vectors.where("vec_id % 20 = 0"), 20)
 
 
+def damaged(rows: DataFrame) -> DataFrame:
+    """Rows of conversations with faults planted by a checksum of conv_id and turn."""
+    conv, turn, role, text = (repair.one_space(c) for c in ("conv_id", "turn", "role", "text"))
+    draw = F.crc32(F.concat(conv, F.lit(":"), turn)) % 20
+    broken = F.when(draw == 1, "").when(draw == 2, F.regexp_replace(text, "[.!?]", "")).otherwise(text)
+    return (
+        rows.withColumn("draw", draw)
+        .where("draw <> 0")
+        .select(
+            "conv_id",
+            "turn",
+            F.when(draw == 4, "user").otherwise(role).alias("role"),
+            broken.alias("text"),
+            F.explode(F.when(draw == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))).alias("copy"),
+        )
+        .drop("copy")
+    )
+
+
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    arrow_rows(spark, 512)
+    rows = read_table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
+    return repair.with_unsaid(repair.repair_conversations(damaged(rows)), rows)
+
+
 def op12_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     arrow_rows(spark, 128)
     docs, model = read_table(spark, sf_dir, "documents", "doc_id", "text"), tokenizer_file("piece_bpe_32k.model")
@@ -114,6 +139,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_source_mix": op9_source_mix,
     "op10_nearest_neighbours": op10_nearest_neighbours,
+    "op11_conversation_repair": op11_conversation_repair,
     "op12_sentence_pieces": op12_sentence_pieces,
 }
 
@@ -188,9 +214,91 @@ def _urls() -> str:
     FROM split LEFT JOIN domain USING (i) LEFT JOIN pattern USING (i)"""
 
 
+# A row keeps, for each state of a reader (z nothing yet, s, u, a), the least {cost, audit, text}.
+_INSERT = "{{'c': {0}.c + 5, 'a': {0}.a || 'I', 'r': {0}.r || chr(10) || '{1}:'}}"
+_USER_NEXT = "list_min([u, " + ", ".join(_INSERT.format(x, "user") for x in "zsa") + "])"
+_EDIT = "{{'c': {0}.c + {1} + late, 'a': {0}.a || '{2}', 'r': {0}.r || chr(10) || {3} || ':' || t}}"
+
+
+def _edit_sql(state: str, to: str) -> str:
+    kept = f"CASE WHEN kind = '{to[0]}' THEN {_EDIT.format(state, 0, 'K', 'r')} END"
+    return f"{kept}, CASE WHEN kind <> 'x' THEN {_EDIT.format(state, 1, 'R', chr(39) + to + chr(39))} END"
+
+
+_REPAIR = f"""
+    WITH RECURSIVE keyed AS (
+        SELECT conv_id, turn, coalesce(role, ' ') AS r, coalesce(text, ' ') AS t,
+               list_reduce(list_transform(string_split(
+                       coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), ''),
+                       lambda ch: CAST(ord(ch) AS BIGINT)),
+                   lambda crc, byte: list_reduce(range(8), lambda x, i:
+                       CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END, xor(crc, byte)),
+                   4294967295) AS crc
+        FROM conversations),
+    dealt AS (SELECT *, xor(crc, 4294967295) % 20 AS d FROM keyed),
+    said AS (
+        SELECT conv_id, turn, CASE WHEN d = 4 THEN 'user' ELSE r END AS r,
+               CASE WHEN d = 1 THEN '' WHEN d = 2 THEN regexp_replace(t, '[.!?]', '', 'g') ELSE t END AS t,
+               unnest(CASE WHEN d = 3 THEN [1, 2] ELSE [1] END) AS copy
+        FROM dealt WHERE d <> 0),
+    placed AS (
+        SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, r, t, copy) AS i,
+               rtrim(t, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS full_text
+        FROM said),
+    faulty AS (
+        SELECT *, left(r, 1) AS initial,
+               CASE WHEN full_text = '' THEN 'blank'
+                    WHEN row_number() OVER (PARTITION BY conv_id, r, t ORDER BY i) > 1 THEN 'duplicate'
+                    WHEN right(full_text, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+               lag(left(r, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS before
+        FROM placed),
+    counted AS (
+        SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+               count(*) FILTER (WHERE fault = 'blank') AS blank,
+               count(*) FILTER (WHERE fault = 'duplicate') AS duplicate,
+               count(*) FILTER (WHERE fault = 'truncated') AS truncated,
+               count(*) FILTER (WHERE before IS NOT NULL AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal
+        FROM faulty GROUP BY conv_id),
+    walk(conv_id, i, z, s, u, a) AS (
+        SELECT conv_id, CAST(0 AS BIGINT), {{'c': 0, 'a': '', 'r': ''}},
+               CAST(NULL AS STRUCT(c INTEGER, a VARCHAR, r VARCHAR)), CAST(NULL AS STRUCT(c INTEGER, a VARCHAR, r VARCHAR)),
+               CAST(NULL AS STRUCT(c INTEGER, a VARCHAR, r VARCHAR))
+        FROM counted
+        UNION ALL
+        SELECT conv_id, i, {{'c': z.c + 2, 'a': z.a || 'D', 'r': z.r}},
+               list_min([CASE WHEN s IS NOT NULL THEN {{'c': s.c + 2, 'a': s.a || 'D', 'r': s.r}} END,
+                         CASE WHEN kind = 's' THEN {_EDIT.format("z", 0, "K", "r")} END]),
+               list_min([CASE WHEN u IS NOT NULL THEN {{'c': u.c + 2, 'a': u.a || 'D', 'r': u.r}} END,
+                         {", ".join(_edit_sql(x, "user") for x in "zsa")}]),
+               list_min([CASE WHEN a IS NOT NULL THEN {{'c': a.c + 2, 'a': a.a || 'D', 'r': a.r}} END,
+                         {_edit_sql("u", "assistant")}])
+        FROM (
+            SELECT * REPLACE ({_USER_NEXT} AS u)
+            FROM (
+                SELECT * REPLACE (list_min([a, {_INSERT.format("u", "assistant")}]) AS a)
+                FROM (
+                    SELECT w.conv_id, f.i, w.z, w.s, {_USER_NEXT.replace("[u,", "[w.u,")} AS u, w.a, f.r, f.t,
+                           CASE WHEN f.fault IN ('blank', 'duplicate') THEN 'x' ELSE f.initial END AS kind,
+                           CASE WHEN f.fault = 'truncated' THEN 5 ELSE 0 END AS late
+                    FROM walk AS w JOIN faulty AS f ON f.conv_id IS NOT DISTINCT FROM w.conv_id AND f.i = w.i + 1)))),
+    closed AS (
+        SELECT conv_id, list_min([z, a, {_INSERT.format("u", "assistant")}]) AS best
+        FROM (SELECT * REPLACE ({_USER_NEXT} AS u)
+              FROM (SELECT w.* FROM walk AS w JOIN
+                    (SELECT conv_id, max(i) AS i FROM faulty GROUP BY 1) AS e
+                    ON e.conv_id IS NOT DISTINCT FROM w.conv_id AND e.i = w.i)))
+    SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+           coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+           CAST(coalesce(best.c, 0) AS BIGINT) AS cost, coalesce(best.a, '') AS audit,
+           sha256(substr(coalesce(best.r, ''), 2)) AS repaired_sha256
+    FROM (SELECT DISTINCT conv_id FROM conversations) AS o
+    LEFT JOIN counted AS n ON n.conv_id IS NOT DISTINCT FROM o.conv_id
+    LEFT JOIN closed AS b ON b.conv_id IS NOT DISTINCT FROM o.conv_id"""
+
 #: What SQL can express; the other queries are tested against brute force.
 ORACLE_SQL: dict[str, str] = {
     "op2_chat_formatting": _CHATS,
     "op4_exact_top_k": _TOP_K,
     "op6_url_filters": _urls(),
+    "op11_conversation_repair": _REPAIR,
 }
