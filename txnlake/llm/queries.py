@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txnlake.llm import (
-    ann, chat, mixing, near_dup, packing, pieces, repair, suffix_dedup, token_file, topk, toxicity, url_filter,
+    ann, chat, mixing, near_dup, packing, pieces, repair, segments, suffix_dedup, token_file, topk, toxicity, url_filter,
 )
 from txnlake.llm.common import arrow_rows, read_table
 
@@ -128,6 +128,14 @@ def op12_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    arrow_rows(spark, 64)
+    rows = read_table(spark, sf_dir, "embeddings", "vec_id", "label", "embedding")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = rows.withColumn("label", moved)
+    return segments.hard_negatives(rows, rows.where("vec_id % 50 = 0"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_array_dedup": op1_suffix_array_dedup,
     "op2_chat_formatting": op2_chat_formatting,
@@ -141,6 +149,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_nearest_neighbours": op10_nearest_neighbours,
     "op11_conversation_repair": op11_conversation_repair,
     "op12_sentence_pieces": op12_sentence_pieces,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 def _controls(text: str) -> str:
@@ -295,10 +304,32 @@ _REPAIR = f"""
     LEFT JOIN counted AS n ON n.conv_id IS NOT DISTINCT FROM o.conv_id
     LEFT JOIN closed AS b ON b.conv_id IS NOT DISTINCT FROM o.conv_id"""
 
+_HARD_NEGATIVES = """
+    WITH v AS (
+        SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+               list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e
+        FROM embeddings
+        WHERE label IS NOT NULL AND len(embedding) > 0
+            AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+    pairs AS (
+        SELECT q.vec_id AS anchor_id, v.vec_id, q.label = v.label AS same,
+               CAST(list_inner_product(q.e, v.e) AS BIGINT) AS score
+        FROM v JOIN v AS q ON q.vec_id % 50 = 0 AND v.vec_id <> q.vec_id),
+    positives AS (
+        SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM pairs WHERE same
+        QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+    SELECT anchor_id, positive_id,
+           CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+           vec_id AS negative_id, positive_score, score AS negative_score
+    FROM positives JOIN pairs USING (anchor_id)
+    WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+    QUALIFY rank <= 3"""
+
 #: What SQL can express; the other queries are tested against brute force.
 ORACLE_SQL: dict[str, str] = {
     "op2_chat_formatting": _CHATS,
     "op4_exact_top_k": _TOP_K,
     "op6_url_filters": _urls(),
     "op11_conversation_repair": _REPAIR,
+    "op13_hard_negatives": _HARD_NEGATIVES,
 }
