@@ -2,6 +2,7 @@
 
 import json
 import os
+import random
 import subprocess
 import sys
 import tempfile
@@ -187,6 +188,73 @@ def test_refresh_fires_by_time_while_nothing_arrives(spark, feed, folder):
     assert fired[:1] == ["time"]
 
 
+def test_timers_fire_while_nothing_arrives_for_each_mart_alone(spark, feed, folder):
+    fired = []
+    feed.add(*[(i, "c", "a") for i in range(6)])
+    marts = {"of_clients": ["clients", "merchants"], "of_cards": ["payment_cards"]}
+    query = refresh.start_refreshes(
+        flat(feed), lambda mart, reason: fired.append((mart, reason)), f"{folder}/log", f"{folder}/cp",
+        "1 second", refresh.RefreshRule(rows=5, seconds=15), marts,
+    )
+
+    def logged():
+        if not os.path.isdir(f"{folder}/log"):
+            return []
+        return spark.read.schema(refresh.DECISION_DDL).parquet(f"{folder}/log").orderBy("decided_at").collect()
+
+    def wait(n):
+        until = time.time() + 90
+        while len(logged()) < n and time.time() < until:
+            time.sleep(0.3)
+
+    try:
+        wait(1)
+        feed.add((1, "u", "b"))  # too few; silence follows
+        wait(2)
+    finally:
+        query.stop()
+    assert fired == [("of_clients", "rows"), ("of_clients", "time")]
+    log = logged()
+    assert [(r["n_events"], r["pending"], r["reason"]) for r in log] == [(6, 6, "rows"), (0, 1, "time")]
+    assert log[1]["elapsed_seconds"] >= 15
+
+
+def walked(seconds, rule, tick_seconds):
+    """Decisions tick by tick."""
+    ticks = [(int(START.timestamp()) + s) // tick_seconds for s in seconds]
+    pending, since, out = 0, min(ticks) * tick_seconds, []
+    for tick in range(min(ticks), max(ticks) + 1):
+        n, end = ticks.count(tick), (tick + 1) * tick_seconds
+        pending += n
+        reason = rule.reason(pending, end - since)
+        out.append((tick * tick_seconds, n, pending, end - since, reason))
+        if reason != "none":
+            pending, since = 0, end
+    return out
+
+
+@pytest.mark.parametrize("segment", [1, 16, 65_536])
+@pytest.mark.parametrize("rule", [(2, 5), (8, 60), (50, 200)])
+def test_decisions_equal_a_walk(spark, rule, segment):
+    rng, at, seconds = random.Random(rule[0]), 0, []
+    for _ in range(60):
+        at += rng.choice([0, 0, 1, 7, rng.randrange(40), rng.randrange(700)])
+        seconds.append(at)
+    rule = refresh.RefreshRule(*rule)
+    changes = spark.createDataFrame(
+        [(START + timedelta(seconds=s),) for s in seconds], "timestamp timestamp"
+    )
+    rows = refresh.refresh_decisions(changes, rule, 10, segment).collect()
+    second = lambda r: int((r["tick_start"] - START).total_seconds() + START.timestamp())
+    got = [(second(r), r["n_events"], r["pending"], r["elapsed_seconds"], r["reason"]) for r in rows]
+    assert sorted(got) == walked(seconds, rule, 10)
+
+
+def test_no_changes_no_decisions(spark):
+    none = spark.createDataFrame([], "timestamp timestamp")
+    assert refresh.refresh_decisions(none).count() == 0
+
+
 def test_refresh_decisions_count_empty_ticks(spark):
     seconds = [0, 1, 2, 35, 95]
     changes = spark.createDataFrame(

@@ -177,5 +177,16 @@ MART_KEYS = {
 }
 
 
+#: The tables each mart is built from.
+MART_SOURCES = {
+    "mart_daily_transaction_summary": ["transactions", "transaction_statuses"],
+    "mart_merchant_performance": [
+        "merchants", "transactions", "transaction_statuses", "merchant_categories", "countries",
+    ],
+    "mart_client_360": ["clients", "transactions", "transaction_statuses", "payment_cards"],
+    "mart_fraud_analysis": ["fraud_alerts", "transactions", "clients", "merchants"],
+}
+
+
 def build_marts(tables: Tables, names: list[str] | None = None) -> dict[str, DataFrame]:
     return {name: MARTS[name](tables) for name in names or list(MARTS)}

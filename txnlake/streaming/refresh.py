@@ -7,13 +7,15 @@ from dataclasses import dataclass
 from datetime import datetime
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
+from txnlake.session import written
 from txnlake.streaming.run import for_each_batch
 
-RUN_DDL = "first bigint, last bigint, n_events bigint, pending bigint, since bigint, reason string"
+#: Ticks that one task decides at a time; results do not depend on it.
+SEGMENT_TICKS = 65_536
 LOG_DDL = (
     "decided_at timestamp, n_events bigint, pending bigint, elapsed_seconds bigint, "
     "reason string, last_refresh timestamp"
@@ -35,67 +37,172 @@ class RefreshRule:
 
 
 def refresh_decisions(
-    changes: DataFrame, rule: RefreshRule = RefreshRule(), tick_seconds: int = 10
+    changes: DataFrame,
+    rule: RefreshRule = RefreshRule(),
+    tick_seconds: int = 10,
+    segment_ticks: int = SEGMENT_TICKS,
 ) -> DataFrame:
     """The decision at every tick of a clock over a change log.
 
-    Changes are counted per tick in parallel. Each decision depends on the one before, so the
-    counts of ticks that have changes, one small row each whatever the volume, pass in order
-    through one task that holds nothing but the running values. It gives runs of equal
-    decisions, and Spark expands these to ticks: silent times cost the task nothing.
+    After a refresh nothing is pending, so the next refresh depends on that tick alone: it is the
+    first tick by which enough rows have come, or, if sooner, the first at least ``seconds`` later
+    with any. Time is cut into segments. Each segment finds the next refresh of all its ticks at
+    once, from running totals, and by doubling these steps the tick at which a chain of refreshes
+    that enters it leaves it. Entries (few a segment) are then followed across segments, again by
+    doubling, and every segment marks its refreshes from where the true chain enters. Segments
+    without changes cost nothing but their output.
     """
-    # Plain values only, so that workers need nothing but pandas to run the walk.
-    rows, seconds = rule.rows, rule.seconds
+    spark = changes.sparkSession
+    # Plain values only, so that workers need nothing but numpy and pandas.
+    rows, wait = rule.rows, max(1, -(-rule.seconds // tick_seconds))
+    size = max(segment_ticks, wait + 1)
     tick = F.floor(F.unix_seconds("timestamp") / tick_seconds).cast("bigint")
-    counts = changes.groupBy(tick.alias("tick")).agg(F.count(F.lit(1)).alias("n_events"))
-
-    def walk(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        pending, since, at = 0, None, None
-
-        def silence(until: int) -> list[tuple]:
-            """Runs of the ticks from ``at`` to ``until`` - 1, in which nothing arrives."""
-            nonlocal pending, since, at
-            out = []
-            if pending and at < until:
-                # The first tick whose end is ``seconds`` after the last refresh.
-                due = max(at, -(-(since + seconds) // tick_seconds) - 1)
-                if at < min(due, until):
-                    out.append((at, min(due, until) - 1, 0, pending, since, "none"))
-                if due < until:
-                    out.append((due, due, 0, pending, since, "time"))
-                    pending, since = 0, (due + 1) * tick_seconds
-                at = min(due + 1, until)
-            if at < until:
-                out.append((at, until - 1, 0, pending, since, "none"))
-            at = until
-            return out
+    counts = written(changes.groupBy(tick.alias("tick")).agg(F.count(F.lit(1)).alias("n")), "ticks")
+    ends = counts.agg(F.min("tick").alias("first"), F.max("tick").alias("last")).first()
+    first = ends["first"] if ends["first"] is not None else 0
+    # Ticks count from 1; at 0 stands a refresh that never was, from which the first wait runs.
+    final = (ends["last"] if ends["first"] is not None else 0) - first + 1
+    numbered = counts.select((F.col("tick") - first + 1).alias("at"), "n").withColumn(
+        "seg", F.floor(F.col("at") / size)
+    )
+    segments = written(_segments(numbered, final // size), "segments")
 
-        for frame in frames:
-            out = []
-            for number, n in zip(frame["tick"].tolist(), frame["n_events"].tolist(), strict=True):
-                if at is None:
-                    at, since = number, number * tick_seconds
-                out += silence(number)
-                pending += n
-                late = (number + 1) * tick_seconds - since >= seconds
-                reason = "rows" if pending >= rows else "time" if late and pending else "none"
-                out.append((number, number, n, pending, since, reason))
-                if reason != "none":
-                    pending, since = 0, (number + 1) * tick_seconds
-                at = number + 1
-            yield pd.DataFrame(out, columns=["first", "last", "n_events", "pending", "since", "reason"])
-
-    runs = counts.repartition(1).sortWithinPartitions("tick").mapInPandas(walk, RUN_DDL)
-    ticks = runs.withColumn("tick", F.explode(F.sequence("first", "last")))
+    # A segment looks ahead as far as the longest wait.
+    ahead = (F.col("at") % size < wait) & (F.col("seg") > 0)
+    dealt = numbered.withColumn(
+        "seg", F.explode(F.when(ahead, F.array("seg", F.col("seg") - 1)).otherwise(F.array("seg")))
+    )
+    marker = segments.select((F.col("seg") * size).alias("at"), F.lit(0).cast("long").alias("n"), "seg")
+    dealt = dealt.unionByName(marker).join(segments, "seg")
+
+    def next_refreshes(frame: pd.DataFrame) -> tuple:
+        """Of a segment: its first tick, counts, running totals, and the next refresh of each tick."""
+        import numpy as np
+
+        start, length = int(frame["seg"].iloc[0]) * size, size + wait
+        n = np.zeros(length, np.int64)
+        np.add.at(n, frame["at"].to_numpy() - start, frame["n"].to_numpy())
+        total = np.cumsum(n) + int(frame["base"].iloc[0])
+        later = frame["later"].iloc[0]
+        beyond = never if pd.isna(later) else int(later) - start
+        own = np.arange(size)
+        some = np.searchsorted(total, total[:size] + 1)
+        by_time = np.maximum(own + wait, np.where(some < length, some, beyond))
+        by_rows = np.searchsorted(total, total[:size] + rows)
+        return start, n, total, np.minimum(by_time, np.where(by_rows < length, by_rows, never))
+
+    def pass_through(frame: pd.DataFrame) -> pd.DataFrame:
+        import numpy as np
+
+        start, n, total, following = next_refreshes(frame)
+        last = np.where(following < size, following, np.arange(size))
+        for _ in range(size.bit_length()):
+            last = last[last]
+        entry = np.unique(np.append(np.arange(wait), np.flatnonzero(n[:size])[:1]))
+        last = last[entry]
+        leaves = np.where(following[last] < never, following[last] + start, -1)
+        return pd.DataFrame(
+            {"entry": entry + start, "last": last + start, "last_total": total[last], "leaves": leaves}
+        )
+
+    def decide(frame: pd.DataFrame) -> pd.DataFrame:
+        import numpy as np
+
+        start, n, total, following = next_refreshes(frame)
+        fired, entry = np.zeros(size, bool), frame["entry"].iloc[0]
+        if not pd.isna(entry):
+            step = np.append(np.minimum(following, size), size)
+            marked = np.array([int(entry) - start])
+            for _ in range(size.bit_length()):
+                marked = np.unique(np.append(marked, step[marked]))
+                step = step[step]
+            fired[marked[marked < size]] = True
+        before = np.maximum.accumulate(np.where(fired, np.arange(size), -1))
+        before = np.append(-1, before[:-1])
+        known = before >= 0
+        at = np.arange(size) + start
+        pending = total[:size] - np.where(known, total[before], int(frame["before_total"].fillna(0).iloc[0]))
+        waited = at - np.where(known, before + start, int(frame["before"].fillna(0).iloc[0]))
+        reason = np.where(fired, np.where(pending >= rows, "rows", "time"), "none")
+        out = pd.DataFrame({"at": at, "n_events": n[:size], "pending": pending, "waited": waited, "reason": reason})
+        return out[(at >= 1) & (at <= final)]
+
+    never = 1 << 62
+    passes = "entry long, last long, last_total long, leaves long"
+    entries = written(dealt.groupBy("seg").applyInPandas(pass_through, passes), "entries")
+    chain = _followed(entries, segments.count()).withColumn("seg", F.floor(F.col("entry") / size))
+    # At most one entry a segment is on the chain, and later ones have later refreshes.
+    earlier = Window.orderBy("seg").rowsBetween(Window.unboundedPreceding, -1)
+    placed = segments.select("seg", "following_seg").join(chain, "seg", "left")
+    placed = placed.withColumns(
+        {
+            "before": F.max("last").over(earlier),
+            "before_total": F.max("last_total").over(earlier),
+        }
+    )
+    placed = written(placed, "chain")
+    decided = dealt.join(placed.select("seg", "entry", "before", "before_total"), "seg")
+    ticks = decided.groupBy("seg").applyInPandas(
+        decide, "at long, n_events long, pending long, waited long, reason string"
+    )
+    # Segments in which nothing happens: nothing is pending any more.
+    silent = (
+        placed.where("following_seg > seg + 1")
+        .select(
+            F.explode(F.sequence(F.col("seg") + 1, F.col("following_seg") - 1)).alias("seg"),
+            F.coalesce("last", "before").alias("before"),
+        )
+        .select(F.explode(F.sequence(F.col("seg") * size, (F.col("seg") + 1) * size - 1)).alias("at"), "before")
+    )
+    nothing = F.lit(0).cast("long")
+    ticks = ticks.unionByName(
+        silent.select(
+            "at",
+            nothing.alias("n_events"),
+            nothing.alias("pending"),
+            (F.col("at") - F.col("before")).alias("waited"),
+            F.lit("none").alias("reason"),
+        )
+    )
     return ticks.select(
-        F.timestamp_seconds(F.col("tick") * tick_seconds).cast("timestamp_ntz").alias("tick_start"),
+        F.timestamp_seconds((F.col("at") + (first - 1)) * tick_seconds).cast("timestamp_ntz").alias("tick_start"),
         "n_events",
         "pending",
-        ((F.col("tick") + 1) * tick_seconds - F.col("since")).alias("elapsed_seconds"),
+        (F.col("waited") * tick_seconds).alias("elapsed_seconds"),
         "reason",
     )
 
 
+def _segments(numbered: DataFrame, last_seg: int) -> DataFrame:
+    """Segments with changes and those right after them: seg, base (changes before it), later (the
+    next tick with changes after it), following_seg. One row for all ticks of a segment, so the
+    windows over them stay small."""
+    own = numbered.groupBy("seg").agg(F.sum("n").alias("n"), F.min("at").alias("first_at"))
+    start = own.sparkSession.range(1).select(F.col("id").alias("seg"))
+    next_ = own.select((F.col("seg") + 1).alias("seg")).where(F.col("seg") <= last_seg)
+    every = start.unionByName(next_).distinct().join(own, "seg", "full")
+    order = Window.orderBy("seg")
+    return every.select(
+        "seg",
+        F.coalesce(F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("base"),
+        F.min("first_at").over(order.rowsBetween(1, Window.unboundedFollowing)).alias("later"),
+        F.lead("seg").over(order).alias("following_seg"),
+    )
+
+
+def _followed(entries: DataFrame, n_segments: int) -> DataFrame:
+    """The entries that the chain from tick 0 comes by: steps are doubled until they span all
+    segments, and at each length what is reached so far takes one more step."""
+    step = entries.select("entry", "leaves")
+    reached = entries.where("entry = 0").select("entry")
+    for _ in range(max(0, n_segments - 1).bit_length()):
+        further = reached.join(step, "entry").select(F.col("leaves").alias("entry"))
+        reached = written(reached.unionByName(further).distinct(), "reached")
+        onward = step.select(F.col("entry").alias("leaves"), F.col("leaves").alias("further"))
+        step = written(step.join(onward, "leaves").select("entry", F.col("further").alias("leaves")), "steps")
+    return entries.join(reached, "entry")
+
+
 class RefreshTrigger:
     """Rebuilds marts from a change stream by the rule; batches are serial, so never two at once.
 
@@ -162,3 +269,101 @@ class RefreshTrigger:
         self.spark.createDataFrame([row], LOG_DDL).coalesce(1).write.mode("overwrite").parquet(
             f"{self.log}/batch_id={batch_id}"
         )
+
+
+DECISION_DDL = (
+    "mart string, decided_at timestamp, n_events bigint, pending bigint, elapsed_seconds bigint, reason string"
+)
+
+
+def decision_stream(
+    changes: DataFrame, rule: RefreshRule = RefreshRule(), marts: dict[str, list[str]] | None = None
+) -> DataFrame:
+    """A stream of decisions to refresh, by rows when enough changes have come and by a timer
+    when the wait is over, also while nothing arrives.
+
+    ``marts`` names the tables that each mart is built from: a mart is due only for changes of its
+    own tables. Without it there is one mart, ``all``. ``changes`` needs ``table_name`` then. Each
+    task counts its changes first, so the keyed state, pending changes and the last refresh,
+    receives a row per task and mart.
+    """
+    rows, wait = rule.rows, rule.seconds * 1000
+    if marts:
+        names = F.array(*[F.lit(m) for m in marts])
+        feeds = F.array(*[F.array(*[F.lit(t) for t in tables]) for tables in marts.values()])
+        of = F.filter(names, lambda m: F.array_contains(feeds[F.array_position(names, m).cast("int") - 1], F.col("table_name")))
+        keyed = changes.select(F.explode(of).alias("mart"))
+    else:
+        keyed = changes.select(F.lit("all").alias("mart"))
+
+    def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        totals: dict[str, int] = {}
+        for frame in frames:
+            for mart, n in frame["mart"].value_counts().items():
+                totals[mart] = totals.get(mart, 0) + n
+        yield pd.DataFrame({"mart": list(totals), "n": list(totals.values())})
+
+    class Pending(StatefulProcessor):
+        def init(self, handle: StatefulProcessorHandle) -> None:
+            self.handle = handle
+            self.state = handle.getValueState("pending", "n bigint, since bigint, due bigint")
+
+        def handleInputRows(self, key, rows_, timerValues):  # noqa: N802, N803
+            now = timerValues.getCurrentProcessingTimeInMs()
+            before, since, due = self.state.get() if self.state.exists() else (0, now, 0)
+            n = sum(int(frame["n"].sum()) for frame in rows_)
+            reason = "rows" if before + n >= rows else "time" if now - since >= wait else None
+            yield from self.decide(key, now, n, before + n, since, due, reason)
+
+        def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):  # noqa: N802, N803
+            now = timerValues.getCurrentProcessingTimeInMs()
+            pending, since, due = self.state.get()
+            # A refresh in between moved the time that is due.
+            reason = "time" if pending and now - since >= wait else None
+            yield from self.decide(key, now, 0, pending, since, 0 if now >= due else due, reason)
+
+        def decide(self, key, now, n, pending, since, due, reason):
+            if reason:
+                self.state.update((0, now, due))
+                elapsed = (now - since) // 1000
+                at = pd.Timestamp(now, unit="ms", tz="UTC")
+                out = [(key[0], at, n, pending, elapsed, reason)]
+                yield pd.DataFrame(
+                    out, columns=["mart", "decided_at", "n_events", "pending", "elapsed_seconds", "reason"]
+                )
+                return
+            if pending and due <= now:
+                due = since + wait
+                self.handle.registerTimer(due)
+            self.state.update((pending, since, due))
+
+        def close(self) -> None:
+            pass
+
+    counted = keyed.mapInPandas(count, "mart string, n bigint")
+    return counted.groupBy("mart").transformWithStateInPandas(
+        Pending(), DECISION_DDL, outputMode="append", timeMode="ProcessingTime"
+    )
+
+
+def start_refreshes(
+    changes: DataFrame,
+    refresh: Callable[[str, str], None],
+    log: str,
+    checkpoint: str,
+    every: str,
+    rule: RefreshRule = RefreshRule(),
+    marts: dict[str, list[str]] | None = None,
+) -> StreamingQuery:
+    """Call ``refresh(mart, reason)`` for each decision, one after the other, and keep a log of them
+    by batch; a replayed batch refreshes again and overwrites its log."""
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        rows = sorted(batch.collect())  # as many as marts at most
+        for row in rows:
+            refresh(row["mart"], row["reason"])
+        if rows:
+            kept = batch.sparkSession.createDataFrame(rows, DECISION_DDL).coalesce(1)
+            kept.write.mode("overwrite").parquet(f"{log}/batch_id={batch_id}")
+
+    return for_each_batch(decision_stream(changes, rule, marts), handle, checkpoint, every)
