@@ -1,5 +1,7 @@
 """Oracles for staging, joins, marts and serving reads."""
 
+import re
+
 from oracle.tables import avg_cents, pct, using
 
 M1 = f"""
@@ -81,8 +83,42 @@ M3_TABLES = [*M1_TABLES, "clients", "payment_cards"]
 M4_TABLES = ["fraud_alerts", "clients", "merchants"]
 
 
+# The tables after the batches of changes.
+CHANGED = """
+    changed_transactions AS (
+        SELECT * REPLACE (
+            CAST(CASE WHEN txn_id % 9 = 1 THEN fee WHEN txn_id % 5 = 1 THEN amount + 100 ELSE amount END
+                 AS DECIMAL(14,2)) AS amount,
+            CAST(CASE WHEN txn_id % 9 = 1 THEN 0 WHEN txn_id % 5 = 1 THEN net_amount + 100
+                 ELSE net_amount END AS DECIMAL(14,2)) AS net_amount,
+            CASE WHEN txn_id % 6 = 1 THEN CAST(1 + txn_id % 7 AS INTEGER) ELSE status_id END AS status_id,
+            CASE WHEN txn_id % 10 = 6 THEN 'USD' ELSE currency END AS currency,
+            CASE WHEN txn_id % 13 = 5 THEN initiated_at + INTERVAL 1 DAY ELSE initiated_at END
+                AS initiated_at)
+        FROM transactions WHERE txn_id % 7 <> 3 AND txn_id % 11 <> 2),
+    changed_payment_cards AS (SELECT * FROM payment_cards WHERE card_id % 5 <> 0),
+    changed_fraud_alerts AS (
+        SELECT * REPLACE (CASE WHEN alert_id % 13 = 2 THEN 1 ELSE is_confirmed END AS is_confirmed)
+        FROM fraud_alerts WHERE alert_id % 11 <> 5),
+    changed_clients AS (
+        SELECT * REPLACE (CASE WHEN client_id % 17 = 3 THEN 'moved@example.com' ELSE email END AS email)
+        FROM clients)"""
+
+
+def changed(sql: str) -> str:
+    """A mart's SQL over the tables after all changes."""
+    for table in ("transactions", "payment_cards", "fraud_alerts", "clients"):
+        sql = re.sub(rf"\b(FROM|JOIN) {table}\b", rf"\1 changed_{table}", sql)
+    tables = ["transactions", "transaction_statuses", "payment_cards", "fraud_alerts", "clients"]
+    return using(*tables, "merchants", "merchant_categories", "countries", sql=f"WITH {CHANGED} {sql}")
+
+
 def oracles() -> dict[str, str]:
     return {
+        "mart_daily_transaction_summary_increments": changed(M1),
+        "mart_merchant_performance_increments": changed(M2),
+        "mart_client_360_increments": changed(M3),
+        "mart_fraud_analysis_increments": changed(M4),
         "mart_daily_transaction_summary": using(*M1_TABLES, sql=M1),
         "mart_merchant_performance": using(*M2_TABLES, sql=M2),
         "mart_client_360": using(*M3_TABLES, sql=M3),

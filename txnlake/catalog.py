@@ -13,7 +13,7 @@ from txnlake import fixed_values as fixed
 from txnlake.functions import money, risk
 from txnlake.functions import temporal as temporal_
 from txnlake.operators import cdc, fraud, joins, monitor, ordering, quality, settlement
-from txnlake.plans import marts, rebuild, serve, staging
+from txnlake.plans import increments, marts, rebuild, serve, staging
 from txnlake.schemas import PRIMARY_KEYS, SERVING_TYPES
 from txnlake.session import scratch_path, tune
 from txnlake.sources import ingest, lake, serving, stand_in
@@ -38,6 +38,22 @@ def _marts() -> dict[str, Query]:
     return {name: _over_tables(build) for name, build in marts.MARTS.items()}
 
 
+def _increments() -> dict[str, Query]:
+    def kept(name: str) -> Query:
+        def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+            tables = stand_in.load_tables(tune(spark), sf_dir)
+            store = increments.MartIncrements(spark, scratch_path(spark, "increments"))
+            for batch in (0, 1, 2, 2):  # the last batch is replayed
+                now = stand_in.changed_tables(tables, batch)
+                changed = stand_in.batch_changes(tables, batch)
+                store.apply(batch, changed, now, [name])
+            return store.view(name, now)
+
+        return query
+
+    return {f"{name}_increments": kept(name) for name in marts.MARTS}
+
+
 def _staging() -> dict[str, Query]:
     return {
         "stg_transactions": _over_tables(lambda t: staging.stg_transactions(t["transactions"])),
@@ -589,6 +605,7 @@ def _streams() -> dict[str, Query]:
 def queries() -> dict[str, Query]:
     return {
         **_marts(),
+        **_increments(),
         **_staging(),
         **_joins(),
         **_serving(),

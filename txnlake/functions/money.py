@@ -16,8 +16,13 @@ def mean_scaled(value: Column, precision: int = 14) -> Column:
     ``value`` has two decimals at most. The division is one of whole hundredths: a rounded
     quotient, rounded again, could be one hundredth off.
     """
-    n = F.count(value).cast("decimal(19,0)")
-    hundredths = (F.sum(value.cast("decimal(20,2)")) * 100).cast("decimal(34,0)")
+    return mean_of(F.sum(value.cast("decimal(20,2)")), F.count(value), precision)
+
+
+def mean_of(total: Column, count: Column, precision: int = 14) -> Column:
+    """``mean_scaled`` of values whose exact sum and count are known; NULL for a count of zero."""
+    n = F.nullif(count.cast("decimal(19,0)"), F.lit(0))
+    hundredths = (total * 100).cast("decimal(34,0)")
     doubled = F.abs(hundredths) * 2 + n
     whole = F.call_function("div", doubled, n * 2)
     signed = F.when(hundredths < 0, -whole).otherwise(whole)

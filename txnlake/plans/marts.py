@@ -78,6 +78,11 @@ def merchant_performance(tables: Tables) -> DataFrame:
         F.min("initiated_at").alias("first_txn_at"),
         F.max("initiated_at").alias("last_txn_at"),
     )
+    return with_merchants(by_merchant, tables)
+
+
+def with_merchants(by_merchant: DataFrame, tables: Tables) -> DataFrame:
+    """The merchant mart from its totals per merchant."""
     categories = tables["merchant_categories"].select("mcc", F.col("description").alias("category"))
     countries = tables["countries"].select("country_id", F.col("name").alias("country"))
     mart = (
@@ -111,6 +116,11 @@ def client_360(tables: Tables) -> DataFrame:
     card_stats = (
         tables["payment_cards"].groupBy("client_id").agg(F.count(F.lit(1)).alias("card_count"))
     )
+    return with_clients(txn_stats, card_stats, tables)
+
+
+def with_clients(txn_stats: DataFrame, card_stats: DataFrame, tables: Tables) -> DataFrame:
+    """The client mart from totals and card counts per client."""
     zero_filled = [
         "card_count",
         "total_txns",

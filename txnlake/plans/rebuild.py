@@ -15,7 +15,7 @@ from txnlake.sources import serving
 from txnlake.sources.tables import Tables
 
 
-def _at_once(job: Callable[[str], object], names: Iterable[str], spark: SparkSession) -> dict:
+def at_once(job: Callable[[str], object], names: Iterable[str], spark: SparkSession) -> dict:
     """Run one Spark job per mart side by side; the first failure is raised."""
     names = list(names)
     with ThreadPoolExecutor(len(names)) as pool:
@@ -25,7 +25,7 @@ def _at_once(job: Callable[[str], object], names: Iterable[str], spark: SparkSes
 
 def write_marts(tables: Tables, root: str, names: Iterable[str] = MARTS) -> None:
     spark = next(iter(tables.values())).sparkSession
-    _at_once(lambda name: serving.write_mart(MARTS[name](tables), root, name), names, spark)
+    at_once(lambda name: serving.write_mart(MARTS[name](tables), root, name), names, spark)
 
 
 def check_marts(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
@@ -44,7 +44,7 @@ def load_marts(
     names: Iterable[str] = MARTS,
 ) -> dict[str, bool]:
     """Reload every mart; tells which were loaded and which were empty and skipped."""
-    return _at_once(
+    return at_once(
         lambda name: serving.reload_mart(spark, root, name, target), names, spark
     )
 

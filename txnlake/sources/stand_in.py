@@ -350,3 +350,71 @@ def events_as_transactions(events: DataFrame) -> DataFrame:
         "'ONLINE' as channel",
         "cast(event_id % 5 = 0 as int) as is_flagged",
     )
+
+
+#: What three batches of changes do to tables: rows that are there after each, and new values.
+#: The first batch is the snapshot.
+_BATCHES = {
+    "transactions": (
+        ["txn_id % 4 <> 0", "txn_id % 7 <> 3", "txn_id % 7 <> 3 AND txn_id % 11 <> 2"],
+        [
+            {},
+            {
+                "amount": "IF(txn_id % 5 = 1, CAST(amount + 100 AS DECIMAL(14,2)), amount)",
+                "net_amount": "IF(txn_id % 5 = 1, CAST(net_amount + 100 AS DECIMAL(14,2)), net_amount)",
+                "status_id": "IF(txn_id % 6 = 1, CAST(1 + txn_id % 7 AS INT), status_id)",
+            },
+            {
+                "amount": "IF(txn_id % 9 = 1, CAST(fee AS DECIMAL(14,2)), IF(txn_id % 5 = 1, "
+                "CAST(amount + 100 AS DECIMAL(14,2)), amount))",
+                "net_amount": "IF(txn_id % 9 = 1, CAST(0 AS DECIMAL(14,2)), IF(txn_id % 5 = 1, "
+                "CAST(net_amount + 100 AS DECIMAL(14,2)), net_amount))",
+                "status_id": "IF(txn_id % 6 = 1, CAST(1 + txn_id % 7 AS INT), status_id)",
+                "currency": "IF(txn_id % 10 = 6, 'USD', currency)",
+                "initiated_at": "IF(txn_id % 13 = 5, initiated_at + INTERVAL 1 DAY, initiated_at)",
+            },
+        ],
+    ),
+    "payment_cards": (["card_id % 3 <> 0", "true", "card_id % 5 <> 0"], [{}, {}, {}]),
+    "fraud_alerts": (
+        ["alert_id % 2 = 0", "alert_id % 11 <> 5", "alert_id % 11 <> 5"],
+        [{}, {}, {"is_confirmed": "IF(alert_id % 13 = 2, 1, is_confirmed)"}],
+    ),
+    "clients": (
+        ["true", "true", "true"],
+        [{}, *[{"email": "IF(client_id % 17 = 3, 'moved@example.com', email)"}] * 2],
+    ),
+}
+
+
+def _after_batch(table: str, batch: int, columns: list[str]) -> tuple[str, str]:
+    """The condition for a row to be there after a batch, and the row as a struct."""
+    there, values = (part[batch] for part in _BATCHES[table])
+    fields = ", ".join(f"'{c}', {values.get(c, c)}" for c in columns)
+    return there, f"named_struct({fields})"
+
+
+def changed_tables(tables: LazyTables, batch: int) -> LazyTables:
+    """The tables after a batch of changes."""
+
+    def after(table: str) -> DataFrame:
+        df = tables[table]
+        if table not in _BATCHES:
+            return df
+        there, row = _after_batch(table, batch, df.columns)
+        return df.where(there).selectExpr(f"{row} AS row").select("row.*")
+
+    return LazyTables({name: partial(after, name) for name in tables})
+
+
+def batch_changes(tables: LazyTables, batch: int) -> LazyTables:
+    """Rows before and after a batch, of all rows it changes."""
+
+    def changes(table: str) -> DataFrame:
+        df = tables[table]
+        there, row = _after_batch(table, batch, df.columns)
+        was, old = _after_batch(table, batch - 1, df.columns) if batch else ("false", row)
+        images = df.selectExpr(f"IF({was}, {old}, NULL) AS before", f"IF({there}, {row}, NULL) AS after")
+        return images.where("NOT (before <=> after)")
+
+    return LazyTables({table: partial(changes, table) for table in _BATCHES})

@@ -61,7 +61,7 @@ def refresh_decisions(
     ends = counts.agg(F.min("tick").alias("first"), F.max("tick").alias("last")).first()
     first = ends["first"] if ends["first"] is not None else 0
     # Ticks count from 1; at 0 stands a refresh that never was, from which the first wait runs.
-    final = (ends["last"] if ends["first"] is not None else 0) - first + 1
+    final = ends["last"] - first + 1 if ends["last"] is not None else 0
     numbered = counts.select((F.col("tick") - first + 1).alias("at"), "n").withColumn(
         "seg", F.floor(F.col("at") / size)
     )
