@@ -20,13 +20,20 @@ HIGH_VALUE = """SELECT txn_id, client_id, initiated_at, amount, channel, currenc
     FROM transactions WHERE amount > 3000 AND channel IN ('ONLINE','MOBILE')
     AND is_international = 1 AND currency <> 'USD'"""
 
-SPREE = f"""SELECT txn_id, client_id, initiated_at, amount, currency, n_in_window, n_distinct
-    FROM ({_trailing(
+
+
+def _spree(seconds: int, minimum: int) -> str:
+    trailing = _trailing(
         "(SELECT * FROM transactions WHERE channel = 'ONLINE' AND is_international = 1 "
         "AND currency <> 'USD')",
-        180 * DAY,
+        seconds,
         ", CAST(len(list_distinct(list(currency) OVER w)) AS INTEGER) AS n_distinct",
-    )}) WHERE n_in_window >= 2"""
+    )
+    return f"""SELECT txn_id, client_id, initiated_at, amount, currency, n_in_window, n_distinct
+        FROM ({trailing}) WHERE n_in_window >= {minimum}"""
+
+
+SPREE = _spree(180 * DAY, 2)
 
 TAKEOVER = """SELECT txn_id, client_id, device_id, initiated_at, amount, currency
     FROM (SELECT *,
@@ -44,18 +51,33 @@ def oracles() -> dict[str, str]:
     labels = ", ".join(
         f"('{p}', '{r}')" for p, group in fixed.PATTERN_RULES.items() for r in group
     )
-    online = "(SELECT * FROM transactions WHERE channel = 'ONLINE')"
-    tiny = "(SELECT * FROM transactions WHERE channel = 'ONLINE' AND amount <= 100.00)"
-    detections = f"""
-        SELECT 'velocity_burst' AS pattern, txn_id, client_id, amount
-        FROM ({_trailing(online, 30 * DAY)}) WHERE n_in_window >= 2
-        UNION ALL SELECT 'card_testing', txn_id, client_id, amount
-        FROM ({_trailing(tiny, 180 * DAY)}) WHERE n_in_window >= 2
-        UNION ALL SELECT 'high_value_fraud', txn_id, client_id, amount FROM ({HIGH_VALUE})
-        UNION ALL SELECT 'night_owl', txn_id, client_id, amount FROM transactions
-        WHERE channel IN ('ONLINE','MOBILE') AND hour(initiated_at) BETWEEN 1 AND 4
-        UNION ALL SELECT 'international_spree', txn_id, client_id, amount FROM ({SPREE})
-        UNION ALL SELECT 'account_takeover', txn_id, client_id, amount FROM ({TAKEOVER})"""
+
+    def alerts(velocity: tuple, testing: tuple, spree: tuple, nights: int) -> str:
+        """Alerts at (seconds, transactions) and, for testing, the largest amount."""
+        online = "(SELECT * FROM transactions WHERE channel = 'ONLINE')"
+        tiny = f"(SELECT * FROM transactions WHERE channel = 'ONLINE' AND amount <= {testing[2]})"
+        detections = f"""
+            SELECT 'velocity_burst' AS pattern, txn_id, client_id, amount
+            FROM ({_trailing(online, velocity[0])}) WHERE n_in_window >= {velocity[1]}
+            UNION ALL SELECT 'card_testing', txn_id, client_id, amount
+            FROM ({_trailing(tiny, testing[0])}) WHERE n_in_window >= {testing[1]}
+            UNION ALL SELECT 'high_value_fraud', txn_id, client_id, amount FROM ({HIGH_VALUE})
+            UNION ALL SELECT 'night_owl', txn_id, client_id, amount FROM (
+                SELECT *, count(*) OVER (PARTITION BY client_id, CAST(initiated_at AS DATE)) AS n_night
+                FROM transactions
+                WHERE channel IN ('ONLINE','MOBILE') AND hour(initiated_at) BETWEEN 1 AND 4)
+            WHERE n_night >= {nights}
+            UNION ALL SELECT 'international_spree', txn_id, client_id, amount FROM ({_spree(*spree)})
+            UNION ALL SELECT 'account_takeover', txn_id, client_id, amount FROM ({TAKEOVER})"""
+        return using(
+            "transactions",
+            sql=f"""SELECT txn_id, client_id, d.pattern, rule_triggered,
+                           CAST(least(100, CASE WHEN amount < 1000 THEN 60
+                                WHEN amount < 3000 THEN 75 ELSE 90 END) AS INTEGER) AS risk_score
+                    FROM ({detections}) d
+                    JOIN (VALUES {labels}) l(pattern, rule_triggered) ON l.pattern = d.pattern""",
+        )
+
     return {
         "fraud_velocity": f"""SELECT txn_id, client_id, initiated_at, amount, n_in_window
             FROM ({_trailing(EVENTS, 600)}) WHERE n_in_window >= 2""",
@@ -69,14 +91,8 @@ def oracles() -> dict[str, str]:
             FROM events WHERE hour(ts) BETWEEN 1 AND 4 GROUP BY 1, 2 HAVING count(*) >= 2""",
         "fraud_intl_spree": using("transactions", sql=SPREE),
         "fraud_account_takeover": using("transactions", sql=TAKEOVER),
-        "fraud_alerts_build": using(
-            "transactions",
-            sql=f"""SELECT txn_id, client_id, d.pattern, rule_triggered,
-                           CAST(least(100, CASE WHEN amount < 1000 THEN 60
-                                WHEN amount < 3000 THEN 75 ELSE 90 END) AS INTEGER) AS risk_score
-                    FROM ({detections}) d
-                    JOIN (VALUES {labels}) l(pattern, rule_triggered) ON l.pattern = d.pattern""",
-        ),
+        "fraud_alerts_build": alerts((30 * DAY, 2), (180 * DAY, 2, "100.00"), (180 * DAY, 2), 1),
+        "fraud_alerts_documented": alerts((600, 5), (900, 10, "1.99"), (9000, 3), 2),
         "rule_candidates": using(
             "transactions",
             sql=f"""SELECT txn_id, unnest(list_distinct(list_concat(

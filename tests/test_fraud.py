@@ -88,6 +88,33 @@ def test_spree_counts_currencies_like_brute_force(spark, random_rows):
     assert expected and got == expected
 
 
+@pytest.mark.parametrize("seconds", [600, 601, 3600, 90])
+def test_long_windows_by_buckets_equal_one_pass(spark, random_rows, monkeypatch, seconds):
+    txns = build(spark, random_rows)
+    hits = lambda **of: {
+        (r["client_id"], r["_sec"], r["n_in_window"], r["n_distinct"] if of else 0)
+        for r in fraud.trailing_counts(txns, seconds, 2, **of).collect()
+    }
+    one_pass = hits(), hits(distinct="currency")
+    monkeypatch.setattr(fraud, "PASS_SECONDS", 0)
+    assert (hits(), hits(distinct="currency")) == one_pass
+    assert all(one_pass)
+
+
+def test_long_windows_hold_no_slice_of_windows(spark):
+    """A client with a transaction every minute of ten years, windows of 180 days."""
+    txns = spark.range(0, 200_000).selectExpr(
+        "id as txn_id", "0L as client_id",
+        "timestamp_ntz'2014-01-01' + make_dt_interval(0, 0, id * 26, 0) as initiated_at",
+    )
+    counts = fraud.trailing_counts(txns, 180 * fraud.DAY_SECONDS)
+    got = counts.agg(F.max("n_in_window"), F.min("n_in_window"), F.count("*")).first()
+    assert tuple(got) == (180 * 24 * 60 // 26 + 1, 1, 200_000)
+    plan = counts._jdf.queryExecution().executedPlan().toString()
+    windows = [line for line in plan.splitlines() if "windowspecdefinition" in line]
+    assert windows and all("_slice" in w or "_bucket" in w for w in windows)
+
+
 def test_takeover_matches_brute_force(spark, random_rows):
     expected = set()
     for i, r in enumerate(random_rows):

@@ -215,6 +215,7 @@ def _fraud() -> dict[str, Query]:
         "fraud_intl_spree": on_tables(fraud.international_spree),
         "fraud_account_takeover": on_tables(fraud.account_takeover),
         "fraud_alerts_build": on_tables(fraud.build_alerts),
+        "fraud_alerts_documented": _over_tables(lambda t: fraud.build_alerts(t["transactions"])),
         "rule_candidates": _over_tables(lambda t: fraud.candidates(t["transactions"])),
         "fraud_rule_summary": _over_tables(lambda t: fraud.rule_summary(t["fraud_alerts"])),
         "pos_activity": _over_tables(

@@ -22,6 +22,11 @@ from txnlake.sources.tables import values_table
 
 DAY_SECONDS = 24 * 60 * 60
 WINDOWS_PER_SLICE = 8
+#: The longest window that is counted second by second in one pass: a slice and what it looks back
+#: on hold at most nine times as many rows of a client, whatever the data. Longer windows go by buckets.
+PASS_SECONDS = DAY_SECONDS
+#: Buckets of a long window, at most.
+BUCKETS = 60
 
 
 @dataclass(frozen=True)
@@ -56,15 +61,20 @@ def trailing_counts(
     all of them, drop out right after the shuffle. Within a slice every count is added at its second and taken off when
     its window has passed; the running total is the trailing count, in one pass. A value
     likewise appears with its first row in a while and vanishes a window after its last.
+
+    Windows longer than ``PASS_SECONDS`` are counted by buckets instead, see ``_by_buckets``.
     """
     value = [distinct] if distinct else []
+    per_second = txns.groupBy(
+        "client_id", epoch_seconds(F.col("initiated_at")).alias("_sec"), *value
+    ).agg(F.count(F.lit(1)).alias("_n"))
+    if seconds > PASS_SECONDS:
+        return _by_buckets(per_second, seconds, minimum, distinct)
     length = WINDOWS_PER_SLICE * seconds
     own = F.floor(F.col("_sec") / length)
     needed_later = F.col("_sec") >= (own + 1) * length - seconds
     sliced = (
-        txns.groupBy("client_id", epoch_seconds(F.col("initiated_at")).alias("_sec"), *value)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn(
+        per_second.withColumn(
             "_slice", F.explode(F.when(needed_later, F.array(own, own + 1)).otherwise(F.array(own)))
         )
         .withColumn("_total", F.sum("_n").over(Window.partitionBy("client_id", "_slice")))
@@ -105,12 +115,90 @@ def trailing_counts(
     )
 
 
+def _by_buckets(
+    per_second: DataFrame, seconds: int, minimum: int, distinct: str | None
+) -> DataFrame:
+    """``trailing_counts`` for long windows, at two levels.
+
+    A window is a whole number of buckets. Totals of buckets give the trailing total of the full
+    buckets in front of each one, over slices of a few windows of buckets; a bucket whose trailing
+    total and own total stay under ``minimum`` drops out. Every second of the others then adds what
+    its own bucket holds up to it, and takes off what the oldest bucket holds before the window: a
+    running count within single buckets, in which the window's start is marked by a row of its
+    own. So no group holds more than a bucket of seconds or a slice of buckets. Different
+    values are those of the full buckets, those that came by then in the own bucket and those
+    last seen late enough in the oldest; there should be few, as a bucket lists them.
+    """
+    value = [distinct] if distinct else []
+    k = next(n for n in range(BUCKETS, 0, -1) if seconds % n == 0)
+    rows = per_second.withColumn("_bucket", F.floor(F.col("_sec") / (seconds // k)))
+    totals = rows.groupBy("client_id", "_bucket", *value).agg(
+        F.sum("_n").alias("_n"), F.min("_sec").alias("_first"), F.max("_sec").alias("_last")
+    )
+    if distinct:
+        seen = F.collect_list(F.struct(F.col(distinct).alias("v"), "_first", "_last"))
+        totals = totals.groupBy("client_id", "_bucket").agg(F.sum("_n").alias("_n"), seen.alias("_seen"))
+    length = WINDOWS_PER_SLICE * k
+    own = F.floor(F.col("_bucket") / length)
+    needed_later = F.col("_bucket") >= (own + 1) * length - k
+    sliced = totals.withColumn(
+        "_slice", F.explode(F.when(needed_later, F.array(own, own + 1)).otherwise(F.array(own)))
+    )
+    w = Window.partitionBy("client_id", "_slice").orderBy("_bucket")
+    found = {"_before": F.coalesce(F.sum("_n").over(w.rangeBetween(-k, -1)), F.lit(0))}
+    if distinct:
+        full = w.rangeBetween(1 - k, -1)
+        found["_full"] = F.flatten(F.collect_list("_seen").over(full)) if k > 1 else F.array()
+        found["_oldest"] = F.first("_seen").over(w.rangeBetween(-k, -k))
+    busy = (
+        sliced.withColumns(found)
+        .where((F.col("_slice") == own) & (F.col("_before") + F.col("_n") >= minimum))
+        .drop("_slice", "_n")
+    )
+    in_bucket = rows.groupBy("client_id", "_bucket", "_sec").agg(F.sum("_n").alias("_n")) if distinct else rows
+    starts = in_bucket.drop("_n").join(busy, ["client_id", "_bucket"])
+    kept = ["client_id", "_sec", "_before"]
+    if distinct:
+        none = F.slice("_seen", 1, 0)
+        values = F.concat(
+            F.coalesce("_full", none) if k > 1 else none,
+            F.filter("_seen", lambda s: s["_first"] <= F.col("_sec")),
+            F.filter(F.coalesce("_oldest", none), lambda s: s["_last"] >= F.col("_sec") - seconds),
+        )
+        starts = starts.withColumn("n_distinct", F.size(F.array_distinct(F.transform(values, lambda s: s["v"]))))
+        kept.append("n_distinct")
+    starts = starts.select(
+        *kept,
+        (F.col("_bucket") - k).alias("_bucket"),
+        (F.col("_sec") - seconds).alias("_at"),
+        F.lit(0).cast("bigint").alias("_n"),
+        F.lit(True).alias("_start"),
+    )
+    points = in_bucket.withColumns({"_at": F.col("_sec"), "_start": F.lit(False)})
+    # At one second, a window's start comes before the rows, which belong to the window.
+    upto = Window.partitionBy("client_id", "_bucket").orderBy("_at", F.desc("_start"))
+    counted = points.unionByName(starts, allowMissingColumns=True).withColumn(
+        "_upto", F.sum("_n").over(upto.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    )
+    at_start = lambda c: F.max(F.when(F.col("_start"), F.col(c)))
+    parts = [F.max(F.when(~F.col("_start"), F.col("_upto"))).alias("_own"), at_start("_upto").alias("_gone")]
+    parts += [at_start(c).alias(c) for c in kept[2:]]
+    n = F.col("_before") + F.col("_own") - F.col("_gone")
+    return (
+        counted.groupBy("client_id", "_sec")
+        .agg(*parts)
+        .withColumn("n_in_window", n)
+        .where(F.col("n_in_window") >= minimum)
+        .drop("_before", "_own", "_gone")
+    )
+
+
 def _burst(
     txns: DataFrame, seconds: int, minimum: int, distinct: str | None = None
 ) -> DataFrame:
     """Transactions with at least ``minimum`` of the client's in their trailing window."""
     hits = trailing_counts(txns, seconds, minimum, distinct)
-    on = ["client_id", "_sec", *([distinct] if distinct else [])]
+    on = ["client_id", "_sec", *([distinct] if distinct in hits.columns else [])]
     return txns.withColumn("_sec", epoch_seconds(F.col("initiated_at"))).join(hits, on).drop("_sec")
 
 
