@@ -91,6 +91,7 @@ def oracles() -> dict[str, str]:
                 FROM walk WHERE tick >= (SELECT a FROM ends)""",
         ),
         "cdc_current_state_stream": using("changes", sql=CURRENT_STATE),
+        "cdc_current_state_buckets": using("changes", sql=CURRENT_STATE),
         "cdc_dedupe_stream": using("changes", sql=DEDUPED),
         "stream_ingestion_rate": f"""
             SELECT time_bucket(INTERVAL 15 MINUTE, ts, TIMESTAMP '2024-01-01') AS window_start,

@@ -19,7 +19,7 @@ from txnlake.session import scratch_path, tune
 from txnlake.sources import ingest, lake, serving, stand_in
 from txnlake.sources.tables import LazyTables, Tables, row_counts
 from txnlake.streaming import lake_sink as lake_sink_
-from txnlake.streaming import monitors, refresh, run, state
+from txnlake.streaming import keyed_state, monitors, refresh, run, state
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -572,6 +572,16 @@ def _streams() -> dict[str, Query]:
             .drop("props", "is_delete")
         )
 
+    def bucketed_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+        root, keys = scratch_path(tune(spark), "keyed_state"), ["table_name", "pk"]
+        changes = cdc.decoded(stand_in.change_feed(stand_in.events_stream(spark, sf_dir)), stand_in.FEED_ROW)
+        flat = changes.select("table_name", "row.*", "ts_ms", "offset", "op", "is_delete")
+        keyed_state.start_keyed_state(
+            flat, keys, f"{root}/state", f"{root}/checkpoint", buckets=spark.sparkContext.defaultParallelism
+        ).awaitTermination()
+        live = keyed_state.KeyedState(spark, f"{root}/state", keys).read()
+        return live.withColumnRenamed("offset", "off").drop("props", "is_delete")
+
     def replayed(events: DataFrame) -> DataFrame:
         feed = stand_in.change_feed(events)
         changes = cdc.decoded(feed, stand_in.FEED_ROW).select(
@@ -588,6 +598,7 @@ def _streams() -> dict[str, Query]:
             )
         ),
         "cdc_current_state_stream": state_stream,
+        "cdc_current_state_buckets": bucketed_state,
         "cdc_dedupe_stream": to_end("dedupe", replayed),
         "stream_ingestion_rate": to_end(
             "ingestion_rate", lambda e: monitors.ingestion_rate(timed(e))

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from txnlake.functions.money import mean_of, rate_pct
 from txnlake.plans import marts, staging
 from txnlake.plans.rebuild import at_once
-from txnlake.session import path_exists, written
+from txnlake.session import path_exists, remove_folder, subfolders, written
 from txnlake.sources.tables import Tables
 
 FOLD_EVERY = 20
@@ -163,13 +163,10 @@ class GroupStore:
     def _retire(self, base: int) -> None:
         """Remove the batches a base of the past holds, and the bases before it: readers that
         started before the newest fold still find theirs."""
-        path = self.spark._jvm.org.apache.hadoop.fs.Path
-        store = path(self.root).getFileSystem(self.spark._jsc.hadoopConfiguration())
         for folder, upto in (("batches", base), ("bases", base - 1)):
-            for status in store.listStatus(path(f"{self.root}/{folder}")):
-                name = status.getPath().getName()
-                if "=" in name and int(name.split("=")[1]) <= upto:
-                    store.delete(status.getPath(), True)
+            for number, path in subfolders(self.spark, f"{self.root}/{folder}").items():
+                if number <= upto:
+                    remove_folder(self.spark, path)
 
     def _base(self, before: int | None) -> int | None:
         if not path_exists(self.spark, f"{self.root}/folds"):

@@ -79,6 +79,21 @@ def is_file(spark: SparkSession, path: str) -> bool:
     return at.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(at).isFile()
 
 
+def subfolders(spark: SparkSession, path: str) -> dict[int, str]:
+    """Folders named ``<name>=<number>`` below a path, by number; nothing where it is missing."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not store.exists(at):
+        return {}
+    names = [status.getPath().getName() for status in store.listStatus(at) if status.isDirectory()]
+    return {int(n.rsplit("=", 1)[1]): f"{path}/{n}" for n in names if n.rsplit("=", 1)[-1].isdigit()}
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def replace_folder(df: DataFrame, path: str) -> None:
     """Write ``df`` as Parquet beside ``path`` and put it there when it is complete, so that a
     write that fails leaves what was there."""
