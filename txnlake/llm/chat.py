@@ -76,11 +76,20 @@ def part_tokens(part: Column, patch: int, tokens_per_second: int, tokens_per_pag
     return F.when(tokens.isNull(), F.lit(0).cast("long")).otherwise(F.greatest(tokens, F.lit(1)))
 
 
-def _visit(part: Column) -> Column:
-    out = escape(F.coalesce(part["text"], F.lit("")))
-    for kind, mark in PLACEHOLDERS.items():
-        out = F.when(part["kind"] == kind, F.lit(mark)).otherwise(out)
-    return out
+def _body(parts: Column) -> Column:
+    """The visited parts as one string. Texts that stand next to each other are escaped as one, so
+    a control string cannot come together from pieces."""
+    empty = F.struct(F.lit("").alias("done"), F.lit("").alias("run"))
+
+    def visit(seen: Column, part: Column) -> Column:
+        mark = F.lit(None).cast("string")
+        for kind, placeholder in PLACEHOLDERS.items():
+            mark = F.when(part["kind"] == kind, F.lit(placeholder)).otherwise(mark)
+        done = F.when(mark.isNull(), seen["done"]).otherwise(F.concat(seen["done"], escape(seen["run"]), mark))
+        run = F.when(mark.isNull(), F.concat(seen["run"], F.coalesce(part["text"], F.lit("")))).otherwise("")
+        return F.struct(done.alias("done"), run.alias("run"))
+
+    return F.aggregate(parts, empty, visit, lambda seen: F.concat(seen["done"], escape(seen["run"])))
 
 
 def flatten_parts(
@@ -110,7 +119,7 @@ def flatten_parts(
         "conv_id",
         "turn",
         F.coalesce(F.col("role"), F.lit("")).alias("role"),
-        F.array_join(F.transform(parts, _visit), "").alias("body"),
+        _body(parts).alias("body"),
         attachments.alias("attachments"),
         F.aggregate(
             F.transform(parts, tokens), F.lit(0).cast("long"), lambda s, t: s + t
