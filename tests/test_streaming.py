@@ -303,6 +303,30 @@ def test_dedupe_across_batches(spark, feed, folder):
     assert spark.read.parquet(f"{folder}/out").count() == 2
 
 
+def test_a_client_that_never_pauses_is_reported(spark, feed, folder):
+    for minute in range(0, 100, 10):
+        at = START + timedelta(minutes=minute)
+        feed.add(*[(i, "c", "x") for i in range(3)], at=at)
+    txns = flat(feed).selectExpr("timestamp as initiated_at", "'ONLINE' as channel", "0L as client_id")
+    out = monitors.velocity_sessions(txns, minimum=2, gap="20 minutes", longest_seconds=1800)
+    run.append_to(out, f"{folder}/out", f"{folder}/cp").awaitTermination()
+    rows = spark.read.parquet(f"{folder}/out").orderBy("window_start").collect()
+    assert [(r["window_start"].hour * 60 + r["window_start"].minute, r["n_txns"]) for r in rows] == [(0, 9), (30, 9)]
+
+
+def test_rows_are_counted_before_windows_copy_them(spark, feed, folder):
+    for minute in (0, 1, 2, 3, 30, 60):
+        feed.add(*[(i, "c", "x") for i in range(50)], at=START + timedelta(minutes=minute))
+    txns = flat(feed).selectExpr("timestamp as initiated_at", "'ONLINE' as channel", "0L as client_id")
+    out = monitors.velocity_windows(txns, minimum=100)
+    query = run.append_to(out, f"{folder}/out", f"{folder}/cp")
+    query.awaitTermination()
+    rows = {r["window_start"]: r["n_txns"] for r in spark.read.parquet(f"{folder}/out").collect()}
+    minutes = lambda start: [m for m in (0, 1, 2, 3, 30) if start <= m < start + 10]
+    want = {START + timedelta(minutes=m): 50 * len(minutes(m)) for m in range(-9, 41) if len(minutes(m)) > 1}
+    assert rows == want
+
+
 def test_late_rows_are_dropped_and_open_windows_wait(spark, feed, folder):
     for minute in (0, 30, 40, 1, 60):  # the fourth is late by then
         feed.add((minute, "c", "x"), at=START + timedelta(minutes=minute))
