@@ -42,6 +42,22 @@ def oracles() -> dict[str, str]:
                 ]
             ),
         ),
+        "incremental_poll_overlap": using(
+            *POLLED,
+            sql=_union(
+                [
+                    f"""SELECT CAST(cycle AS INTEGER) AS cycle, '{t}' AS table_name, pk FROM (
+                        SELECT CAST(late AS INTEGER) AS cycle, pk, created_at, CASE WHEN late THEN greatest(
+                                   max(created_at) FILTER (NOT late) OVER () - INTERVAL 30 DAY, {MARK})
+                               ELSE {MARK} END AS since
+                        FROM (SELECT CAST({PRIMARY_KEYS[t]} AS BIGINT) AS pk, created_at,
+                                     {PRIMARY_KEYS[t]} % 10 = 3 AS late FROM {t}
+                              WHERE created_at > {MARK}))
+                    WHERE created_at > since"""
+                    for t in POLLED
+                ]
+            ),
+        ),
         "incremental_high_water": using(
             *POLLED,
             sql=_union(

@@ -1,5 +1,5 @@
 import json
-from datetime import datetime
+from datetime import datetime, timedelta
 
 import pytest
 
@@ -55,6 +55,31 @@ def test_poll_cycles_lose_and_repeat_nothing(spark, folder):
     assert spark.read.parquet(f"{folder}/polled").count() == 3
 
 
+def test_rows_committed_late_arrive_once(spark, folder):
+    sent = []
+
+    def publish(messages):
+        sent.extend(json.loads(r["value"])["payload"]["client_id"] for r in messages.collect())
+
+    start, rows = datetime(2024, 1, 1), [(1, "a", 1), (2, "b", 2), (3, "c", 9)]
+    run = lambda cycle: ingest.poll_cycle(
+        clients(spark, *rows), folder, cycle, start, publish, timedelta(days=3)
+    )
+    assert run(0) == {"clients": datetime(2024, 1, 9)} and sorted(sent) == [2, 3]
+    # With the mark's own time, within the span, and before it.
+    rows += [(4, "d", 9), (5, "e", 7), (6, "f", 3)]
+    for _ in range(2):  # a repeated cycle sends the same
+        sent.clear()
+        assert run(1) == {"clients": datetime(2024, 1, 9)} and sorted(sent) == [4, 5]
+    sent.clear()
+    assert run(2) == {"clients": datetime(2024, 1, 9)} and sent == []
+    rows.append((7, "g", 20))
+    assert run(3) == {"clients": datetime(2024, 1, 20)} and sent == [7]
+    # What is remembered spans the overlap alone.
+    kept = {n: spark.read.parquet(f"{folder}/sent/cycle={n}").count() for n in (1, 3)}
+    assert kept == {1: 3, 3: 1}
+
+
 def test_marks_per_table(spark):
     tables = clients(spark, (1, "a", 1), (2, "b", 2))
     got = ingest.new_high_water(tables, {"clients": datetime(2024, 1, 1)}).collect()[0]

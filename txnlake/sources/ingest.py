@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
-from datetime import datetime
+from datetime import datetime, timedelta
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txnlake.operators.cdc import envelope_text
@@ -99,12 +99,14 @@ def pending_tables(catalogue: DataFrame, state: DataFrame) -> DataFrame:
     return catalogue.join(done, "table_name", "left_anti")
 
 
-def _messages(rows: DataFrame, table: str, op: str, *keep: str) -> DataFrame:
+def _messages(
+    rows: DataFrame, table: str, op: str, *keep: str | Column, said: list[str] | None = None
+) -> DataFrame:
     return rows.select(
         F.lit(table).alias("table_name"),
         *keep,
         F.lit(f"{POLL_PREFIX}.{table}").alias("topic"),
-        envelope_text(rows.columns, table, op).alias("value"),
+        envelope_text(said or rows.columns, table, op).alias("value"),
     )
 
 
@@ -166,23 +168,41 @@ def poll_cycle(
     cycle: int,
     start: Marks,
     publish: Callable[[DataFrame], None] | None = None,
+    overlap: timedelta = timedelta(0),
 ) -> dict[str, datetime]:
     """One poll of every table that can be followed; returns the marks for the next.
 
     New rows are stored below ``<root>/polled`` under the cycle's number and the marks are
     the newest times among just those rows, so rows that arrive meanwhile wait for the next
     cycle. A repeated cycle overwrites itself. ``start`` serves the first cycle only.
+
+    A row whose time lies at or before the mark when it becomes visible would be lost: clocks are
+    coarse, and transactions commit out of order. With ``overlap`` a poll looks back that far behind
+    the mark (never behind ``start``) and leaves out what it has sent: key and time of the rows
+    of that last span, all that has to be remembered, are stored with the marks.
     """
     spark = next(iter(tables.values())).sparkSession
     followed = [name for name in polled_tables() if name in tables]
     marks = {name: _mark(start, name) for name in followed}
+    sent = None
     if cycle > 0:
         before = spark.read.parquet(f"{root}/marks/cycle={cycle - 1}")
         marks.update({r["table_name"]: r["high_water"] for r in before.collect()})
+        if overlap:
+            sent = spark.read.parquet(f"{root}/sent/cycle={cycle - 1}")
+
+    def since(name: str) -> Column:
+        return F.lit(max(marks[name] - overlap, _mark(start, name)) if overlap else marks[name])
 
     def new_rows(name: str) -> DataFrame:
-        fresh = tables[name].where(F.col(WATERMARK_COLUMN) > F.lit(marks[name]))
-        return _messages(fresh, name, "c", WATERMARK_COLUMN)
+        key = F.col(PRIMARY_KEYS[name]).cast("bigint")
+        fresh = tables[name].where(F.col(WATERMARK_COLUMN) > since(name))
+        if sent is not None:
+            of = sent.where(F.col("table_name") == name).select(F.col("pk").alias("_pk"), F.col(WATERMARK_COLUMN).alias("_at"))
+            same = (key == F.col("_pk")) & (F.col(WATERMARK_COLUMN) == F.col("_at"))
+            fresh = fresh.join(of, same, "left_anti")
+        keyed = fresh.withColumn("_pk", key)
+        return _messages(keyed, name, "c", WATERMARK_COLUMN, F.col("_pk").alias("pk"), said=fresh.columns)
 
     path = f"{root}/polled/cycle={cycle}"
     _union(new_rows(name) for name in followed).write.mode("overwrite").parquet(path)
@@ -191,7 +211,16 @@ def poll_cycle(
     if publish is not None:
         publish(stored)
     newest = stored.groupBy("table_name").agg(F.max(WATERMARK_COLUMN).alias("high_water"))
-    marks.update({r["table_name"]: r["high_water"] for r in newest.collect()})
+    # A late row does not move a mark back.
+    marks.update({r["table_name"]: max(r["high_water"], marks[r["table_name"]]) for r in newest.collect()})
+    if overlap:
+        now = stored.select("table_name", "pk", WATERMARK_COLUMN)
+        every = now if sent is None else sent.unionByName(now)
+        late = reduce(
+            lambda a, b: a | b,
+            [(F.col("table_name") == n) & (F.col(WATERMARK_COLUMN) > since(n)) for n in followed],
+        )
+        every.where(late).write.mode("overwrite").parquet(f"{root}/sent/cycle={cycle}")
     kept = spark.createDataFrame(list(marks.items()), f"table_name string, high_water {kind}")
     kept.coalesce(1).write.mode("overwrite").parquet(f"{root}/marks/cycle={cycle}")
     return marks
