@@ -94,18 +94,56 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
-def replace_folder(df: DataFrame, path: str) -> None:
-    """Write ``df`` as Parquet beside ``path`` and put it there when it is complete, so that a
-    write that fails leaves what was there."""
+_CURRENT = "CURRENT"
+
+
+def publish_folder(df: DataFrame, path: str) -> None:
+    """Put ``df`` at ``path`` as a new version, which readers see from one moment to the next.
+
+    The version is written whole first; then the file that names the current one is replaced in one
+    step. A write that fails changes nothing. The version before it stays for readers that have
+    found it; older ones go.
+    """
     spark = df.sparkSession
-    fresh = f"{path}.{uuid.uuid4().hex}"
-    df.write.parquet(fresh)
-    new, old = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (fresh, path))
-    store = old.getFileSystem(spark._jsc.hadoopConfiguration())
-    if store.exists(old):
-        store.delete(old, True)
-    if not store.rename(new, old):
-        raise OSError(f"cannot move {fresh} to {path}")
+    versions = subfolders(spark, path)
+    before = _current_version(spark, path)
+    number = max(versions, default=0) + 1
+    df.write.mode("overwrite").parquet(f"{path}/version={number}")
+    _name_version(spark, path, number)
+    for old, folder in versions.items():
+        if old != before:
+            remove_folder(spark, folder)
+
+
+def published(spark: SparkSession, path: str) -> DataFrame:
+    """The current version of a published folder; a plain folder as it is."""
+    number = _current_version(spark, path)
+    return spark.read.parquet(path if number is None else f"{path}/version={number}")
+
+
+def _current_version(spark: SparkSession, path: str) -> int | None:
+    if not path_exists(spark, f"{path}/{_CURRENT}"):
+        return None
+    at = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{_CURRENT}")
+    stream = at.getFileSystem(spark._jsc.hadoopConfiguration()).open(at)
+    try:
+        return int(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    finally:
+        stream.close()
+
+
+def _name_version(spark: SparkSession, path: str, number: int) -> None:
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    fresh, named = hadoop.Path(f"{path}/.{_CURRENT}.{uuid.uuid4().hex}"), hadoop.Path(f"{path}/{_CURRENT}")
+    conf = spark._jsc.hadoopConfiguration()
+    out = fresh.getFileSystem(conf).create(fresh)
+    out.writeBytes(str(number))
+    out.close()
+    rename = getattr(hadoop, "Options$Rename")
+    overwrite = spark.sparkContext._gateway.new_array(rename, 1)
+    overwrite[0] = rename.OVERWRITE
+    qualified = fresh.getFileSystem(conf).makeQualified(fresh)
+    hadoop.FileContext.getFileContext(qualified.toUri(), conf).rename(fresh, named, overwrite)
 
 
 @contextmanager

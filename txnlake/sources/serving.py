@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from txnlake.schemas import SERVING_TYPES
-from txnlake.session import replace_folder
+from txnlake.session import publish_folder, published
 
 BATCH_ROWS = 5_000
 
@@ -27,11 +27,11 @@ CLUSTER_BY = {
 
 def write_mart(df: DataFrame, root: str, name: str) -> None:
     """Full rebuild of a mart as Parquet."""
-    replace_folder(df.sortWithinPartitions(CLUSTER_BY[name]), f"{root}/{name}")
+    publish_folder(df.sortWithinPartitions(CLUSTER_BY[name]), f"{root}/{name}")
 
 
 def read_mart(spark: SparkSession, root: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{root}/{name}")
+    return published(spark, f"{root}/{name}")
 
 
 @dataclass(frozen=True)
@@ -39,10 +39,10 @@ class ParquetTarget:
     root: str
 
     def replace(self, df: DataFrame, name: str) -> None:
-        replace_folder(df, f"{self.root}/{name}")
+        publish_folder(df, f"{self.root}/{name}")
 
     def read(self, spark: SparkSession, name: str) -> DataFrame:
-        return spark.read.parquet(f"{self.root}/{name}")
+        return published(spark, f"{self.root}/{name}")
 
 
 @dataclass(frozen=True)
