@@ -190,11 +190,11 @@ def test_refresh_fires_by_time_while_nothing_arrives(spark, feed, folder):
 
 def test_timers_fire_while_nothing_arrives_for_each_mart_alone(spark, feed, folder):
     fired = []
-    feed.add(*[(i, "c", "a") for i in range(6)])
+    feed.add((1, "c", "a"))  # too few; silence follows
     marts = {"of_clients": ["clients", "merchants"], "of_cards": ["payment_cards"]}
     query = refresh.start_refreshes(
         flat(feed), lambda mart, reason: fired.append((mart, reason)), f"{folder}/log", f"{folder}/cp",
-        "1 second", refresh.RefreshRule(rows=5, seconds=15), marts,
+        "1 second", refresh.RefreshRule(rows=5, seconds=5), marts,
     )
 
     def logged():
@@ -209,14 +209,14 @@ def test_timers_fire_while_nothing_arrives_for_each_mart_alone(spark, feed, fold
 
     try:
         wait(1)
-        feed.add((1, "u", "b"))  # too few; silence follows
+        feed.add(*[(i, "u", "b") for i in range(6)])
         wait(2)
     finally:
         query.stop()
-    assert fired == [("of_clients", "rows"), ("of_clients", "time")]
+    assert fired == [("of_clients", "time"), ("of_clients", "rows")]
     log = logged()
-    assert [(r["n_events"], r["pending"], r["reason"]) for r in log] == [(6, 6, "rows"), (0, 1, "time")]
-    assert log[1]["elapsed_seconds"] >= 15
+    assert [(r["n_events"], r["pending"], r["reason"]) for r in log] == [(0, 1, "time"), (6, 6, "rows")]
+    assert log[0]["elapsed_seconds"] >= 5
 
 
 def walked(seconds, rule, tick_seconds):
