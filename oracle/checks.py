@@ -139,6 +139,14 @@ def oracles() -> dict[str, str]:
                 + [_repeats(t, columns) for t, columns in UNIQUE_KEYS]
             ),
         ),
+        "dq_unique_by_day": using(
+            "transactions",
+            "refunds",
+            sql=_union(
+                [_repeats(t, (PRIMARY_KEYS[t],)) for t in ("transactions", "refunds")]
+                + [_repeats(t, ("reference",)) for t in ("transactions", "refunds")]
+            ),
+        ),
         "dq_referential": using(
             *ALL, sql=_union([_orphans(fk.child, fk.column, fk.parent) for fk in FOREIGN_KEYS])
         ),

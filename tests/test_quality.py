@@ -3,7 +3,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from txnlake.operators import monitor, quality
+from txnlake.operators import key_pages, monitor, quality
 from txnlake.schemas import ForeignKey
 
 
@@ -124,3 +124,79 @@ def test_backlog_counts_tables_with_nothing_archived(spark):
     published = spark.createDataFrame([("a",), ("a",), ("b",)], "table_name string")
     out = monitor.backlog(published, published.where("table_name = 'a'").limit(1))
     assert {r["table_name"]: r["n_backlog"] for r in out.collect()} == {"a": 1, "b": 1}
+
+
+@pytest.fixture(scope="module")
+def many(spark):
+    """A hot repeated key, keys on both sides of zero, sparse keys, texts, and orphans of each kind."""
+    rows = [(k, f"r{k}", k % 50 if k % 97 else None) for k in range(-300, 300)]
+    rows += [(7, "hot", 3)] * 400 + [(10**15 + k * 1000, None, 60 + k) for k in range(70)]
+    rows += [(-300, "r-300", 10**12), (-300, "r-300", 10**12), (None, "r1", -1)]
+    ddl = "txn_id long, reference string, client_id long"
+    return {
+        "transactions": spark.createDataFrame(rows, ddl).repartition(5),
+        "clients": spark.createDataFrame([(k,) for k in range(64)], "client_id int"),
+    }, rows
+
+
+KEYS = [
+    ("transactions", ("txn_id",)),
+    ("transactions", ("reference",)),
+    ("transactions", ("txn_id", "reference")),
+    ("clients", ("client_id",)),
+]
+
+
+def test_pages_find_repeats_as_counting_does(many):
+    tables, rows = many
+    want = {}
+    for (table, columns), key in zip(KEYS, [lambda r: r[0], lambda r: r[1], lambda r: r[:2], None], strict=True):
+        if key is None:
+            values = list(range(64))
+        else:
+            values = [key(r) for r in rows]
+            values = [v for v in values if v is not None and not (isinstance(v, tuple) and None in v)]
+        n = {v: values.count(v) for v in set(values)}
+        repeated = [c for c in n.values() if c > 1]
+        want[quality.key_name(table, columns)] = (len(repeated), sum(repeated) - len(repeated))
+    assert by_name(quality.unique_keys(tables, KEYS)) == want
+    assert want["transactions.txn_id unique"] == (2, 402)
+
+
+def test_pages_by_day_merge_to_the_pages_of_all(many):
+    tables, _ = many
+    dated = {t: df.withColumn("day", F.pmod(F.xxhash64(*df.columns), F.lit(3))) for t, df in tables.items()}
+    pages = key_pages.key_pages(dated, KEYS, "day")
+    merged = {tuple(r) for r in key_pages.merge_pages(pages).select("check", "slot", "bits", "n").collect()}
+    whole = {tuple(r) for r in key_pages.key_pages(tables, KEYS).select("check", "slot", "bits", "n").collect()}
+    assert merged == whole
+    assert by_name(quality.unique_keys(tables, KEYS, pages)) == by_name(quality.unique_keys(tables, KEYS))
+    # A dense key of 600 values takes a tenth of a row per value.
+    assert sum(1 for r in whole if r[0] == 0 and abs(r[1]) < 10) == 10
+
+
+def test_pages_find_orphans_as_sets_do(many):
+    tables, rows = many
+    used = [r[2] for r in rows if r[2] is not None]
+    lost = [c for c in used if not 0 <= c < 64]
+    got = by_name(quality.referential(tables, [ForeignKey("transactions", "client_id", "clients")]))
+    assert got == {"transactions.client_id": (len(set(lost)), len(lost))}
+    assert len(set(lost)) > 60
+
+
+def test_only_suspects_are_read_again(spark, many):
+    clean = {"clients": many[0]["clients"], "transactions": many[0]["transactions"].where("client_id BETWEEN 0 AND 59")}
+    plan = quality.referential(clean, [ForeignKey("transactions", "client_id", "clients")])
+    text = plan._jdf.queryExecution().optimizedPlan().toString()
+    assert "txn_id" not in text and "client_id" not in text.replace("transactions.client_id", "")
+
+
+def test_empty_tables_have_no_repeats_and_no_orphans(spark):
+    empty = {
+        "transactions": spark.createDataFrame([], "txn_id long, reference string, client_id long"),
+        "clients": spark.createDataFrame([], "client_id long"),
+    }
+    assert set(by_name(quality.unique_keys(empty, KEYS)).values()) == {(0, 0)}
+    assert by_name(quality.referential(empty, [ForeignKey("transactions", "client_id", "clients")])) == {
+        "transactions.client_id": (0, 0)
+    }

@@ -12,10 +12,10 @@ from pyspark.sql import functions as F
 from txnlake import fixed_values as fixed
 from txnlake.functions import money, risk
 from txnlake.functions import temporal as temporal_
-from txnlake.operators import cdc, fraud, joins, monitor, ordering, quality, settlement
+from txnlake.operators import cdc, fraud, joins, key_pages, monitor, ordering, quality, settlement
 from txnlake.plans import increments, marts, rebuild, serve, staging
 from txnlake.schemas import PRIMARY_KEYS, SERVING_TYPES, polled_tables
-from txnlake.session import scratch_path, tune
+from txnlake.session import scratch_path, tune, written
 from txnlake.sources import ingest, lake, serving, stand_in
 from txnlake.sources.tables import LazyTables, Tables, row_counts
 from txnlake.streaming import lake_sink as lake_sink_
@@ -234,7 +234,15 @@ def _quality() -> dict[str, Query]:
         built = {name: partial(build, t) for name, build in marts.MARTS.items()}
         return LazyTables({**{name: partial(t.__getitem__, name) for name in t}, **built})
 
+    def by_day(t: Tables) -> DataFrame:
+        # Pages kept per ingest day, as a daily job would store them, then merged.
+        keys = [(n, c) for n, c in quality.SOURCE_KEYS if n in ("transactions", "refunds")]
+        dated = {n: t[n].withColumn("day", F.to_date("created_at")) for n in {n for n, _ in keys}}
+        pages = written(key_pages.key_pages(dated, keys, "day"), "key_pages")
+        return quality.unique_keys(dated, keys, pages)
+
     return {
+        "dq_unique_by_day": _over_tables(by_day),
         "dq_not_null": _over_tables(
             lambda t: quality.row_checks(with_marts(t), quality.MART_NOT_NULL)
         ),

@@ -1,8 +1,8 @@
 """Data-quality checks that return rows: one per check, with its violations.
 
 Row checks on a table run as conditional counts of a single pass. Key and reference checks
-first reduce each table to counted distinct keys, so a key that holds much of the data
-crosses the shuffle as one row per task.
+first reduce each table to pages of keys (``key_pages``), and read rows again only where a page
+shows a violation.
 """
 
 from __future__ import annotations
@@ -11,11 +11,13 @@ from collections import defaultdict
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txnlake import fixed_values as fixed
+from txnlake.operators import key_pages
 from txnlake.schemas import FOREIGN_KEYS, PRIMARY_KEYS, UNIQUE_KEYS, ForeignKey
+from txnlake.session import written
 from txnlake.sources.tables import Tables, values_table
 
 
@@ -94,91 +96,73 @@ def key_name(table: str, columns: tuple[str, ...]) -> str:
     return f"{table}.{'+'.join(columns)} unique"
 
 
-def unique_keys(tables: Tables, keys: list[tuple[str, tuple[str, ...]]]) -> DataFrame:
-    """``check_name, n_duplicate_keys, n_excess_rows`` per key; NULL keys never collide."""
-    by_table: dict[str, list[tuple[str, ...]]] = defaultdict(list)
-    for table, columns in keys:
-        by_table[table].append(columns)
-
-    def as_text(columns: tuple[str, ...]):
-        parts = [F.expr(c).cast("string") for c in columns]
-        if len(parts) == 1:
-            return parts[0]
-        text = F.to_json(F.array(*parts))
-        return F.when(reduce(lambda a, b: a & b, [p.isNotNull() for p in parts]), text)
-
-    def one(table: str, group: list[tuple[str, ...]]) -> DataFrame:
-        values = F.array(
-            *[
-                F.struct(F.lit(key_name(table, c)).alias("check_name"), as_text(c).alias("key"))
-                for c in group
-            ]
-        )
-        return tables[table].select(F.explode(values).alias("k")).select("k.*")
+def unique_keys(
+    tables: Tables, keys: list[tuple[str, tuple[str, ...]]], pages: DataFrame | None = None
+) -> DataFrame:
+    """``check_name, n_duplicate_keys, n_excess_rows`` per key; NULL keys never collide.
 
+    ``pages`` may hold pages of the same keys that were kept per ingest day; they are merged
+    and the tables are read only where a page shows more rows than keys.
+    """
     spark = next(iter(tables.values())).sparkSession
-    spine = values_table(spark, [(key_name(t, c),) for t, c in keys], "check_name string")
-    repeated = (
-        reduce(DataFrame.unionByName, [one(t, g) for t, g in by_table.items()])
-        .where("key IS NOT NULL")
-        .groupBy("check_name", "key")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .where("n > 1")
-        .groupBy("check_name")
-        .agg(F.count(F.lit(1)).alias("keys"), F.sum(F.col("n") - 1).alias("rows"))
+    merged = key_pages.key_pages(tables, keys) if pages is None else key_pages.merge_pages(pages)
+    suspects = written(
+        merged.where(F.col("n") > key_pages.bits_in("bits")).select("check", "slot"), "suspect_keys"
     )
-    return spine.join(repeated, "check_name", "left").select(
+    counts = _no_counts(spark, "keys bigint, rows bigint")
+    if checks := _checks(suspects):
+        counts = key_pages.repeated_keys(tables, keys, suspects, checks)
+    names = [(i, key_name(t, c)) for i, (t, c) in enumerate(keys)]
+    return _with_names(spark, names, counts).select(
         "check_name",
         F.coalesce("keys", F.lit(0)).alias("n_duplicate_keys"),
         F.coalesce("rows", F.lit(0)).alias("n_excess_rows"),
     )
 
 
+def _checks(suspects: DataFrame) -> set[int]:
+    """Numbers of the checks with suspects: at most as many as there are checks."""
+    return {r["check"] for r in suspects.select("check").distinct().collect()}
+
+
+def _no_counts(spark: SparkSession, columns: str) -> DataFrame:
+    return spark.createDataFrame([], f"check int, {columns}")
+
+
+def _with_names(spark: SparkSession, names: list[tuple[int, str]], counts: DataFrame) -> DataFrame:
+    return values_table(spark, names, "check int, check_name string").join(counts, "check", "left")
+
+
 def referential(tables: Tables, foreign_keys: list[ForeignKey] = FOREIGN_KEYS) -> DataFrame:
     """``check_name, n_orphan_keys, n_orphan_rows`` per foreign key.
 
-    All keys of a child table come from one scan of it; NULL references are allowed.
+    Pages of used keys meet pages of the parent's keys; the bits that the parent lacks are the
+    orphans. Children are read again only where there are some. NULL references are allowed.
     """
-    by_child: dict[str, list[ForeignKey]] = defaultdict(list)
-    for fk in foreign_keys:
-        by_child[fk.child].append(fk)
-
-    def references(child: str, group: list[ForeignKey]) -> DataFrame:
-        values = F.array(
-            *[
-                F.struct(
-                    F.lit(fk.name).alias("check_name"),
-                    F.lit(fk.parent).alias("parent"),
-                    F.col(fk.column).cast("bigint").alias("key"),
-                )
-                for fk in group
-            ]
-        )
-        return tables[child].select(F.explode(values).alias("k")).select("k.*")
-
-    used = (
-        reduce(DataFrame.unionByName, [references(c, g) for c, g in by_child.items()])
-        .where("key IS NOT NULL")
-        .groupBy("check_name", "parent", "key")
-        .agg(F.count(F.lit(1)).alias("n"))
+    spark = next(iter(tables.values())).sparkSession
+    parents = sorted({fk.parent for fk in foreign_keys})
+    parent_keys = [(p, (f"cast({PRIMARY_KEYS[p]} as bigint)",)) for p in parents]
+    child_keys = [(fk.child, (f"cast({fk.column} as bigint)",)) for fk in foreign_keys]
+    parent_of = F.element_at(
+        F.array(*[F.lit(parents.index(fk.parent)) for fk in foreign_keys]), F.col("check") + 1
     )
-    parents = reduce(
-        DataFrame.unionByName,
-        [
-            tables[p].select(
-                F.lit(p).alias("parent"), F.col(PRIMARY_KEYS[p]).cast("bigint").alias("key")
-            )
-            for p in sorted({fk.parent for fk in foreign_keys})
-        ],
+    used = key_pages.key_pages(tables, child_keys).withColumn("parent", parent_of)
+    known = key_pages.key_pages(tables, parent_keys).select(
+        F.col("check").alias("parent"), "slot", F.col("bits").alias("known")
     )
-    orphans = (
-        used.join(parents, ["parent", "key"], "left_anti")
-        .groupBy("check_name")
-        .agg(F.count(F.lit(1)).alias("keys"), F.sum("n").alias("rows"))
+    lacking = F.col("bits").bitwiseAND(F.bitwise_not(F.coalesce("known", F.lit(0).cast("bigint"))))
+    orphans = written(
+        used.join(known, ["parent", "slot"], "left")
+        .select("check", "slot", lacking.alias("bits"))
+        .where("bits <> 0"),
+        "orphan_keys",
     )
-    spark = next(iter(tables.values())).sparkSession
-    spine = values_table(spark, [(fk.name,) for fk in foreign_keys], "check_name string")
-    return spine.join(orphans, "check_name", "left").select(
+    counts = _no_counts(spark, "keys bigint, rows bigint")
+    if checks := _checks(orphans):
+        n_keys = orphans.groupBy("check").agg(F.sum(key_pages.bits_in("bits")).alias("keys"))
+        counts = n_keys.join(key_pages.rows_in_pages(tables, child_keys, orphans, checks), "check")
+    names = [(i, fk.name) for i, fk in enumerate(foreign_keys)]
+    return _with_names(spark, names, counts).select(
         "check_name",
         F.coalesce("keys", F.lit(0)).alias("n_orphan_keys"),
         F.coalesce("rows", F.lit(0)).alias("n_orphan_rows"),
