@@ -18,18 +18,18 @@ _LOADED = " UNION ALL ".join(
     ]
 )
 
+BY_DAY_AND_OP = """SELECT table_name, CAST(year(ts) AS INTEGER) AS year,
+                          CAST(month(ts) AS INTEGER) AS month, CAST(day(ts) AS INTEGER) AS day,
+                          op AS _cdc_op, count(*) AS n_rows,
+                          CAST(sum(amount) AS DECIMAL(24,2)) AS amount
+                   FROM changes WHERE op <> 'd' GROUP BY 1, 2, 3, 4, 5"""
+
 
 def oracles() -> dict[str, str]:
     share = pct("sum(f)", "count(*)")
     return {
-        "lake_sink": using(
-            "changes",
-            sql="""SELECT table_name, CAST(year(ts) AS INTEGER) AS year,
-                          CAST(month(ts) AS INTEGER) AS month, CAST(day(ts) AS INTEGER) AS day,
-                          op AS _cdc_op, count(*) AS n_rows,
-                          CAST(sum(amount) AS DECIMAL(24,2)) AS amount
-                   FROM changes WHERE op <> 'd' GROUP BY 1, 2, 3, 4, 5""",
-        ),
+        "lake_sink": using("changes", sql=BY_DAY_AND_OP),
+        "lake_compacted": using("changes", sql=BY_DAY_AND_OP),
         "lake_sink_codec": using(
             "changes",
             sql="""SELECT codec, table_name, count(*) AS n_rows

@@ -16,7 +16,7 @@ from txnlake.operators import cdc, fraud, joins, key_pages, monitor, ordering, q
 from txnlake.plans import increments, marts, rebuild, serve, staging
 from txnlake.schemas import PRIMARY_KEYS, SERVING_TYPES, polled_tables
 from txnlake.session import scratch_path, tune, written
-from txnlake.sources import ingest, lake, serving, stand_in
+from txnlake.sources import compaction, ingest, lake, serving, stand_in
 from txnlake.sources.tables import LazyTables, Tables, row_counts
 from txnlake.streaming import lake_sink as lake_sink_
 from txnlake.streaming import keyed_state, monitors, refresh, run, state
@@ -442,6 +442,15 @@ def _ingest() -> dict[str, Query]:
 HOURLY_RULE = refresh.RefreshRule(rows=80, seconds=6 * 3600)
 
 
+def _by_day_and_op(archived: DataFrame) -> DataFrame:
+    return archived.groupBy(
+        "table_name", *[F.col(c).cast("int").alias(c) for c in lake.DAY], "_cdc_op"
+    ).agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.sum(F.col("amount").cast("decimal(14,2)")).alias("amount"),
+    )
+
+
 def _lake() -> dict[str, Query]:
     def lake_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
         root = scratch_path(tune(spark), "lake_sink")
@@ -463,18 +472,7 @@ def _lake() -> dict[str, Query]:
             lake.read_lake(spark, f"{root}/raw/{table}").withColumn("table_name", F.lit(table))
             for table in stand_in.FEED_TABLES
         ]
-        return (
-            reduce(DataFrame.unionByName, archived)
-            .groupBy(
-                "table_name",
-                *[F.col(c).cast("int").alias(c) for c in lake.DAY],
-                "_cdc_op",
-            )
-            .agg(
-                F.count(F.lit(1)).alias("n_rows"),
-                F.sum(F.col("amount").cast("decimal(14,2)")).alias("amount"),
-            )
-        )
+        return _by_day_and_op(reduce(DataFrame.unionByName, archived))
 
     def archive(spark: SparkSession, sf_dir: str, root: str, compression: str) -> DataFrame:
         events = tune(spark).read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
@@ -484,6 +482,21 @@ def _lake() -> dict[str, Query]:
         lake.write_day_partitions(rows, root, compression)
         return lake.read_lake(spark, root)
 
+    def compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+        # Three appends; closed days are compacted after two and again after late rows came.
+        root = scratch_path(tune(spark), "lake_compacted")
+        events = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
+        rows = cdc.lake_rows(
+            stand_in.change_feed(events), stand_in.FEED_ROW, ingest=F.col("timestamp")
+        )
+        open_day = events.agg(F.to_date(F.max("ts"))).first()[0]
+        for i in range(3):
+            lake.write_day_partitions(rows.where(F.pmod(F.xxhash64("_cdc_ts_ms", "pk"), F.lit(3)) == i), root)
+            if i:
+                compaction.compact(spark, root, open_day)
+        compaction.drop_replaced(spark, root)
+        return _by_day_and_op(compaction.read_compacted(spark, root))
+
     def codecs(spark: SparkSession, sf_dir: str) -> DataFrame:
         root = scratch_path(tune(spark), "lake_codec")
         counts = [
@@ -506,6 +519,7 @@ def _lake() -> dict[str, Query]:
 
     return {
         "lake_sink": lake_sink,
+        "lake_compacted": compacted,
         "lake_sink_codec": codecs,
         "lake_channel_revenue": _over_tables(revenue),
     }

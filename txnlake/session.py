@@ -94,6 +94,11 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
+def remove_file(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, False)
+
+
 _CURRENT = "CURRENT"
 
 
