@@ -10,6 +10,7 @@ them, and blocks are joined by index.
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 
@@ -75,17 +76,71 @@ def permute(i: np.ndarray, n: int, key: int) -> np.ndarray:
     return x.astype(np.int64)
 
 
+#: The library draws from fewer slots than this; from there on the same distribution is drawn here.
+LIBRARY_SLOTS = 1_000_000_000
+#: So few marked or drawn slots are drawn one after another.
+ONE_BY_ONE = 1000
+
+
+def _log_growth(x: int, d: int) -> float:
+    """``log((x + d)! / x!) - d * log(max(x, 1))`` without the rounding of huge log factorials."""
+    if min(x, x + d) < 1_000_000:
+        return math.lgamma(x + d + 1) - math.lgamma(x + 1) - d * math.log(max(x, 1))
+    u = d / x
+    # (1 + u) * log(1 + u) - u, by its series where the difference would lose digits.
+    small = u * u * (1 / 2 - u * (1 / 6 - u * (1 / 12 - u / 20)))
+    bent = small if abs(u) < 1e-3 else (1 + u) * math.log1p(u) - u
+    return x * bent + math.log1p(u) / 2 - d / (12 * x * (x + d))
+
+
+def _by_ratio(rng: np.random.Generator, good: int, bad: int, sample: int) -> int:
+    """A hypergeometric number by ratio of uniforms (Stadlober): exact but for double rounding."""
+    total = good + bad
+    mean = sample * good / total
+    variance = mean * (bad / total) * ((total - sample) / (total - 1))
+    wide = 2 * math.sqrt(2 / math.e) * math.sqrt(variance + 0.5) + 3 - 2 * math.sqrt(3 / math.e)
+    mode = (sample + 1) * (good + 1) // (total + 2)
+    # The four counts at the mode, and which way each goes when the drawn number grows.
+    at = ((mode, 1), (good - mode, -1), (sample - mode, -1), (bad - sample + mode, 1))
+    up = max(good - mode, 1) * max(sample - mode, 1)
+    down = max(mode, 1) * max(bad - sample + mode, 1)
+    slope = math.log1p((up - down) / down)
+    while True:
+        x, y = 1.0 - rng.random(), rng.random()
+        k = math.floor(mean + 0.5 + wide * (y - 0.5) / x)
+        if not max(0, sample - bad) <= k <= min(good, sample):
+            continue
+        d = k - mode
+        if 2 * math.log(x) <= d * slope - sum(_log_growth(c, way * d) for c, way in at):
+            return k
+
+
+def hypergeometric(rng: np.random.Generator, good: int, bad: int, sample: int) -> int:
+    """How many of ``sample`` slots drawn without return from ``good + bad`` are good, at any size."""
+    total = good + bad
+    if total < LIBRARY_SLOTS:
+        return int(rng.hypergeometric(good, bad, sample))
+    if 2 * sample > total:
+        return good - hypergeometric(rng, good, bad, total - sample)
+    if good > bad:
+        return sample - hypergeometric(rng, bad, good, sample)
+    few, many = min(good, sample), max(good, sample)
+    if few < ONE_BY_ONE:
+        # Good and drawn slots may change places: each of the few falls on one of the many or not.
+        hit = 0
+        for i in range(few):
+            hit += rng.integers(total - i) < many - hit
+        return hit
+    return _by_ratio(rng, good, bad, sample)
+
+
 def _draw(rng: np.random.Generator, colors: np.ndarray, sample: int) -> np.ndarray:
     """How many of ``sample`` slots drawn without return have each source."""
-    if colors.sum() < 1_000_000_000:
+    if colors.sum() < LIBRARY_SLOTS:
         return rng.multivariate_hypergeometric(colors, sample, method="marginals")
     out, left, rest = np.zeros_like(colors), int(sample), int(colors.sum())
     for i, c in enumerate(colors.tolist()):
-        # Beyond the library's range: the normal limit of the hypergeometric draw.
-        p = left / rest if rest else 0.0
-        spread = np.sqrt(max(c * p * (1 - p) * (rest - c) / max(rest - 1, 1), 0.0))
-        k = round(c * p + spread * rng.standard_normal())
-        out[i] = min(max(k, left - (rest - c), 0), c, left)
+        out[i] = hypergeometric(rng, c, rest - c, left)
         left, rest = left - int(out[i]), rest - c
     return out
 
