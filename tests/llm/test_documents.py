@@ -126,6 +126,36 @@ def test_near_duplicates_equal_brute_force(spark, odd_docs, no_docs):
     assert near_dup.near_duplicates(no_docs).count() == 0 and near_dup.one_of_each(no_docs).count() == 0
 
 
+def test_pairs_are_verified_on_whole_hashes(spark):
+    # Shingles of unlike texts that agree in their upper halves must not count as common.
+    low = np.arange(1, 301, dtype=np.uint64)
+    a, b = (low << np.uint64(32)) + np.uint64(1), (low << np.uint64(32)) + np.uint64(2)
+    pack = lambda h: near_dup._weighted(h.tobytes(), b"")
+    assert near_dup.prob_jaccard(*pack(a), *pack(b)) == 0.0
+    assert near_dup.prob_jaccard(*pack(a), *pack(a)) == 1.0
+    docs = spark.createDataFrame([(1, words(80, 300)), (2, words(80, 300) + " z")], "doc_id long, text string")
+    nodes = near_dup._nodes(docs)
+    table = near_dup._shingle_table(docs, nodes, near_dup._buckets(nodes)).collect()
+    texts = {len(near_dup.shingles(t)[0]): near_dup.shingles(t) for t in (r.text for r in docs.collect())}
+    assert len(table) == 2
+    for row in table:
+        hashes, counts = near_dup._weighted(row.hashes, row.counts)
+        want = texts[len(hashes)]
+        assert (hashes == want[0]).all() and (counts == want[1]).all()
+
+
+def test_blocks_of_several_rows_and_columns(spark, monkeypatch):
+    # A small BLOCK spreads each open bucket over many blocks; no link may be lost.
+    monkeypatch.setattr(near_dup, "BLOCK", 2)
+    base, rows = words(60, 200).split(" "), []
+    for k in range(40):
+        base[k * 5] = f"n{k}"
+        rows.append((k, " ".join(base)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = Counter((r.doc_id, r.class_id) for r in near_dup.near_duplicates(docs).collect())
+    assert got == brute_classes(rows)
+
+
 def test_near_duplicates_without_or_with_repeated_ids(spark):
     def near(seed, k):
         return " ".join([*words(seed, 200).split(" ")[: 200 - k], *(f"y{i}" for i in range(k))])

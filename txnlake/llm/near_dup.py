@@ -153,7 +153,8 @@ def _buckets(nodes: DataFrame) -> DataFrame:
 
 
 def _shingle_table(docs: DataFrame, nodes: DataFrame, buckets: DataFrame) -> DataFrame:
-    """Stored (node, sig, hashes, counts) of the nodes in buckets; counts are empty if all are one."""
+    """Stored (node, sig, hashes, counts) of the nodes in buckets: whole 64-bit hashes, ascending;
+    counts are empty if all are one."""
     inside = nodes.join(buckets.select("node").distinct(), "node", "left_semi")
     needed = inside.select("node", "hash", "doc_id")
 
@@ -162,10 +163,8 @@ def _shingle_table(docs: DataFrame, nodes: DataFrame, buckets: DataFrame) -> Dat
             hashes, counts = [], []
             for text in batch.column(1).to_pylist():
                 h, c = shingles(text)
-                small, at = np.unique((h >> np.uint64(32)).astype(np.uint32), return_inverse=True)
-                total = np.bincount(at, c, len(small)).astype(np.uint32)
-                hashes.append(small.tobytes())
-                counts.append(b"" if (total == 1).all() else total.tobytes())
+                hashes.append(h.tobytes())
+                counts.append(b"" if (c == 1).all() else c.astype(np.uint32).tobytes())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(hashes, pa.binary()), pa.array(counts, pa.binary())],
                 ["node", "hashes", "counts"],
@@ -181,7 +180,7 @@ def _shingle_table(docs: DataFrame, nodes: DataFrame, buckets: DataFrame) -> Dat
 
 
 def _weighted(hashes: bytes, counts: bytes) -> tuple[np.ndarray, np.ndarray]:
-    h = np.frombuffer(hashes, np.uint32)
+    h = np.frombuffer(hashes, np.uint64)
     return h, np.frombuffer(counts, np.uint32) if counts else np.ones(len(h), np.uint32)
 
 
