@@ -13,6 +13,7 @@ import pytest
 from conftest import SF_DIR
 from pyspark.sql import functions as F
 
+from txnlake.catalog import queries
 from txnlake.operators import cdc
 from txnlake.sources import lake
 from txnlake.streaming import feeds, lake_sink, monitors, refresh, run, state
@@ -336,3 +337,18 @@ def test_late_rows_are_dropped_and_open_windows_wait(spark, feed, folder):
     rows = spark.read.parquet(f"{folder}/out").orderBy("window_start").collect()
     assert [(r["window_start"].minute, r["n_rows"]) for r in rows] == [(0, 1), (30, 2)]
     assert {r["status"] for r in rows} == {"WARN"}
+
+
+def test_state_partitions_grow_with_the_input(spark, folder, monkeypatch):
+    spark.range(0, 50_000, 1, 2).selectExpr("uuid() AS u").write.parquet(f"{folder}/in")
+    size = sum(os.path.getsize(f"{folder}/in/{n}") for n in os.listdir(f"{folder}/in"))
+    assert run.state_partitions(spark, f"{folder}/in") == spark.sparkContext.defaultParallelism
+    monkeypatch.setattr(run, "PARTITION_BYTES", 100_000)
+    assert run.state_partitions(spark, f"{folder}/in") == pytest.approx(size / 100_000, abs=2)
+    monkeypatch.setattr(run, "PARTITION_BYTES", 4_000)
+    want = run.state_partitions(spark, f"{SF_DIR}/events.parquet")
+    assert want > spark.sparkContext.defaultParallelism
+    began = []
+    monkeypatch.setattr(run, "state_conf", lambda s, n=None, f=run.state_conf: began.append(n) or f(s, n))
+    queries()["stream_fraud_velocity"](spark, SF_DIR)
+    assert began == [want]

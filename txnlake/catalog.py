@@ -575,11 +575,13 @@ def _load() -> dict[str, Query]:
 
 
 def _streams() -> dict[str, Query]:
-    def to_end(name: str, build: Callable[[DataFrame], DataFrame]) -> Query:
+    def to_end(name: str, build: Callable[[DataFrame], DataFrame], per_key: bool = True) -> Query:
         def run_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
             root = scratch_path(tune(spark), name)
             out = build(stand_in.events_stream(spark, sf_dir))
-            run.append_to(out, f"{root}/out", f"{root}/checkpoint").awaitTermination()
+            # State per key grows with the input, state per time does not.
+            n = run.state_partitions(spark, f"{sf_dir.rstrip('/')}/events.parquet") if per_key else None
+            run.append_to(out, f"{root}/out", f"{root}/checkpoint", partitions=n).awaitTermination()
             return spark.read.parquet(f"{root}/out")
 
         return run_stream
@@ -635,9 +637,11 @@ def _streams() -> dict[str, Query]:
         "cdc_current_state_buckets": bucketed_state,
         "cdc_dedupe_stream": to_end("dedupe", replayed),
         "stream_ingestion_rate": to_end(
-            "ingestion_rate", lambda e: monitors.ingestion_rate(timed(e))
+            "ingestion_rate", lambda e: monitors.ingestion_rate(timed(e)), per_key=False
+        ),
+        "stream_fraud_rate": to_end(
+            "fraud_rate", lambda e: monitors.fraud_rate(timed(e)), per_key=False
         ),
-        "stream_fraud_rate": to_end("fraud_rate", lambda e: monitors.fraud_rate(timed(e))),
         "stream_fraud_velocity": to_end(
             "velocity", lambda e: monitors.velocity_windows(timed(e), minimum=2)
         ),

@@ -79,6 +79,12 @@ def is_file(spark: SparkSession, path: str) -> bool:
     return at.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(at).isFile()
 
 
+def path_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of a file, or of all files below a folder."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(at).getLength()
+
+
 def subfolders(spark: SparkSession, path: str) -> dict[int, str]:
     """Folders named ``<name>=<number>`` below a path, by number; nothing where it is missing."""
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
