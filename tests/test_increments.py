@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from txnlake.plans import increments, marts
+from txnlake.sources import stand_in
 
 KEYS = {"transactions": "txn_id", "payment_cards": "card_id", "fraud_alerts": "alert_id", "clients": "client_id"}
 
@@ -89,3 +90,28 @@ def test_net_changes_of_busy_keys(spark):
     assert sorted((r.b or "", r.a or "") for r in net.collect()) == [
         ("", '{"pk":1,"n":7}'), ('{"pk":4,"n":4}', ""),
     ]
+
+
+def test_only_columns_that_groups_read_are_stored(spark, tables, folder, monkeypatch):
+    stored = {}
+
+    def written(df, name, write=increments.written):
+        stored[name] = write(df, name)
+        return stored[name]
+
+    monkeypatch.setattr(increments, "written", written)
+    kept, now = increments.MartIncrements(spark, folder), stand_in.changed_tables(tables, 0)
+    kept.apply(0, stand_in.batch_changes(tables, 0), now, ["mart_client_360"])
+    want = ["amount", "client_id", "initiated_at", "is_flagged", "status_id"]
+    assert stored["net-transactions"].select("after.*").columns == want
+
+
+def test_narrow_changes_are_the_rows_that_differ(spark, tables):
+    for batch in (0, 1, 2):
+        narrow = stand_in.batch_changes(tables, batch, increments.columns_read())
+        for table, key in KEYS.items():
+            there = [stand_in.changed_tables(tables, b)[table] for b in (batch - 1, batch) if b >= 0]
+            was, now = there if batch else (there[0].limit(0), there[0])
+            gone, come = (a.exceptAll(b).select(key) for a, b in ((was, now), (now, was)))
+            want = {r[0] for r in gone.union(come).collect()}
+            assert narrow[table].count() == len(want), (batch, table)

@@ -45,7 +45,7 @@ def _increments() -> dict[str, Query]:
             store = increments.MartIncrements(spark, scratch_path(spark, "increments"))
             for batch in (0, 1, 2, 2):  # the last batch is replayed
                 now = stand_in.changed_tables(tables, batch)
-                changed = stand_in.batch_changes(tables, batch)
+                changed = stand_in.batch_changes(tables, batch, increments.columns_read([name]))
                 store.apply(batch, changed, now, [name])
             return store.view(name, now)
 

@@ -18,10 +18,12 @@ from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from txnlake.functions.money import mean_of, rate_pct
 from txnlake.plans import marts, staging
 from txnlake.plans.rebuild import at_once
+from txnlake.schemas import TABLE_SCHEMAS
 from txnlake.session import path_exists, remove_folder, subfolders, written
 from txnlake.sources.tables import Tables
 
@@ -31,10 +33,11 @@ _SUM = "decimal(30,2)"
 
 @dataclass(frozen=True)
 class Kept:
-    """Groups that are kept: rows of ``source`` as ``project`` makes them, by ``keys``."""
+    """Groups that are kept: rows of ``source`` as ``project`` makes them of the columns ``reads``, by ``keys``."""
 
     name: str
     source: str
+    reads: list[str]
     keys: list[str]
     project: Callable[[DataFrame, Tables], DataFrame]
     sums: list[str] = field(default_factory=list)
@@ -47,10 +50,17 @@ class Kept:
         return [*self.keys, "n", *summed, *self.extremes]
 
 
+def _staged(txns: DataFrame) -> DataFrame:
+    """Staged transactions of the columns at hand; the others are NULL."""
+    kinds = TABLE_SCHEMAS["transactions"]
+    absent = {f.name: F.lit(None).cast(f.dataType) for f in T.StructType.fromDDL(kinds) if f.name not in txns.columns}
+    return staging.stg_transactions(txns.withColumns(absent))
+
+
 def _daily_rows(txns: DataFrame, tables: Tables) -> DataFrame:
     statuses = tables["transaction_statuses"].select("status_id", F.col("code").alias("status"))
     return (
-        staging.stg_transactions(txns)
+        _staged(txns)
         .join(statuses, "status_id", "left")
         .withColumn("txn_date", F.to_date("initiated_at"))
     )
@@ -58,14 +68,14 @@ def _daily_rows(txns: DataFrame, tables: Tables) -> DataFrame:
 
 def _approved_rows(txns: DataFrame, tables: Tables) -> DataFrame:
     approved = tables["transaction_statuses"].where("code = 'APPROVED'").select("status_id")
-    return staging.stg_transactions(txns).where("merchant_id IS NOT NULL").join(approved, "status_id")
+    return _staged(txns).where("merchant_id IS NOT NULL").join(approved, "status_id")
 
 
 def _client_rows(txns: DataFrame, tables: Tables) -> DataFrame:
     codes = tables["transaction_statuses"].select("status_id", "code")
     is_ = lambda condition: F.coalesce(condition, F.lit(False)).cast("int")
     return (
-        staging.stg_transactions(txns)
+        _staged(txns)
         .join(codes, "status_id")
         .withColumn("approved", is_(F.col("code") == "APPROVED"))
         .withColumn("declined", is_(F.col("code") == "DECLINED"))
@@ -74,25 +84,41 @@ def _client_rows(txns: DataFrame, tables: Tables) -> DataFrame:
 
 
 DAILY = Kept(
-    "daily", "transactions", marts.MART_KEYS["mart_daily_transaction_summary"], _daily_rows,
+    "daily", "transactions",
+    ["status_id", "channel", "currency", "initiated_at", "amount", "fee", "net_amount", "is_flagged"],
+    marts.MART_KEYS["mart_daily_transaction_summary"], _daily_rows,
     ["amount", "fee", "net_amount", "is_flagged"], {"max_amount": ("max", "amount")},
 )
 MERCHANT = Kept(
-    "merchant", "transactions", ["merchant_id"], _approved_rows,
+    "merchant", "transactions",
+    ["merchant_id", "status_id", "initiated_at", "amount", "fee", "net_amount", "is_flagged"],
+    ["merchant_id"], _approved_rows,
     ["amount", "fee", "net_amount", "is_flagged"],
     {"first_at": ("min", "initiated_at"), "last_at": ("max", "initiated_at")},
 )
 CLIENT = Kept(
-    "client", "transactions", ["client_id"], _client_rows, ["amount", "approved", "declined", "flagged"],
+    "client", "transactions", ["client_id", "status_id", "initiated_at", "amount", "is_flagged"],
+    ["client_id"], _client_rows, ["amount", "approved", "declined", "flagged"],
     {"max_amount": ("max", "amount"), "last_at": ("max", "initiated_at")},
 )
-CARDS = Kept("cards", "payment_cards", ["client_id"], lambda cards, tables: cards)
+CARDS = Kept("cards", "payment_cards", ["client_id"], ["client_id"], lambda cards, tables: cards)
 _GROUPS = {
     "mart_daily_transaction_summary": [DAILY],
     "mart_merchant_performance": [MERCHANT],
     "mart_client_360": [CLIENT, CARDS],
 }
-_ALERT_SOURCES = ["fraud_alerts", "transactions", "clients", "merchants"]
+_ALERT_SOURCES = {"fraud_alerts": "alert_id", "transactions": "txn_id", "clients": "client_id", "merchants": "merchant_id"}
+
+
+def columns_read(names: Iterable[str] = marts.MARTS) -> dict[str, list[str]]:
+    """The columns of changes that the named marts need, by table: a feed may leave out all others."""
+    names, needed = list(names), {}
+    for kept in (k for name in names for k in _GROUPS.get(name, [])):
+        needed.setdefault(kept.source, set()).update(kept.reads)
+    if "mart_fraud_analysis" in names:
+        for table, key in _ALERT_SOURCES.items():
+            needed.setdefault(table, set()).add(key)
+    return {table: sorted(columns) for table, columns in needed.items()}
 
 
 def net_changes(changes: DataFrame, keys: list[str]) -> DataFrame:
@@ -107,6 +133,11 @@ def net_changes(changes: DataFrame, keys: list[str]) -> DataFrame:
     return net.where(~F.col("before").eqNullSafe(F.col("after")))
 
 
+def _image(image: str, columns: list[str]) -> Column:
+    fields = F.struct(*[F.col(f"{image}.{c}").alias(c) for c in columns])
+    return F.when(F.col(image).isNotNull(), fields).alias(image)
+
+
 def _same(keys: list[str], left: str, right: str) -> Column:
     return reduce(Column.__and__, [F.col(f"{left}.{k}").eqNullSafe(F.col(f"{right}.{k}")) for k in keys])
 
@@ -193,8 +224,13 @@ class MartIncrements:
         """
         names = set(names)
         kept = [k for mart, group in _GROUPS.items() if mart in names for k in group]
-        needed = {k.source for k in kept} | (set(_ALERT_SOURCES) if "mart_fraud_analysis" in names else set())
-        net = {t: written(changes[t].select("before", "after"), f"net-{t}") for t in changes if t in needed}
+        needed = columns_read(names)
+        # Only the columns that groups read are computed and stored.
+        net = {
+            t: written(changes[t].select(*[_image(i, needed[t]) for i in ("before", "after")]), f"net-{t}")
+            for t in changes
+            if t in needed
+        }
         jobs = {k.name: partial(self._fold, k, batch_id, net[k.source], current) for k in kept if k.source in net}
         if "mart_fraud_analysis" in names:
             jobs["alerts"] = partial(self._fold_alerts, batch_id, net, current)
@@ -249,7 +285,9 @@ class MartIncrements:
         if kept.extremes:
             merged = written(merged, "merged")
             groups = merged.where("_lost").select(*keys)
-            rows = _only(kept.project(current[kept.source], current), groups, keys)
+            rows = kept.project(current[kept.source].select(*kept.reads), current)
+            # Current rows are read only where some group lost a value.
+            rows = rows.limit(0) if groups.isEmpty() else _only(rows, groups, keys)
             held = [getattr(F, best)(column).alias(f"now_{name}") for name, (best, column) in kept.extremes.items()]
             again = rows.groupBy(*keys).agg(*held)
             merged = merged.alias("m").join(again.alias("a"), _same(keys, "m", "a"), "left")

@@ -6,6 +6,7 @@ Parquet files can compute the same tables. ``k`` is the order key, ``q`` is ``k`
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
@@ -407,14 +408,20 @@ def changed_tables(tables: LazyTables, batch: int) -> LazyTables:
     return LazyTables({name: partial(after, name) for name in tables})
 
 
-def batch_changes(tables: LazyTables, batch: int) -> LazyTables:
-    """Rows before and after a batch, of all rows it changes."""
+def batch_changes(tables: LazyTables, batch: int, columns: Mapping[str, list[str]] | None = None) -> LazyTables:
+    """Rows before and after a batch, of all rows it changes; of some tables and columns, if named."""
 
     def changes(table: str) -> DataFrame:
         df = tables[table]
-        there, row = _after_batch(table, batch, df.columns)
-        was, old = _after_batch(table, batch - 1, df.columns) if batch else ("false", row)
-        images = df.selectExpr(f"IF({was}, {old}, NULL) AS before", f"IF({there}, {row}, NULL) AS after")
-        return images.where("NOT (before <=> after)")
-
-    return LazyTables({table: partial(changes, table) for table in _BATCHES})
+        kept = columns[table] if columns else df.columns
+        there, row = _after_batch(table, batch, kept)
+        was, old = _after_batch(table, batch - 1, kept) if batch else ("false", row)
+        # Rows differ where they come or go, or in a column that one of both batches sets.
+        values = _BATCHES[table][1]
+        changed = {**(values[batch - 1] if batch else {}), **values[batch]}
+        differ = [f"NOT ({values[batch - 1].get(c, c)} <=> {values[batch].get(c, c)})" for c in changed] if batch else []
+        moved = " OR ".join([f"coalesce({was}, false) <> coalesce({there}, false)", *[f"(({was}) AND ({there}) AND {d})" for d in differ]])
+        images = df.where(moved)
+        return images.selectExpr(f"IF({was}, {old}, NULL) AS before", f"IF({there}, {row}, NULL) AS after")
+
+    return LazyTables({table: partial(changes, table) for table in _BATCHES if not columns or table in columns})
