@@ -3,10 +3,11 @@
 Terms are lower-cased words and word beginnings of four and five letters. All terms of the chosen
 examples count; document frequencies come from all documents. A term that no example has scales
 all cosines of its text alike, so it changes neither neighbours nor votes and is not kept.
-Examples lie in blocks that know the largest weight of each term, so blocks that cannot reach the
-nearest few are skipped. In a block the commonest terms are multiplied as a matrix in single
-precision and the others added from postings; what may be among the nearest is scored again in
-double precision. Votes are weighted by similarity, and a monotone curve fitted on the examples,
+Examples lie in blocks that know the largest weight of each of their commonest terms and the
+share of each example in these. The commonest terms of a block are multiplied as a matrix in single
+precision; all others are added from postings first, so blocks that cannot reach the nearest few
+with what is left are skipped. What may be among the nearest is scored again in double precision.
+Votes are weighted by similarity, and a monotone curve fitted on the examples,
 each without its own vote, turns them into calibrated scores.
 """
 
@@ -16,7 +17,7 @@ import hashlib
 import re
 from array import array
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +30,9 @@ from txnlake.llm.common import partitions, stored, whole_text
 MAX_EXAMPLES = 20_000
 NEIGHBOURS = 32
 #: Examples of a block, and how many of its terms lie in its matrix.
-BLOCK, COMMON = 2048, 1024
+BLOCK, COMMON = 2048, 1536
+#: Queries searched at once.
+QUERIES = 256
 #: More than single precision can take from or add to a cosine of unit vectors.
 SLACK = 1e-4
 PREFIXES = (4, 5)
@@ -80,39 +83,60 @@ def example_terms(docs: DataFrame, examples: DataFrame) -> list[str]:
     return counted.sort_by([("n", "descending"), ("term", "ascending")]).column("term").to_pylist()
 
 
-def _counter(terms: list[str]):
-    """A function from a text to its known terms (ascending), their counts, and whether it has no word."""
-    number = {t: i for i, t in enumerate(terms)}
-    of_word: dict[str, tuple[int, ...]] = {}
-
-    def look_up(word: str) -> tuple[int, ...]:
-        if len(of_word) > 200_000:
-            of_word.clear()
-        names = [word, *(word[:n] + "*" for n in PREFIXES if len(word) >= n)]
-        found = of_word[word] = tuple(number[t] for t in names if t in number)
-        return found
-
-    def count(text: str) -> tuple[np.ndarray, np.ndarray, bool]:
-        ids, times = [], []
-        words = Counter(_WORD.findall(text.lower()))
-        for word, n in words.items():
-            own = of_word.get(word)
-            for i in look_up(word) if own is None else own:
-                ids.append(i)
-                times.append(n)
-        found, at = np.unique(np.array(ids, np.int64), return_inverse=True)
-        return found, np.bincount(at, times, len(found)).astype(np.int64), not words
+class _Pieces(dict):
+    """Numbers of the known terms of each piece between white space, as 32-bit integers."""
+
+    def __init__(self, terms: list[str]):
+        self.words = {t: i for i, t in enumerate(terms) if t[-1] != "*"}
+        self.beginnings = {t[:-1]: i for i, t in enumerate(terms) if t[-1] == "*"}
+
+    def __missing__(self, piece: str) -> bytes:
+        found = array("i")
+        core = piece.rstrip(".,")
+        for word in [core] if core.isalpha() else _WORD.findall(piece):
+            own = [self.words.get(word), *(self.beginnings.get(word[:n]) for n in PREFIXES if len(word) >= n)]
+            found.extend([i for i in own if i is not None])
+        self[piece] = data = found.tobytes()
+        return data
+
+
+def _counter(terms: list[str]) -> Callable[[list[str]], list[tuple[np.ndarray, np.ndarray, bool]]]:
+    """A function from texts to the known terms (ascending) of each, their counts, and whether it has no word."""
+    known = _Pieces(terms)
+
+    def count(texts: list[str]) -> list[tuple[np.ndarray, np.ndarray, bool]]:
+        if len(known) > 200_000:
+            known.clear()
+        # No word goes across white space.
+        cut = [t.lower().split() for t in texts]
+        data = [b"".join(map(known.__getitem__, pieces)) for pieces in cut]
+        ids = np.frombuffer(b"".join(data), np.int32).astype(np.int64)
+        first = np.arange(len(cut) + 1) * len(terms)
+        keys = np.sort(np.repeat(first[:-1], [len(d) // 4 for d in data]) + ids)
+        starts = np.flatnonzero(np.diff(keys, prepend=-1))
+        found, times = keys[starts], np.diff(starts, append=len(keys))
+        bounds = np.searchsorted(found, first).tolist()
+        out = []
+        for i, (a, z) in enumerate(zip(bounds[:-1], bounds[1:], strict=True)):
+            bare = a == z and not any(map(_WORD.search, cut[i]))
+            out.append((found[a:z] - first[i], times[a:z], bare))
+        return out
 
     return count
 
 
 def _packed(values: np.ndarray) -> bytes:
-    """Numbers as planes of their bytes, which files compress well."""
-    return values.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+    """The bytes each number needs, then all numbers as planes of so many bytes, which files compress well."""
+    width = (int(values.max(initial=0)).bit_length() + 7) // 8 or 1
+    planes = values.astype("<u4").view(np.uint8).reshape(-1, 4).T[:width]
+    return bytes([width]) + planes.tobytes()
 
 
 def _unpacked(data: bytes) -> np.ndarray:
-    return np.frombuffer(data, np.uint8).reshape(4, -1).T.copy().view("<u4").ravel().astype(np.int64)
+    planes = np.frombuffer(data, np.uint8, offset=1).reshape(data[0], -1)
+    out = np.zeros((planes.shape[1], 4), np.uint8)
+    out[:, : data[0]] = planes.T
+    return out.view("<u4").ravel().astype(np.int64)
 
 
 def _terms_of(data: bytes) -> np.ndarray:
@@ -130,7 +154,7 @@ def term_vectors(docs: DataFrame, terms: list[str]) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = _counter(shared.value)
         for batch in batches:
-            found = [count(t) for t in batch.column(2).to_pylist()]
+            found = count(batch.column(2).to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
@@ -171,79 +195,175 @@ def document_frequency(vectors: DataFrame, n_terms: int) -> np.ndarray:
 
 
 class _Tile:
-    """One block: a matrix of its commonest terms, postings of the others, largest weights of all."""
-
-    def __init__(self, rows: np.ndarray, terms: np.ndarray, weights: np.ndarray, n_rows: int, n_terms: int):
-        self.n_rows = n_rows
-        weights = weights.astype(np.float32)
-        self.top = np.zeros(n_terms, np.float32)
-        np.maximum.at(self.top, terms, weights)
-        often = np.bincount(terms, minlength=n_terms)
-        common = np.argsort(-often, kind="stable")[:COMMON]
-        self.column = np.full(n_terms, -1, np.int32)
+    """One block: a matrix of its commonest terms, the largest weight of each, the length of each
+    example in them, and their counts (by code from 1) to score a few examples exactly."""
+
+    def __init__(self, rows: np.ndarray, terms: np.ndarray, codes: np.ndarray, weights: np.ndarray, n_rows: int):
+        own, often = np.unique(terms, return_counts=True)
+        common = np.sort(own[np.argsort(-often, kind="stable")[:COMMON]])
+        self.column = np.full(common[-1] + 1, -1, np.int32)
         self.column[common] = np.arange(len(common))
-        column = self.column[terms]
-        inside = column >= 0
+        column = self.of(terms)
+        self.inside = column >= 0
+        at = rows[self.inside], column[self.inside]
+        self.codes = np.zeros((n_rows, len(common)), np.min_scalar_type(int(codes.max()) + 1))
+        self.codes[at] = codes[self.inside] + 1
         self.matrix = np.zeros((len(common), n_rows), np.float32)
-        self.matrix[column[inside], rows[inside]] = weights[inside]
-        rows, terms, weights = rows[~inside], terms[~inside], weights[~inside]
-        order = np.argsort(terms, kind="stable")
-        self.rows, self.weights = rows[order], weights[order]
-        self.at = np.concatenate([[0], np.cumsum(np.bincount(terms, minlength=n_terms))]).astype(np.int32)
-
-    def scores(self, queries: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
-        """Cosines of all rows to each query (terms, unit weights), to within SLACK."""
-        dense = np.zeros((len(queries), len(self.matrix)), np.float32)
-        columns = [self.column[terms] for terms, _ in queries]
-        for i, (column, (_, q)) in enumerate(zip(columns, queries, strict=True)):
+        self.matrix[at[::-1]] = weights[self.inside]
+        self.top = self.matrix.max(axis=1)
+        self.length = np.linalg.norm(self.matrix, axis=0)
+
+    def of(self, terms: np.ndarray) -> np.ndarray:
+        """The columns of terms, -1 for those not in the matrix."""
+        return np.where(terms < len(self.column), self.column[np.minimum(terms, len(self.column) - 1)], -1)
+
+
+class _Tiles:
+    """All blocks, and the postings of what is in no matrix. ``order`` has the row of each place."""
+
+    def __init__(self, index: BlockMaxIndex):
+        n, n_terms = len(index.norm), len(index.idf)
+        size = np.diff(index.start)
+        self.order = index.order
+        self.scale = 1.0 / index.norm[self.order]
+        #: Weight of a count before idf and norm, by code; 0 stands for a term not there.
+        self.tf = np.concatenate([[0.0], index.tf])
+        self.bits = n.bit_length()
+        kind = np.uint32 if self.bits + len(index.tf).bit_length() <= 32 else np.uint64
+        self.spans = [(a, min(a + BLOCK, n)) for a in range(0, n, BLOCK)]
+        self.blocks: list[_Tile] = []
+        rest, total = [], np.zeros(n_terms, np.int64)
+        for a, z in self.spans:
+            rows = self.order[a:z]
+            place = np.repeat(np.arange(z - a, dtype=np.int32), size[rows])
+            cuts = list(map(slice, index.start[rows].tolist(), index.start[rows + 1].tolist()))
+            terms = np.concatenate([index.terms[c] for c in cuts])
+            codes = np.concatenate([index.code[c] for c in cuts])
+            weights = (index.tf[codes] * index.idf[terms] / index.norm[rows][place]).astype(np.float32)
+            block = _Tile(place, terms, codes, weights, z - a)
+            outside = ~block.inside
+            del block.inside
+            self.blocks.append(block)
+            terms = terms[outside]
+            by_term = np.argsort(terms, kind="stable")
+            posting = (codes[outside].astype(kind) + kind(1)) << kind(self.bits) | (place[outside] + a).astype(kind)
+            rest.append((terms[by_term], posting[by_term]))
+            total += np.bincount(terms, minlength=n_terms)
+        self.at = np.concatenate([[0], np.cumsum(total)])
+        #: By term, the place in the lower bits and the code above.
+        self.postings = np.empty(self.at[-1], kind)
+        fill = self.at[:-1].copy()
+        while rest:
+            terms, posting = rest.pop(0)
+            own = np.bincount(terms, minlength=n_terms)
+            self.postings[np.arange(len(terms)) + np.repeat(fill - np.cumsum(own) + own, own)] = posting
+            fill += own
+
+    def rare(self, terms: np.ndarray, q: np.ndarray) -> np.ndarray:
+        """What postings of the terms add to the cosine of each place; q has idf in it."""
+        first, n = self.at[terms], self.at[terms + 1] - self.at[terms]
+        where = np.repeat(first - np.cumsum(n) + n, n) + np.arange(n.sum())
+        met = self.postings[where]
+        kind = met.dtype.type
+        parts = self.tf[met >> kind(self.bits)]
+        parts *= np.repeat(q, n)
+        return np.bincount(met & kind((1 << self.bits) - 1), parts, len(self.order)) * self.scale
+
+    def search(self, queries: list[tuple[np.ndarray, np.ndarray, np.ndarray]], k: int) -> Iterator[tuple]:
+        """For each query (terms, unit weights, those times idf) the rows that may be among the k + 1
+        nearest, ascending, and their cosines in double precision."""
+        n = len(queries)
+        owner = np.repeat(np.arange(n), [len(t) for t, _, _ in queries])
+        terms = np.concatenate([t for t, _, _ in queries])
+        weights = np.concatenate([u for _, u, _ in queries]).astype(np.float32)
+        rare = np.empty((n, len(self.order)))
+        for row, (t, _, q) in zip(rare, queries, strict=True):
+            row[:] = self.rare(t, q)
+        score = rare.astype(np.float32)
+        dense, bound = [], np.empty((n, len(self.blocks)), np.float32)
+        for b, ((a, z), block) in enumerate(zip(self.spans, self.blocks, strict=True)):
+            column = block.of(terms)
             inside = column >= 0
-            dense[i, column[inside]] = q[inside]
-        out = dense @ self.matrix
-        for i, (column, (terms, q)) in enumerate(zip(columns, queries, strict=True)):
-            rare = terms[column < 0]
-            first, n = self.at[rare], self.at[rare + 1] - self.at[rare]
-            where = np.repeat(first - np.cumsum(n) + n, n) + np.arange(n.sum())
-            add = np.repeat(q[column < 0], n) * self.weights[where]
-            out[i] += np.bincount(self.rows[where], add, self.n_rows)
-        return out
+            d = np.zeros((n, len(block.matrix)), np.float32)
+            d[owner[inside], column[inside]] = weights[inside]
+            left = np.minimum(np.linalg.norm(d, axis=1)[:, None] * block.length, (d @ block.top)[:, None])
+            left += score[:, a:z]
+            bound[:, b] = left.max(axis=1)
+            dense.append(d)
+        best, bar = bound.argmax(axis=1), np.zeros(n, np.float32)
+        for others in (False, True):
+            for b, ((a, z), block) in enumerate(zip(self.spans, self.blocks, strict=True)):
+                own = (best != b) if others else (best == b)
+                reach = bound[:, b] >= bar - 2 * SLACK
+                (who,) = np.nonzero(own & reach)
+                score[own & ~reach, a:z] = -1
+                if len(who):
+                    score[who, a:z] += dense[b][who] @ block.matrix
+                    if not others and z - a > k:
+                        bar[who] = np.partition(score[who, a:z], z - a - k - 1, axis=1)[:, z - a - k - 1]
+        for (t, _, q), exact, near, least in zip(queries, rare, score, bar, strict=True):
+            (places,) = np.nonzero(near > max(least - 2 * SLACK, 0.0))
+            if len(places) > k:
+                near = near[places]
+                places = places[near >= np.partition(near, -k - 1)[-k - 1] - 2 * SLACK]
+            sims = exact[places]
+            for b, (a, z) in enumerate(self.spans):
+                lo, hi = np.searchsorted(places, (a, z))
+                if lo < hi:
+                    column = self.blocks[b].of(t)
+                    (inside,) = np.nonzero(column >= 0)
+                    codes = self.blocks[b].codes[(places[lo:hi] - a)[:, None], column[inside]]
+                    # Each row's sum takes the same steps, whatever rows are beside it.
+                    parts = self.tf[np.ascontiguousarray(codes)] * q[inside]
+                    sims[lo:hi] += parts.sum(axis=1) * self.scale[places[lo:hi]]
+            rows = self.order[places]
+            order = np.argsort(rows)
+            yield rows[order], sims[order]
 
 
 class BlockMaxIndex:
-    """Unit vectors of distinct examples in blocks, with each term's largest weight in each block."""
+    """Unit vectors of distinct examples, searched in blocks with each common term's largest weight."""
 
     def __init__(self, examples: list[tuple], idf: np.ndarray):
-        examples = sorted(examples)  # neighbours in term order share blocks
+        examples = sorted(examples)
         self.idf = np.asarray(idf, np.float64)
         self.weight = np.array([[e[2], e[3]] for e in examples], np.float64).reshape(-1, 2)
         self.doc_id = [e[4] for e in examples]
         self.start = np.cumsum([0, *(len(e[0]) for e in examples)])
-        self.terms = np.concatenate([np.empty(0, np.int32), *(np.asarray(e[0], np.int32) for e in examples)])
         # The few different counts are kept once.
-        self.count = np.array(sorted(set().union(*(np.unique(e[1]).tolist() for e in examples))), np.int64)
-        small = np.min_scalar_type(len(self.count))
-        codes = (np.searchsorted(self.count, np.asarray(e[1], np.int64)).astype(small) for e in examples)
-        self.code = np.concatenate([np.empty(0, small), *codes])
+        self.count = np.array(sorted(set().union(*(set(e[1]) for e in examples))), np.int64)
         self.tf = 1.0 + np.log(self.count.astype(np.float64))
+        self.terms = np.empty(self.start[-1], np.int32)
+        self.code = np.empty(self.start[-1], np.min_scalar_type(len(self.count)))
         self.norm = np.ones(len(examples))
-        for row in range(len(examples)):
-            self.norm[row] = np.linalg.norm(self._raw(self.start[row], self.start[row + 1]))
-        self._tiles: list[_Tile] | None = None
+        for row, (lo, hi) in enumerate(zip(self.start[:-1], self.start[1:], strict=True)):
+            self.terms[lo:hi] = examples[row][0]
+            self.code[lo:hi] = np.searchsorted(self.count, examples[row][1])
+            self.norm[row] = np.linalg.norm(self.tf[self.code[lo:hi]] * self.idf[self.terms[lo:hi]])
+            examples[row] = None
+        size = np.diff(self.start)
+        # Examples of one language and of like length share blocks, the same ones in every task.
+        self.order = np.lexsort((size, self._alike(size)))
+        self._tiles: _Tiles | None = None
+
+    def _alike(self, size: np.ndarray) -> np.ndarray:
+        """Numbers that examples of one language mostly share: on which side they lie along the
+        first principal axes of the commonest terms. Speed only."""
+        head = np.zeros((len(size), min(256, len(self.idf))), np.float32)
+        inside = self.terms < head.shape[1]
+        head[np.repeat(np.arange(len(size), dtype=np.int32), size)[inside], self.terms[inside]] = 1.0
+        head /= np.maximum(np.linalg.norm(head, axis=1), 1e-9)[:, None]
+        head -= head.sum(axis=0) / max(len(size), 1)
+        _, axes = np.linalg.eigh(head.T @ head)
+        side = head @ axes[:, -3:] > 0
+        return side @ (1 << np.arange(side.shape[1]))
 
     def __getstate__(self):
         return self.__dict__ | {"_tiles": None}
 
-    def _raw(self, lo: int, hi: int) -> np.ndarray:
-        return self.tf[self.code[lo:hi]] * self.idf[self.terms[lo:hi]]
-
-    def tiles(self) -> list[_Tile]:
+    def tiles(self) -> _Tiles:
         if self._tiles is None:
-            self._tiles = []
-            for a in range(0, len(self.norm), BLOCK):
-                z = min(a + BLOCK, len(self.norm))
-                lo, hi = self.start[a], self.start[z]
-                rows = np.repeat(np.arange(z - a), np.diff(self.start[a : z + 1]))
-                weights = self._raw(lo, hi) / self.norm[a:z][rows]
-                self._tiles.append(_Tile(rows, self.terms[lo:hi], weights, z - a, len(self.idf)))
+            self._tiles = _Tiles(self)
         return self._tiles
 
     def example(self, row: int) -> tuple[np.ndarray, np.ndarray]:
@@ -254,56 +374,32 @@ class BlockMaxIndex:
         w = (1.0 + np.log(np.asarray(counts, np.float64))) * self.idf[np.asarray(terms, np.int64)]
         return w / np.linalg.norm(w) if len(w) else w
 
-    def _exact(self, rows: np.ndarray, q: np.ndarray) -> np.ndarray:
-        """Cosines in double precision; q has the weight times idf at the place of every term."""
-        n = self.start[rows + 1] - self.start[rows]
-        ends = np.cumsum(n)
-        where = np.repeat(self.start[rows] - ends + n, n) + np.arange(ends[-1])
-        parts = q[self.terms[where]] * self.tf[self.code[where]]
-        return np.add.reduceat(parts, ends - n) / self.norm[rows]
-
     def search(self, queries: list[tuple], k: int) -> list[tuple[np.ndarray, np.ndarray]]:
         """For each query (terms, counts, less) the rows and cosines of the examples at least as
         near as the k-th; blocks whose bound is lower are skipped. ``less``, if not None, takes
         one vote of (row, label) away."""
-        tiles = self.tiles()
-        every = self.weight.sum(axis=1)
-        units = [(np.asarray(t, np.int64), self.unit(t, c)) for t, c, _ in queries]
-        bound = np.array([[q @ tile.top[t] for tile in tiles] for t, q in units]).reshape(len(queries), len(tiles))
-        near = [(np.empty(0, np.int64), np.empty(0, np.float32))] * len(queries)
-        bar = np.zeros(len(queries))
-        best = bound.argmax(axis=1) if tiles else None
-        for others in (False, True):
-            for block, tile in enumerate(tiles):
-                own = (best != block) if others else (best == block)
-                (who,) = np.nonzero(own & (bound[:, block] > 0) & (bound[:, block] >= bar - 2 * SLACK))
-                if not len(who):
+        out = [(np.empty(0, np.int64), np.empty(0))] * len(queries)
+        if not len(self.norm):
+            return out
+        tiles, every = self.tiles(), self.weight.sum(axis=1)
+        for at in range(0, len(queries), QUERIES):
+            part = queries[at : at + QUERIES]
+            terms = [np.asarray(t, np.int64) for t, _, _ in part]
+            units = [self.unit(t, c) for t, c, _ in part]
+            asked = [(t, u, u * self.idf[t]) for t, u in zip(terms, units, strict=True)]
+            # Every row but one that lost its only vote has a vote or more, so k + 1 rows hold k.
+            for i, (rows, sims) in enumerate(tiles.search(asked, k)):
+                if not len(rows):
                     continue
-                for i, score in zip(who, tile.scores([units[i] for i in who]), strict=True):
-                    (rows,) = np.nonzero(score > max(bar[i] - 2 * SLACK, 0.0))
-                    score = np.concatenate([near[i][1], score[rows]])
-                    rows = np.concatenate([near[i][0], rows + block * BLOCK])
-                    # Every row but one that lost its only vote has a vote or more, so k + 1 rows hold k.
-                    if len(score) > k:
-                        bar[i] = np.partition(score, -k - 1)[-k - 1]
-                    keep = score >= bar[i] - 2 * SLACK
-                    near[i] = (rows[keep], score[keep])
-        out, spread = [], np.zeros(len(self.idf))
-        for (rows, _), (terms, q), (_, _, less) in zip(near, units, queries, strict=True):
-            if len(rows):
-                spread[terms] = q * self.idf[terms]
-                sims = self._exact(rows, spread)
-                spread[terms] = 0.0
+                less = part[i][2]
                 order = np.lexsort((rows, -sims))
                 weight = every[rows[order]]
                 if less:
                     weight[rows[order] == less[0]] -= 1
-                at = int(np.searchsorted(np.cumsum(weight), k))
-                least = sims[order[at]] if at < len(order) else 0.0
+                place = int(np.searchsorted(np.cumsum(weight), k))
+                least = sims[order[place]] if place < len(order) else 0.0
                 keep = (sims >= least - 1e-12) & (sims > 0)
-                out.append((rows[keep], sims[keep]))
-            else:
-                out.append((rows, np.empty(0)))
+                out[at + i] = rows[keep], sims[keep]
         return out
 
     def nearest(self, terms, counts, k: int, less: tuple[int, int] | None = None):
@@ -395,29 +491,30 @@ def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     docs = docs.select("doc_id", "text")
     examples = stored(choose_examples(labels), "toxicity-examples")
     terms = example_terms(docs, examples)
-    vectors = term_vectors(docs, terms)
-    idf = np.log((1 + vectors.count()) / (1 + document_frequency(vectors, len(terms)))) + 1.0
+    vectors, n_terms = term_vectors(docs, terms), len(terms)
+    del terms
+    idf = np.log((1 + vectors.count()) / (1 + document_frequency(vectors, n_terms))) + 1.0
     # Equal example vectors are one entry with the number of clean and toxic rows.
-    chosen = (
+    chosen = stored(
         vectors.join(F.broadcast(examples), "doc_id")
         .groupBy("terms", "counts")
         .agg(
             F.sum(1 - F.col("toxic")).alias("clean"),
             F.sum("toxic").alias("toxic"),
             F.min("doc_id").alias("doc_id"),
-        )
-        .toArrow()
+        ),
+        "toxicity-chosen",
     )
     rows, bare, some = np.zeros(2, np.int64), np.zeros(2, np.int64), []
-    for example in zip(*chosen.columns, strict=True):
-        t, c, *n, doc_id = (value.as_py() for value in example)
+    # The driver takes one part at a time and keeps arrays, which compare like tuples.
+    for t, c, *n, doc_id in chosen.toLocalIterator():
         rows += n
-        if t:
-            # Arrays compare like tuples, in a fraction of the memory.
-            some.append((array("i", _terms_of(t).tolist()), array("i", _unpacked(c).tolist()), *n, doc_id))
+        found, times = _terms_of(bytes(t)), _unpacked(bytes(c))
+        if len(found):
+            small = np.min_scalar_type(times.max()).char
+            some.append((array("i", found.astype(np.int32).tobytes()), array(small, times.astype(small).tobytes()), *n, doc_id))
         else:
             bare += n
-    del chosen
     index = BlockMaxIndex(some, idf)
     del some
     shared = spark.sparkContext.broadcast(index)
