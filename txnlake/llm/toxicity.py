@@ -31,6 +31,8 @@ MAX_EXAMPLES = 20_000
 NEIGHBOURS = 32
 #: Examples of a block, and how many of its terms lie in its matrix.
 BLOCK, COMMON = 2048, 1536
+#: Pieces of texts that a worker remembers. Speed only.
+PIECES = 400_000
 #: Queries searched at once.
 QUERIES = 256
 #: More than single precision can take from or add to a cosine of unit vectors.
@@ -87,16 +89,23 @@ class _Pieces(dict):
     """Numbers of the known terms of each piece between white space, as 32-bit integers."""
 
     def __init__(self, terms: list[str]):
-        self.words = {t: i for i, t in enumerate(terms) if t[-1] != "*"}
-        self.beginnings = {t[:-1]: i for i, t in enumerate(terms) if t[-1] == "*"}
+        data = np.arange(len(terms), dtype=np.int32).tobytes()
+        self.words, self.beginnings = {}, {}
+        for i, t in enumerate(terms):
+            own, name = (self.beginnings, t[:-1]) if t[-1] == "*" else (self.words, t)
+            own[name] = data[4 * i : 4 * i + 4]
+
+    def _of(self, word: str) -> bytes:
+        found = self.words.get(word, b"")
+        for n in PREFIXES:
+            if len(word) >= n:
+                found += self.beginnings.get(word[:n], b"")
+        return found
 
     def __missing__(self, piece: str) -> bytes:
-        found = array("i")
         core = piece.rstrip(".,")
-        for word in [core] if core.isalpha() else _WORD.findall(piece):
-            own = [self.words.get(word), *(self.beginnings.get(word[:n]) for n in PREFIXES if len(word) >= n)]
-            found.extend([i for i in own if i is not None])
-        self[piece] = data = found.tobytes()
+        data = self._of(core) if core.isalpha() else b"".join(map(self._of, _WORD.findall(piece)))
+        self[piece] = data
         return data
 
 
@@ -105,7 +114,7 @@ def _counter(terms: list[str]) -> Callable[[list[str]], list[tuple[np.ndarray, n
     known = _Pieces(terms)
 
     def count(texts: list[str]) -> list[tuple[np.ndarray, np.ndarray, bool]]:
-        if len(known) > 200_000:
+        if len(known) > PIECES:
             known.clear()
         # No word goes across white space.
         cut = [t.lower().split() for t in texts]
